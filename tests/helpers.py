@@ -1,0 +1,41 @@
+"""Small handwritten catalogs for unit tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import types as T
+
+from reachlens.sources.catalog import Catalog
+from reachlens.specs import table_schemas
+
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType()}
+
+
+def schema_of(name: str, time_types: dict[str, T.DataType] | None = None) -> T.StructType:
+    time_types = time_types or {}
+    fields = []
+    for col, kind in table_schemas()[name].items():
+        dtype = time_types.get(col, T.TimestampNTZType()) if kind == "time" else _TYPES[kind]
+        fields.append(T.StructField(col, dtype, True))
+    return T.StructType(fields)
+
+
+def make_catalog(spark, tables: dict[str, list[tuple]] | None = None,
+                 time_types: dict[str, dict[str, T.DataType]] | None = None) -> Catalog:
+    """Every registry table, empty unless given as tuples in schema order."""
+    tables = tables or {}
+    time_types = time_types or {}
+    frames = {}
+    for name in table_schemas():
+        schema = schema_of(name, time_types.get(name))
+        frames[name] = spark.createDataFrame(tables.get(name, []), schema)
+    return Catalog.from_frames(spark, frames)
+
+
+def ts(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text)
+
+
+def enrol(student, college, active=1, test=0, temp=0, batch=None):
+    return (student, college, active, test, temp, batch)
