@@ -68,9 +68,6 @@ class Catalog:
             self._cache[name] = normalise(df, schema) if schema else df
         return self._cache[name]
 
-    def time_type(self, name: str, column: str):
-        return self.table(name).schema[column].dataType
-
     # -- constructors ---------------------------------------------------------
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Catalog:
@@ -87,12 +84,18 @@ class Catalog:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: Mapping[str, str],
-                  names: list[str] | None = None,
+                  tables: Mapping[str, str] | None = None,
                   partitioning: Mapping[str, tuple[str, int, int, int]] | None = None
                   ) -> Catalog:
+        """``tables`` maps report table name -> database table (default: same
+        name); ``partitioning`` is keyed by report table name.  Column names
+        are matched case-insensitively (databases may upper-case them)."""
         from reachlens.sources.jdbc import read_table
-        names = names if names is not None else sorted(table_schemas())
+        tables = dict(tables) if tables is not None else {n: n for n in table_schemas()}
         partitioning = partitioning or {}
-        return cls(spark, {n: (lambda n=n: read_table(spark, url, n, properties,
-                                                      partitioning.get(n)))
-                           for n in names})
+
+        def load(name: str) -> DataFrame:
+            df = read_table(spark, url, tables[name], properties, partitioning.get(name))
+            return df.toDF(*[c.lower() for c in df.columns])
+
+        return cls(spark, {n: (lambda n=n: load(n)) for n in tables})

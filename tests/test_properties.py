@@ -1,0 +1,90 @@
+"""Properties: invariances of the counts, and the batch-hop count against a
+brute-force enumeration of the literal pair semantics."""
+
+import itertools
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from helpers import enrol, make_catalog, ts
+from reachlens.plans import ReachReport
+from reachlens.specs import MODULES
+
+AS_OF = "2024-01-15"
+T_IN = ts("2024-01-15 01:00:00")
+T_OUT = ts("2024-01-16 01:00:00")
+
+
+def _live(spark, links, enrolments, events):
+    return make_catalog(spark, {
+        "college": [(1, "A"), (2, "B"), (3, "C")],
+        "student_college_details": enrolments,
+        "questionnaire_live": events,
+        "questionnaire_live_has_students": links,
+    })
+
+
+def _counts(cat):
+    rows = ReachReport(cat, AS_OF, scope=[1, 2, 3]).metric_frame("total_live_assignment").collect()
+    return {r.college_id: r.total_live_assignment for r in rows}
+
+
+def test_duplicates_and_ineligible_students_change_nothing(spark):
+    events = [(e, T_IN if e % 3 else T_OUT) for e in range(9)]
+    links = [(s, e) for s in range(1, 7) for e in range(9) if (s * e) % 4 != 1]
+    enrolments = [enrol(s, 1 + s % 3) for s in range(1, 7)]
+    base = _counts(_live(spark, links, enrolments, events))
+    noisy = _counts(_live(spark, links + links[::2],
+                          enrolments + [enrol(s, 1, active=0) for s in range(7, 12)]
+                          + [enrol(1, 2, test=1)],
+                          events))
+    assert base == noisy
+
+
+def test_summary_rows_and_total_row_add_up(spark):
+    events = [(e, T_IN) for e in range(5)]
+    links = [(s, e) for s in range(1, 6) for e in range(5) if (s + e) % 2]
+    cat = _live(spark, links, [enrol(s, 1 + s % 3) for s in range(1, 6)], events)
+    rows = ReachReport(cat, AS_OF, scope=[1, 2, 3, 99]).summary_with_total().collect()
+    body = [r for r in rows if not r.is_total]
+    total = [r for r in rows if r.is_total]
+    assert len(body) == 3 and len(total) == 1
+    for r in body:
+        assert r.total == sum(r[m] for m in MODULES)
+    for m in (*MODULES, "total"):
+        assert total[0][m] == sum(r[m] for r in body)
+
+
+def brute_force_case_study(enrolments, mappings, assignments, scope):
+    """Literal semantics: pairs (assignment, student) per college through an
+    eligible enrolment row's own batch."""
+    pairs = {}
+    for (s, c, a, t, tmp, b), (m, mb), (aid, when, am) in itertools.product(
+            enrolments, mappings, assignments):
+        if c in scope and a == 1 and t == 0 and tmp == 0 and b is not None and b == mb \
+                and am == m and when == T_IN:
+            pairs.setdefault(c, set()).add((aid, s))
+    return {c: len(p) for c, p in pairs.items()}
+
+
+enrol_rows = st.lists(st.tuples(st.integers(1, 6), st.integers(1, 3), st.sampled_from([0, 1, 1]),
+                                st.just(0), st.just(0), st.one_of(st.none(), st.integers(1, 4))),
+                      max_size=12)
+mapping_rows = st.lists(st.tuples(st.integers(1, 5), st.integers(1, 4)), max_size=6)
+assignment_rows = st.lists(st.tuples(st.integers(1, 8), st.sampled_from([T_IN, T_OUT]),
+                                     st.integers(1, 5)), max_size=10)
+
+
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(enrol_rows, mapping_rows, assignment_rows)
+def test_batch_hop_matches_brute_force(spark, enrolments, mappings, assignments):
+    cat = make_catalog(spark, {
+        "college": [(1, "A"), (2, "B"), (3, "C")],
+        "student_college_details": enrolments,
+        "college_subject_mapping": mappings,
+        "case_study_assignments": assignments,
+    })
+    rows = ReachReport(cat, AS_OF, scope=[1, 2, 3]).metric_frame("case_study_count").collect()
+    got = {r.college_id: r.case_study_count for r in rows if r.case_study_count}
+    assert got == brute_force_case_study(enrolments, mappings, assignments, {1, 2, 3})
