@@ -22,10 +22,6 @@ def _shift() -> Column:
     return F.expr(f"INTERVAL {WINDOW_HOUR} HOURS")
 
 
-def _one_day() -> Column:
-    return F.expr("INTERVAL 1 DAY")
-
-
 def as_date(value: dt.date | str) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()
@@ -45,25 +41,16 @@ def window_bounds(start: dt.date | str, end: dt.date | str | None = None
     return lo, hi
 
 
-def ntz_literal(value: dt.datetime) -> Column:
-    """A TIMESTAMP_NTZ literal (a Python datetime literal would be zoned)."""
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
-
-
-def date_literal(value: dt.date) -> Column:
-    return F.lit(value.isoformat()).cast("date")
-
-
 def in_window(col: str, dtype: DataType, start, end=None) -> Column:
     """Closed-window test written on the column's own type so the scan can
     push it down (no cast on the column side)."""
     start = as_date(start)
     end = as_date(end) if end is not None else start
     if isinstance(dtype, DateType):
-        return F.col(col).between(date_literal(start), date_literal(end))
+        return F.expr(f"`{col}` BETWEEN DATE'{start}' AND DATE'{end}'")
     if isinstance(dtype, (TimestampNTZType, TimestampType)):
         lo, hi = window_bounds(start, end)
-        return F.col(col).between(ntz_literal(lo), ntz_literal(hi))
+        return F.expr(f"`{col}` BETWEEN timestamp_ntz'{lo}' AND timestamp_ntz'{hi}'")
     raise TypeError(f"window column {col} has unsupported type {dtype}")
 
 
@@ -71,17 +58,20 @@ def report_dates(col: str, dtype: DataType) -> Column:
     """Array of the report dates whose window holds the value (one, or two for
     a timestamp exactly on the 08:00 boundary)."""
     if isinstance(dtype, DateType):
-        return F.array(F.col(col))
-    shifted = F.col(col) - _shift()
-    day = shifted.cast("date")
-    on_boundary = shifted == day.cast("timestamp_ntz")
-    nxt = F.date_add(day, 1)
-    return F.when(on_boundary, F.array(day, nxt)).otherwise(F.array(nxt))
+        return F.expr(f"array(`{col}`)")
+    shifted = f"(`{col}` - INTERVAL {WINDOW_HOUR} HOURS)"
+    day = f"CAST({shifted} AS DATE)"
+    return F.expr(f"CASE WHEN {shifted} = CAST({day} AS TIMESTAMP_NTZ) "
+                  f"THEN array({day}, date_add({day}, 1)) ELSE array(date_add({day}, 1)) END")
+
+
+def in_date_range(col: str, start, end) -> Column:
+    return F.expr(f"`{col}` BETWEEN DATE'{as_date(start)}' AND DATE'{as_date(end)}'")
 
 
 def date_range_column(start, end) -> Column:
     """Array of all report dates start..end (one row per date after explode)."""
-    return F.sequence(date_literal(as_date(start)), date_literal(as_date(end)), _one_day())
+    return F.expr(f"sequence(DATE'{as_date(start)}', DATE'{as_date(end)}', INTERVAL 1 DAY)")
 
 
 def window_start(report_date: Column) -> Column:

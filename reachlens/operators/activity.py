@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachlens.functions.timewin import as_date, date_literal, in_window, report_dates
+from reachlens.functions.timewin import in_date_range, in_window, report_dates
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import MetricSpec
 
@@ -40,15 +40,15 @@ def _with_metric(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     filter holds (a row can feed several metrics)."""
     if len(specs) == 1 and specs[0].event_filter is None:
         return df.withColumn("metric", F.lit(specs[0].column))
-    tagged = [F.when(F.expr(s.event_filter) if s.event_filter else F.lit(True),
-                     F.lit(s.column)) for s in specs]
-    return df.withColumn("metric", F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull())))
+    tagged = ", ".join(f"CASE WHEN {s.event_filter or 'true'} THEN '{s.column}' END"
+                       for s in specs)
+    return df.withColumn("metric", F.explode(F.expr(f"filter(array({tagged}), x -> x IS NOT NULL)")))
 
 
 def _with_report_date(df: DataFrame, time_col: str, ttype, start, end) -> DataFrame:
     """One row per report date in [start, end] whose window holds the time."""
     return (df.withColumn("report_date", F.explode(report_dates(time_col, ttype)))
-            .where(_date_range(F.col("report_date"), start, end)))
+            .where(in_date_range("report_date", start, end)))
 
 
 def _any_filter(specs: Sequence[MetricSpec]) -> Column | None:
@@ -57,10 +57,6 @@ def _any_filter(specs: Sequence[MetricSpec]) -> Column | None:
     return reduce(lambda a, b: a | b, [F.expr(s.event_filter) for s in specs])
 
 
-def _date_range(report_date: Column, start, end) -> Column:
-    return report_date.between(date_literal(as_date(start)), date_literal(as_date(end)))
-
-
 def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end) -> DataFrame:
     """(metric, report_date, student_id, event_id) for specs sharing one source."""
     head = specs[0]

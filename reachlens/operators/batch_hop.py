@@ -27,7 +27,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachlens.functions.timewin import as_date, date_literal, in_window, report_dates
+from reachlens.functions.timewin import in_date_range, in_window, report_dates
 from reachlens.operators.roster import eligible_enrolments
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import MetricSpec
@@ -39,8 +39,7 @@ def batch_assignments(catalog: Catalog, spec: MetricSpec, start, end) -> DataFra
     ttype = assignments.schema[spec.time_col].dataType
     windowed = (assignments.where(in_window(spec.time_col, ttype, start, end))
                 .withColumn("report_date", F.explode(report_dates(spec.time_col, ttype)))
-                .where(F.col("report_date").between(date_literal(as_date(start)),
-                                                    date_literal(as_date(end))))
+                .where(in_date_range("report_date", start, end))
                 .select("report_date", F.col("id").alias("assignment_id"),
                         F.col("college_subject_mapping_id").alias("mapping_id")))
     mappings = catalog.table("college_subject_mapping").select(

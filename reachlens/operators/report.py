@@ -25,24 +25,30 @@ def college_dates(colleges: DataFrame, start, end) -> DataFrame:
                            "college_id", "college_name")
 
 
-def pivot_counts(counts: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
-    """Long (report_date, college_id, metric, n) -> one column per metric.
-    The explicit value list keeps every metric column, even an empty one."""
-    names = [s.column for s in specs if s.constant is None]
-    return counts.groupBy(*KEY).pivot("metric", names).agg(F.sum("n"))
-
-
-def wide_table(frame: DataFrame, pivoted: DataFrame | None,
+def wide_table(frame: DataFrame, counts: DataFrame | None,
                specs: Sequence[MetricSpec]) -> DataFrame:
-    """Left join of the college-date frame to the counts, zeros filled."""
-    joined = frame.join(pivoted, list(KEY), "left") if pivoted is not None else frame
-    cols = []
-    for s in specs:
-        if s.constant is not None:
-            cols.append(F.lit(s.constant).cast("bigint").alias(s.column))
-        else:
-            cols.append(F.coalesce(F.col(s.column), F.lit(0)).cast("bigint").alias(s.column))
-    return joined.select(*KEY, "college_name", *cols)
+    """One row per (report_date, scoped college), one column per metric.
+
+    The college-date frame rows and the long counts are unioned and shaped
+    by ONE aggregation (a pivot written as conditional sums): frame rows
+    make zero counts appear, and groups without a frame row (listed ids that
+    are not in ``college``) are dropped.  No join back to the frame."""
+    names = [s.column for s in specs if s.constant is None]
+    rows = frame.selectExpr("report_date", "college_id", "college_name",
+                            "CAST(NULL AS STRING) AS metric", "CAST(0 AS BIGINT) AS n",
+                            "1 AS in_frame")
+    if counts is not None and names:
+        rows = rows.unionByName(counts.selectExpr(
+            "report_date", "college_id", "CAST(NULL AS STRING) AS college_name", "metric",
+            "CAST(n AS BIGINT) AS n", "0 AS in_frame"))
+    aggs = [F.expr("max(in_frame)").alias("in_frame"),
+            F.expr("max(college_name)").alias("college_name")]
+    aggs += [F.expr(f"coalesce(sum(CASE WHEN metric = '{c}' THEN n END), 0)").alias(c)
+             for c in names]
+    shaped = rows.groupBy(*KEY).agg(*aggs).where("in_frame = 1")
+    cols = [f"CAST({s.constant} AS BIGINT) AS {s.column}" if s.constant is not None
+            else f"CAST({s.column} AS BIGINT) AS {s.column}" for s in specs]
+    return shaped.selectExpr(*KEY, "college_name", *cols)
 
 
 def with_serial(wide: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 ``ReachReport(catalog, start, end)`` covers report dates start..end (one date
 when ``end`` is omitted).  Every metric of the report is computed in one plan:
-one union of pair sources, one distinct count, one member join, one pivot.
+one union of pair sources, one distinct count, one member join, one shaping
+aggregation (pivot + zero rows).
 ``run`` writes the wide table first and derives summary, total row and
 diagnostics from the written table, so the counting plan runs once and the
 lineage of the small report tables starts at the shared folder.
@@ -67,9 +68,7 @@ class ReachReport:
         """(report_date, college_id, college_name, one column per spec)."""
         specs = tuple(specs) if specs is not None else report_metrics()
         frame = report.college_dates(self.colleges(), self.start, self.end)
-        counts = self.counts(specs)
-        pivoted = report.pivot_counts(counts, specs) if counts is not None else None
-        return report.wide_table(frame, pivoted, specs)
+        return report.wide_table(frame, self.counts(specs), specs)
 
     # -- report outputs ---------------------------------------------------------
     def metric_frame(self, column: str) -> DataFrame:

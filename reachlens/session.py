@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # no per-call Python call-site capture while building plans (driver time)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

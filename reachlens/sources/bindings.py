@@ -3,15 +3,16 @@
 The test data has no learning-platform tables, so each one is defined as a view
 over ``nation``/``customer``/``orders``/``events``/``part`` (FIXTURES.md §2).
 Every view is written once as SQL with two small dialect hooks; Spark runs it
-through ``spark.sql`` with the raw parquet DataFrames bound as parameters, and
+through ``spark.sql`` over the raw parquet tables registered as temp views, and
 the DuckDB oracle uses the same text as a CTE.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from reachlens.sources.catalog import Catalog
 
@@ -133,17 +134,23 @@ def duckdb_ctes(tables: list[str] | None = None) -> str:
 
 
 def bound_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """Catalog over the driver's parquet tables in ``sf_dir``."""
-    raw: dict[str, DataFrame] = {}
+    """Catalog over the driver's parquet tables in ``sf_dir``.
 
-    def raw_table(name: str) -> DataFrame:
-        if name not in raw:
-            raw[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        return raw[name]
+    Each raw table is read once and registered as a temp view with a name
+    unique to this catalog; the binding SQL refers to those views."""
+    tag = uuid.uuid4().hex[:12]
+    registered: dict[str, str] = {}
+
+    def view(name: str) -> str:
+        if name not in registered:
+            registered[name] = f"rl_{tag}_{name}"
+            spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") \
+                .createOrReplaceTempView(registered[name])
+        return registered[name]
 
     views = binding_sql("spark")
 
     def loader(sql: str):
-        return lambda: spark.sql(sql, **{t: raw_table(t) for t in raw_tables_of(sql)})
+        return lambda: spark.sql(sql.format(**{t: view(t) for t in raw_tables_of(sql)}))
 
     return Catalog(spark, {name: loader(sql) for name, sql in views.items()})
