@@ -2,15 +2,18 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Prints one JSON line.  Each query is built fresh and fully executed (collect of
-the small result, or the write of the production run).  One untimed warm-up
-query on the same data runs first (JVM start, code generation).
+Prints one JSON line.  Each query is built fresh (new catalog, new plan) and
+fully executed (collect of the small result, or the writes of the production
+run) ``BENCH_REPEAT`` times (default 3); the median is reported, because a
+shared host adds a lot of run-to-run noise at these sizes.  One untimed
+warm-up query on the same data runs first (JVM start, code generation).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import tempfile
 import time
@@ -35,11 +38,11 @@ def main() -> None:
     def span() -> ReachReport:
         return ReachReport(bound_catalog(spark, sf_dir), *FIXTURE_RANGE, scope=FIXTURE_SCOPE)
 
-    runs = {"n": 0}
+    run_count = {"n": 0}
 
     def run_dir() -> str:
-        runs["n"] += 1
-        return f"{out_root}/bench-run-{runs['n']}"
+        run_count["n"] += 1
+        return f"{out_root}/bench-run-{run_count["n"]}"
 
     queries = {
         # production path: wide table written, summary/total/diagnostics from it
@@ -57,11 +60,16 @@ def main() -> None:
     day().summary_with_total().collect()
     warmup = time.perf_counter() - t0
 
-    timings = {}
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    timings, spread = {}, {}
     for name, fn in queries.items():
-        t0 = time.perf_counter()
-        fn()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            fn()
+            runs.append(time.perf_counter() - t0)
+        timings[name] = round(statistics.median(runs), 3)
+        spread[name] = [round(min(runs), 3), round(max(runs), 3)]
 
     print(json.dumps({
         "metric": "reachlens_headline_total",
@@ -71,6 +79,8 @@ def main() -> None:
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "warmup_sec": round(warmup, 3),
+        "repeat": repeat,
+        "min_max": spread,
     }))
     spark.stop()
 
