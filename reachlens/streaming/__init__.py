@@ -1,0 +1,5 @@
+"""Structured Streaming form of the report's counts (incremental, watermarked)."""
+
+from reachlens.streaming.live_counts import live_counts, start_live_counts, timed_links
+
+__all__ = ["live_counts", "start_live_counts", "timed_links"]
