@@ -9,10 +9,12 @@ the DuckDB oracle uses the same text as a CTE.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from reachlens.sources.catalog import Catalog
 
@@ -133,6 +135,21 @@ def duckdb_ctes(tables: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(parts)
 
 
+# (path, size, mtime) -> schema: later reads of an unchanged file pass the
+# schema instead of running schema inference again.
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    stat = os.stat(path)
+    key = (path, stat.st_size, stat.st_mtime_ns)
+    if key in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[key] = df.schema
+    return df
+
+
 def bound_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """Catalog over the driver's parquet tables in ``sf_dir``.
 
@@ -144,7 +161,7 @@ def bound_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     def view(name: str) -> str:
         if name not in registered:
             registered[name] = f"rl_{tag}_{name}"
-            spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") \
+            read_raw(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") \
                 .createOrReplaceTempView(registered[name])
         return registered[name]
 
