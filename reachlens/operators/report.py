@@ -25,30 +25,29 @@ def college_dates(colleges: DataFrame, start, end) -> DataFrame:
                            "college_id", "college_name")
 
 
-def wide_table(frame: DataFrame, counts: DataFrame | None,
-               specs: Sequence[MetricSpec]) -> DataFrame:
+def wide_table(colleges: DataFrame, counts: DataFrame | None,
+               specs: Sequence[MetricSpec], start, end) -> DataFrame:
     """One row per (report_date, scoped college), one column per metric.
 
-    The college-date frame rows and the long counts are unioned and shaped
-    by ONE aggregation (a pivot written as conditional sums): frame rows
-    make zero counts appear, and groups without a frame row (listed ids that
-    are not in ``college``) are dropped.  No join back to the frame."""
+    Long counts and one zero row per (date, college) are unioned and shaped
+    by ONE hash aggregation (a pivot written as conditional sums over numeric
+    buffers only, so it stays a HashAggregate with map-side partial
+    aggregation).  Names come from an inner join to the scoped college list,
+    which also drops listed ids that are not in ``college``; that list is
+    bounded by the scope, so broadcasting it is safe."""
     names = [s.column for s in specs if s.constant is None]
-    rows = frame.selectExpr("report_date", "college_id", "college_name",
-                            "CAST(NULL AS STRING) AS metric", "CAST(0 AS BIGINT) AS n",
-                            "1 AS in_frame")
+    rows = college_dates(colleges, start, end).selectExpr(
+        "report_date", "college_id", "CAST(NULL AS STRING) AS metric", "CAST(0 AS BIGINT) AS n")
     if counts is not None and names:
         rows = rows.unionByName(counts.selectExpr(
-            "report_date", "college_id", "CAST(NULL AS STRING) AS college_name", "metric",
-            "CAST(n AS BIGINT) AS n", "0 AS in_frame"))
-    aggs = [F.expr("max(in_frame)").alias("in_frame"),
-            F.expr("max(college_name)").alias("college_name")]
-    aggs += [F.expr(f"coalesce(sum(CASE WHEN metric = '{c}' THEN n END), 0)").alias(c)
-             for c in names]
-    shaped = rows.groupBy(*KEY).agg(*aggs).where("in_frame = 1")
+            "report_date", "college_id", "metric", "CAST(n AS BIGINT) AS n"))
+    sums = [F.expr(f"coalesce(sum(CASE WHEN metric = '{c}' THEN n END), 0)").alias(c)
+            for c in names]
+    shaped = rows.groupBy(*KEY).agg(*sums) if sums else rows.select(*KEY).distinct()
+    named = shaped.join(F.broadcast(colleges), "college_id")
     cols = [f"CAST({s.constant} AS BIGINT) AS {s.column}" if s.constant is not None
             else f"CAST({s.column} AS BIGINT) AS {s.column}" for s in specs]
-    return shaped.selectExpr(*KEY, "college_name", *cols)
+    return named.selectExpr(*KEY, "college_name", *cols)
 
 
 def with_serial(wide: DataFrame) -> DataFrame:

@@ -67,8 +67,8 @@ class ReachReport:
     def wide(self, specs: Sequence[MetricSpec] | None = None) -> DataFrame:
         """(report_date, college_id, college_name, one column per spec)."""
         specs = tuple(specs) if specs is not None else report_metrics()
-        frame = report.college_dates(self.colleges(), self.start, self.end)
-        return report.wide_table(frame, self.counts(specs), specs)
+        return report.wide_table(self.colleges(), self.counts(specs), specs,
+                                 self.start, self.end)
 
     # -- report outputs ---------------------------------------------------------
     def metric_frame(self, column: str) -> DataFrame:
