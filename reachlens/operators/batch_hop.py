@@ -10,8 +10,8 @@ smaller sides:
   student's eligible rows in that college.  Students with the same signature
   reach exactly the same assignments, so only
   ``n_students(college, signature)`` is kept.
-* per (report_date, signature) the number of distinct assignments reachable
-  from any batch of the signature (an exact distinct count over
+* per (report_date, college, signature) the number of distinct assignments
+  reachable from any batch of the signature (an exact distinct count over
   signature x assignment rows, which do not grow with the number of students).
 
 count(college, date) = sum over signatures of n_students * n_assignments.  This
@@ -61,14 +61,16 @@ def signature_sizes(catalog: Catalog, scope: Iterable[int]) -> DataFrame:
 
 def batch_hop_counts(catalog: Catalog, spec: MetricSpec, scope: Iterable[int],
                      start, end) -> DataFrame:
-    """(report_date, college_id, metric, n) for one batch-hop metric."""
+    """(report_date, college_id, metric, n) for one batch-hop metric.
+
+    The roster is aggregated once: each (college, signature, n_students) row
+    is expanded to its batches, joined to the windowed assignments and
+    counted per (date, college, signature)."""
     sizes = signature_sizes(catalog, scope)
-    sig_batches = (sizes.select("signature").distinct()
-                   .withColumn("batch", F.explode("signature")))
-    reach = (sig_batches.join(batch_assignments(catalog, spec, start, end), "batch")
-             .groupBy("report_date", "signature")
+    reach = (sizes.withColumn("batch", F.explode("signature"))
+             .join(batch_assignments(catalog, spec, start, end), "batch")
+             .groupBy("report_date", "college_id", "signature", "n_students")
              .agg(F.count_distinct("assignment_id").alias("n_assignments")))
-    return (sizes.join(reach, "signature")
-            .groupBy("report_date", "college_id")
+    return (reach.groupBy("report_date", "college_id")
             .agg(F.sum(F.col("n_students") * F.col("n_assignments")).alias("n"))
             .select("report_date", "college_id", F.lit(spec.column).alias("metric"), "n"))

@@ -76,6 +76,8 @@ def test_no_cartesian_or_nested_loop(spark, stored, which):
     text = df._jdf.queryExecution().optimizedPlan().toString() + plan_text(df)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Join Cross" not in text
+    # every aggregation keeps a hash-based (map-side partial) form
+    assert "SortAggregate" not in plan_text(df)
 
 
 def test_one_shaping_aggregation_and_no_union_for_total_row(spark, stored):
