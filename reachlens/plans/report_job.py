@@ -38,10 +38,6 @@ class ReachReport:
         self.scope = tuple(int(x) for x in scope)
         self.specs = tuple(specs)
 
-    @property
-    def single_day(self) -> bool:
-        return self.start == self.end
-
     # -- building blocks -----------------------------------------------------
     def colleges(self) -> DataFrame:
         return roster.scoped_colleges(self.catalog, self.scope)
