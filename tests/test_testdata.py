@@ -26,12 +26,21 @@ EXPECTED = {
                "total_faculty_feedback": 102, "total_semester_feedback": 109,
                "total_regular_feedback": 162, "swoc_count": 0, "total_remediate_count": 119,
                "case_study_count": 1944, "go_code_count": 52},
+    "sf0.1": {"total_attendance": 2254, "total_live_assignment": 735, "total_live_survey": 733,
+              "total_notify_count": 756, "total_live_class_count": 723,
+              "total_projects_count": 758, "total_arena_count": 471,
+              "total_objective_count": 1202, "total_Assignment_count": 685,
+              "total_subjective_count": 338, "total_coding_count": 1287,
+              "total_faculty_feedback": 1077, "total_semester_feedback": 1049,
+              "total_regular_feedback": 1573, "swoc_count": 0, "total_remediate_count": 1160,
+              "case_study_count": 175338, "go_code_count": 478},
 }
-TOTAL_ROW = {"sf0.001": (25, 41, 35, 37, 0, 11, 149), "sf0.01": (222, 415, 357, 373, 0, 119, 1486)}
-RANK_ONE = {"sf0.001": ("NATION_11", 15), "sf0.01": ("NATION_24", 110)}
+TOTAL_ROW = {"sf0.001": (25, 41, 35, 37, 0, 11, 149), "sf0.01": (222, 415, 357, 373, 0, 119, 1486),
+             "sf0.1": (2254, 4176, 3512, 3699, 0, 1160, 14801)}
+RANK_ONE = {"sf0.001": ("NATION_11", 15), "sf0.01": ("NATION_24", 110), "sf0.1": ("NATION_2", 741)}
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
 def test_checked_totals(spark, sf):
     rep = ReachReport(bound_catalog(spark, f"/root/testdata/{sf}"), FIXTURE_AS_OF,
                       scope=FIXTURE_SCOPE)
