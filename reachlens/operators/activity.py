@@ -42,7 +42,8 @@ def _with_metric(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
         return df.withColumn("metric", F.lit(specs[0].column))
     tagged = ", ".join(f"CASE WHEN {s.event_filter or 'true'} THEN '{s.column}' END"
                        for s in specs)
-    return df.withColumn("metric", F.explode(F.expr(f"filter(array({tagged}), x -> x IS NOT NULL)")))
+    labels = F.expr(f"filter(array({tagged}), x -> x IS NOT NULL)")
+    return df.withColumn("metric", F.explode(labels))
 
 
 def _with_report_date(df: DataFrame, time_col: str, ttype, start, end) -> DataFrame:
