@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p.add_argument("--end", help="last report date of a range (default: --date)")
     p.add_argument("--scope", help="comma-separated college ids (default: the active list)")
     p.add_argument("--out", help="shared output folder")
+    p.add_argument("--no-prune-bridges", action="store_true",
+                   help="skip the activity-id range filter on bridge scans")
     args = p.parse_args(argv)
 
     builder = SparkSession.builder.appName("reachlens")
@@ -57,7 +59,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
 
     scope = [int(x) for x in args.scope.split(",")] if args.scope else ACTIVE_COLLEGES
     out = args.out or f"{shared_dir(spark)}/reports"
-    report = ReachReport(catalog, args.date, args.end, scope=scope)
+    report = ReachReport(catalog, args.date, args.end, scope=scope,
+                         prune_bridges=not args.no_prune_bridges)
     paths = report.run(out)
     summary = (spark.read.parquet(paths["usage_data"])
                .where(F.col("report_date").between(F.lit(report.start), F.lit(report.end)))

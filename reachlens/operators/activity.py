@@ -58,14 +58,46 @@ def _any_filter(specs: Sequence[MetricSpec]) -> Column | None:
     return reduce(lambda a, b: a | b, [F.expr(s.event_filter) for s in specs])
 
 
-def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end) -> DataFrame:
-    """(metric, report_date, student_id, event_id) for specs sharing one source."""
+def _filtered_events(catalog: Catalog, specs: Sequence[MetricSpec]) -> DataFrame:
+    event = catalog.table(specs[0].event)
+    wanted = _any_filter(specs)
+    return event.where(wanted) if wanted is not None else event
+
+
+def activity_id_bounds(catalog: Catalog, groups: Sequence[Sequence[MetricSpec]],
+                       start, end) -> dict[tuple, tuple[int, int] | None]:
+    """(min, max) id of the windowed activities of every activity-timed
+    source, from ONE small job (one row per source reaches the driver).
+
+    A bridge row whose activity id lies outside that range cannot match, so
+    ``fk BETWEEN min AND max`` is an exact filter that parquet can use to skip
+    row groups and files: activity ids grow with time, so the bridge rows of
+    one day's activities sit in a narrow id range.  Sources with no activity
+    in the window map to None (their branch is empty)."""
+    timed = [g for g in groups if g[0].time_side == "event"]
+    if not timed:
+        return {}
+    parts = []
+    for i, g in enumerate(timed):
+        event = _filtered_events(catalog, g)
+        ttype = event.schema[g[0].time_col].dataType
+        parts.append(event.where(in_window(g[0].time_col, ttype, start, end))
+                     .select(F.lit(i).alias("source"), F.col("id")))
+    rows = (reduce(lambda a, b: a.unionByName(b), parts).groupBy("source")
+            .agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect())
+    found = {r.source: (r.lo, r.hi) for r in rows if r.lo is not None}
+    return {g[0].source_key: found.get(i) for i, g in enumerate(timed)}
+
+
+def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
+                 id_bounds: dict[tuple, tuple[int, int] | None] | None = None) -> DataFrame:
+    """(metric, report_date, student_id, event_id) for specs sharing one source.
+
+    ``id_bounds`` (from ``activity_id_bounds``) adds the exact activity-id
+    range filter to the bridge scan."""
     head = specs[0]
     bridge = catalog.table(head.bridge)
-    event = catalog.table(head.event)
-    wanted = _any_filter(specs)
-    if wanted is not None:
-        event = event.where(wanted)
+    event = _filtered_events(catalog, specs)
 
     if head.time_side == "event":
         ttype = event.schema[head.time_col].dataType
@@ -73,6 +105,10 @@ def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end) -> D
         activities = _with_report_date(activities, head.time_col, ttype, start, end)
         activities = _with_metric(activities, specs).select(
             F.col("id").alias("event_id"), "report_date", "metric")
+        if id_bounds is not None and head.source_key in id_bounds:
+            bounds = id_bounds[head.source_key]
+            bridge = (bridge.where(F.col(head.bridge_fk).between(*bounds)) if bounds
+                      else bridge.where(F.lit(False)))
         links = bridge.select("student_id", F.col(head.bridge_fk).alias("event_id"))
         pairs = links.join(activities, "event_id")
     else:
@@ -100,9 +136,14 @@ def grouped_sources(specs: Iterable[MetricSpec]) -> list[list[MetricSpec]]:
     return list(groups.values())
 
 
-def activity_pairs(catalog: Catalog, specs: Iterable[MetricSpec], start, end) -> DataFrame | None:
-    """The union of all student-keyed pair sources, or None if there are none."""
-    parts = [source_pairs(catalog, g, start, end) for g in grouped_sources(specs)]
+def activity_pairs(catalog: Catalog, specs: Iterable[MetricSpec], start, end,
+                   prune_bridges: bool = False) -> DataFrame | None:
+    """The union of all student-keyed pair sources, or None if there are none.
+    ``prune_bridges`` adds the activity-id range filter to every bridge scan
+    (one extra small job)."""
+    groups = grouped_sources(specs)
+    bounds = activity_id_bounds(catalog, groups, start, end) if prune_bridges else None
+    parts = [source_pairs(catalog, g, start, end, bounds) for g in groups]
     if not parts:
         return None
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -28,7 +28,7 @@ from reachlens.specs import (ACTIVE_COLLEGES, METRICS, MODULES, MetricSpec, metr
 class ReachReport:
     def __init__(self, catalog: Catalog, start, end=None,
                  scope: Iterable[int] = ACTIVE_COLLEGES,
-                 specs: Sequence[MetricSpec] = METRICS):
+                 specs: Sequence[MetricSpec] = METRICS, prune_bridges: bool = False):
         self.catalog = catalog
         self.spark = catalog.spark
         self.start = as_date(start)
@@ -37,6 +37,8 @@ class ReachReport:
             raise ValueError(f"empty date range {self.start}..{self.end}")
         self.scope = tuple(int(x) for x in scope)
         self.specs = tuple(specs)
+        # exact activity-id range filter on bridge scans (one small extra job)
+        self.prune_bridges = prune_bridges
 
     # -- building blocks -----------------------------------------------------
     def colleges(self) -> DataFrame:
@@ -48,7 +50,8 @@ class ReachReport:
     def counts(self, specs: Sequence[MetricSpec]) -> DataFrame | None:
         """Long counts (report_date, college_id, metric, n) of ``specs``."""
         parts = []
-        pairs = activity.activity_pairs(self.catalog, specs, self.start, self.end)
+        pairs = activity.activity_pairs(self.catalog, specs, self.start, self.end,
+                                        self.prune_bridges)
         if pairs is not None:
             per_member = activity.per_member_counts(pairs)
             parts.append(activity.college_counts(per_member, self.members()))

@@ -86,3 +86,19 @@ def test_one_shaping_aggregation_and_no_union_for_total_row(spark, stored):
     # the total row comes from grouping sets (Expand), not a second copy of the report
     assert optimized.count("Expand") == 1
     assert len(scans_of(plan_text(rep.summary_with_total()), "questionnaire_live")) == 1
+
+
+def test_bridge_id_range_pruning_is_exact_and_pushed(spark, stored):
+    cat = Catalog.from_parquet(spark, stored)
+    plain = ReachReport(cat, *FIXTURE_RANGE, scope=FIXTURE_SCOPE).combined()
+    pruned_report = ReachReport(Catalog.from_parquet(spark, stored), *FIXTURE_RANGE,
+                                scope=FIXTURE_SCOPE, prune_bridges=True)
+    pruned = pruned_report.combined()
+    bridge = scans_of(plan_text(pruned), "questionnaire_live_has_students")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, pruned.collect()))
+    assert "GreaterThanOrEqual(questionnaire_id," in bridge[0]
+    assert "LessThanOrEqual(questionnaire_id," in bridge[0]
+    # a window with no activity empties the branch instead of scanning the bridge
+    empty = ReachReport(Catalog.from_parquet(spark, stored), "2030-01-01",
+                        scope=FIXTURE_SCOPE, prune_bridges=True)
+    assert all(r.total_live_assignment == 0 for r in empty.combined().collect())
