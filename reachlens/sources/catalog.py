@@ -2,7 +2,8 @@
 
 The operators never read files themselves; they ask a ``Catalog`` for a table by
 the name the metric specs use.  A catalog can sit on a folder of parquet tables,
-on a JDBC database, or on DataFrames built elsewhere (tests, derived views).
+on metastore tables, on a JDBC database, or on DataFrames built elsewhere
+(tests, derived views).
 On load every known column is cast to the registry type (ids -> bigint,
 flags -> int, zoned timestamps -> timestamp_ntz) and unknown columns are
 dropped, so Catalyst prunes the scan to exactly the columns the specs use.
@@ -82,6 +83,15 @@ class Catalog:
         return cls(spark, {n: (lambda n=n: spark.read.parquet(pattern.format(root=root, name=n)))
                            for n in names})
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, database: str | None = None,
+                    names: list[str] | None = None) -> Catalog:
+        """Tables (or views) of the session catalog, e.g. a metastore database
+        whose tables carry their own partitioning and statistics."""
+        names = names if names is not None else sorted(table_schemas())
+        prefix = f"{database}." if database else ""
+        return cls(spark, {n: (lambda n=n: spark.table(f"{prefix}{n}")) for n in names})
+
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: Mapping[str, str],
                   tables: Mapping[str, str] | None = None,

@@ -73,3 +73,18 @@ def test_run_writes_partitioned_tables_and_overwrites_per_date(spark, scratch):
     diag = spark.read.parquet(paths["diagnostics"]).where(
         F.col("report_date") == F.lit(FIXTURE_AS_OF).cast("date")).collect()[0]
     assert diag.total_activities == 149 and diag.colleges_processed == 23
+
+
+def test_session_catalog_tables(spark):
+    bound = bound_catalog(spark, SF)
+    names = sorted(table_schemas())
+    for name in names:
+        bound.table(name).createOrReplaceTempView(name)
+    try:
+        via_tables = Catalog.from_tables(spark)
+        assert via_tables.names() == names
+        assert _summary_rows(ReachReport(via_tables, FIXTURE_AS_OF, scope=FIXTURE_SCOPE)) == \
+            _summary_rows(ReachReport(bound, FIXTURE_AS_OF, scope=FIXTURE_SCOPE))
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(name)
