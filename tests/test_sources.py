@@ -88,3 +88,14 @@ def test_session_catalog_tables(spark):
     finally:
         for name in names:
             spark.catalog.dropTempView(name)
+
+
+def test_command_line_run(spark, scratch):
+    from reachlens.__main__ import main
+    scope = ",".join(str(i) for i in FIXTURE_SCOPE)
+    paths = main(["--testdata", SF, "--date", "2024-01-14", "--end", "2024-01-15",
+                  "--scope", scope, "--out", os.path.join(scratch, "cli")])
+    usage = spark.read.parquet(paths["usage_data"])
+    totals = {r.report_date.isoformat(): r.total for r in usage.where("is_total").collect()}
+    assert totals["2024-01-15"] == 149 and set(totals) == {"2024-01-14", "2024-01-15"}
+    assert spark.read.parquet(paths["individual_data"]).count() == 46
