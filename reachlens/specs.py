@@ -153,6 +153,11 @@ ROSTER_SCHEMAS = {
         "test": "int", "temp_column_1": "int", "regulation_batch_mapping_id": "bigint"},
     "college_subject_mapping": {"id": "bigint", "regulation_batch_mapping_id": "bigint"},
 }
+# Activity flags the metric filters test.
+FLAG_COLUMNS = {
+    "questionnaire": {"remedial_path": "int"},
+    "questionnaire_subjective": {"is_assignment": "int"},
+}
 
 
 def table_schemas() -> dict[str, dict[str, str]]:
@@ -171,6 +176,6 @@ def table_schemas() -> dict[str, dict[str, str]]:
                 cols[m.time_col] = "time"
             if m.hop == "batch":
                 cols["college_subject_mapping_id"] = "bigint"
-    schemas["questionnaire"]["remedial_path"] = "int"
-    schemas["questionnaire_subjective"]["is_assignment"] = "int"
+    for table, cols in FLAG_COLUMNS.items():
+        schemas.setdefault(table, {"id": "bigint"}).update(cols)
     return schemas
