@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("report_date",),
-                files_per_partition: int | None = 1) -> str:
+                one_file_per_partition: bool = True) -> str:
     """Overwrite the partitions present in ``df`` under ``path``.
 
     Report tables hold a few rows per (date, college): one file per date is
-    right.  ``files_per_partition=None`` leaves the layout to the plan."""
+    right (all rows of a date go to one task; the row count per date is
+    bounded by the scope).  ``False`` leaves the file layout to the plan."""
     out = df
-    if files_per_partition is not None and partition_by:
+    if one_file_per_partition and partition_by:
         out = df.repartition(*partition_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
