@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType
 
 from reachlens.specs import table_schemas
 
@@ -26,8 +26,11 @@ def normalise(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Select ``columns`` and cast each to its declared type.
 
     Type "time" keeps DATE and TIMESTAMP_NTZ as they are and turns anything
-    else (zoned timestamps, strings) into TIMESTAMP_NTZ.  Casts are only added
-    where the type differs, so pushed filters stay on the raw column.
+    else (zoned timestamps, strings) into TIMESTAMP_NTZ; a string that is no
+    valid time (e.g. a zero date) becomes NULL instead of failing under ANSI
+    mode, and like a zero date it never falls in a report window.  Casts are
+    only added where the type differs, so pushed filters stay on the raw
+    column.
     """
     current = dict(df.dtypes)
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -38,6 +41,8 @@ def normalise(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         if want == "time":
             if isinstance(fields[name], (DateType, TimestampNTZType)):
                 out.append(F.col(name))
+            elif isinstance(fields[name], StringType):
+                out.append(F.expr(f"try_cast(`{name}` AS TIMESTAMP_NTZ)").alias(name))
             else:
                 out.append(F.col(name).cast("timestamp_ntz").alias(name))
         elif current[name] == want:

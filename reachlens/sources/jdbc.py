@@ -5,6 +5,10 @@ bridge table of a large deployment must be split: ``partitioning`` gives
 (column, lower, upper, num_partitions) and Spark issues one range query per
 slice.  Window filters and column lists are pushed into each slice's SQL by
 Spark; joins and aggregates run in Spark.
+
+For MySQL, add ``zeroDateTimeBehavior=CONVERT_TO_NULL`` to the URL: zero dates
+then arrive as NULL, which (like the original's datetime truthiness test)
+never falls in a report window.
 """
 
 from __future__ import annotations

@@ -187,3 +187,17 @@ def test_period_labels(spark):
     assert p.period_start_label == "14-Jan-2024 (08:00 AM)"
     assert p.period_end_label == "15-Jan-2024 (08:00 AM)"
     assert p.window_start == dt.datetime(2024, 1, 14, 8)
+
+
+def test_string_times_are_normalised_and_bad_values_do_not_count(spark):
+    from reachlens.sources.catalog import Catalog
+    base = make_catalog(spark, {"college": [(9, "C9")],
+                                "student_college_details": [enrol(1, 9)],
+                                "questionnaire_live_has_students": [(1, 1), (1, 2), (1, 3)]})
+    events = spark.createDataFrame(
+        [(1, "2024-01-15 01:00:00"), (2, "0000-00-00 00:00:00"), (3, "2024-01-14 07:00:00")],
+        "id bigint, start_time string")
+    frames = {n: base.table(n) for n in base.names()}
+    frames["questionnaire_live"] = events
+    cat = Catalog.from_frames(spark, frames)
+    assert counts(ReachReport(cat, AS_OF, scope=[9]), LIVE) == {9: 1}
