@@ -67,7 +67,7 @@ class ReachReport:
         """(report_date, college_id, college_name, one column per spec)."""
         specs = tuple(specs) if specs is not None else report_metrics()
         return report.wide_table(self.colleges(), self.counts(specs), specs,
-                                 self.start, self.end)
+                                 self.start, self.end, self.scope)
 
     # -- report outputs ---------------------------------------------------------
     def metric_frame(self, column: str) -> DataFrame:
