@@ -13,6 +13,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when that costs a shuffle: otherwise the pair
+    # dedupe reuses the join's hash(activity id) partitioning and AQE keeps a
+    # hot activity (one notification to a third of all students) in ONE task
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # large bridge scans are pre-filtered by a bloom filter of the windowed
     # activity ids before a sort-merge join shuffles them
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
