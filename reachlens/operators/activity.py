@@ -34,7 +34,7 @@ from reachlens.specs import MetricSpec
 PAIR_COLUMNS = ("metric", "report_date", "student_id", "event_id")
 
 
-def _with_metric(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
+def with_metric_labels(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     """Add the metric name(s) of each row of a shared source: one literal when
     the group has one unfiltered spec, else one row per spec whose activity
     filter holds (a row can feed several metrics)."""
@@ -58,7 +58,7 @@ def _any_filter(specs: Sequence[MetricSpec]) -> Column | None:
     return reduce(lambda a, b: a | b, [F.expr(s.event_filter) for s in specs])
 
 
-def _filtered_events(catalog: Catalog, specs: Sequence[MetricSpec]) -> DataFrame:
+def filtered_events(catalog: Catalog, specs: Sequence[MetricSpec]) -> DataFrame:
     event = catalog.table(specs[0].event)
     wanted = _any_filter(specs)
     return event.where(wanted) if wanted is not None else event
@@ -79,7 +79,7 @@ def activity_id_bounds(catalog: Catalog, groups: Sequence[Sequence[MetricSpec]],
         return {}
     parts = []
     for i, g in enumerate(timed):
-        event = _filtered_events(catalog, g)
+        event = filtered_events(catalog, g)
         ttype = event.schema[g[0].time_col].dataType
         parts.append(event.where(in_window(g[0].time_col, ttype, start, end))
                      .select(F.lit(i).alias("source"), F.col("id")))
@@ -97,13 +97,13 @@ def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
     range filter to the bridge scan."""
     head = specs[0]
     bridge = catalog.table(head.bridge)
-    event = _filtered_events(catalog, specs)
+    event = filtered_events(catalog, specs)
 
     if head.time_side == "event":
         ttype = event.schema[head.time_col].dataType
         activities = event.where(in_window(head.time_col, ttype, start, end))
         activities = _with_report_date(activities, head.time_col, ttype, start, end)
-        activities = _with_metric(activities, specs).select(
+        activities = with_metric_labels(activities, specs).select(
             F.col("id").alias("event_id"), "report_date", "metric")
         if id_bounds is not None and head.source_key in id_bounds:
             bounds = id_bounds[head.source_key]
@@ -121,7 +121,7 @@ def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
             pairs = (links.join(ids, "event_id", "left_semi")
                      .withColumn("metric", F.lit(head.column)))
         else:
-            labelled = _with_metric(event, specs).select(F.col("id").alias("event_id"),
+            labelled = with_metric_labels(event, specs).select(F.col("id").alias("event_id"),
                                                           "metric")
             pairs = links.join(labelled, "event_id")
     return pairs.select(*PAIR_COLUMNS)

@@ -13,6 +13,9 @@ message bus), the same numbers can be kept up to date incrementally:
   one row per pair of the open windows, spread over the shuffle by pair);
 * a stream-static join to the eligible members (static roster) keeps only
   eligible rows, then a second, chained aggregation counts per college;
+* several bridge streams run as ONE query: each is labelled with its metric(s)
+  and the sources are unioned before the watermark, like the batch plan's
+  single pair fact;
 * append mode emits each (report date, college) count once, when its window
   is final; the parquet file sink with a checkpoint is exactly-once, so a
   restarted query neither loses nor repeats rows.
@@ -23,15 +26,17 @@ batch id and has no per-row time on the stream side).
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from reachlens.operators.activity import filtered_events, grouped_sources, with_metric_labels
 from reachlens.operators.roster import members as roster_members
 from reachlens.sources.catalog import Catalog
-from reachlens.specs import WINDOW_HOUR, MetricSpec
+from reachlens.specs import WINDOW_HOUR, MetricSpec, report_metrics
 
 # Closed window [D-1 08:00, D 08:00] == [start, start + 1 day + 1 us).
 WINDOW_LENGTH = "1 day 1 microsecond"
@@ -39,29 +44,39 @@ WINDOW_SLIDE = "1 day"
 WINDOW_OFFSET = f"{WINDOW_HOUR} hours"
 
 
-def timed_links(links: DataFrame, spec: MetricSpec, catalog: Catalog) -> DataFrame:
-    """(student_id, event_id, t) for a stream of bridge rows of ``spec``.
+def timed_links(links: DataFrame, specs: Sequence[MetricSpec], catalog: Catalog) -> DataFrame:
+    """(metric, student_id, event_id, t) for a stream of bridge rows feeding
+    ``specs`` (specs that share one source, see ``activity.grouped_sources``).
 
     Bridge-timed metrics take the time from the row itself and keep rows
-    whose activity passes the activity filter (semi join with the static
-    activity ids); activity-timed metrics take the time from the static
-    activity table (stream-static inner join)."""
-    if not spec.student_keyed:
-        raise ValueError(f"{spec.column} is not a student-keyed metric")
-    events = catalog.table(spec.event)
-    if spec.event_filter:
-        events = events.where(spec.event_filter)
-    rows = links.select("student_id", F.col(spec.bridge_fk).alias("event_id"),
-                        *([F.col(spec.time_col).alias("t")] if spec.time_side == "bridge" else []))
-    if spec.time_side == "bridge":
-        return rows.join(events.select(F.col("id").alias("event_id")), "event_id", "left_semi")
-    times = events.select(F.col("id").alias("event_id"),
-                          F.col(spec.time_col).cast("timestamp_ntz").alias("t"))
-    return rows.join(times, "event_id")
-
-
-def live_counts(timed: DataFrame, members: DataFrame, spec: MetricSpec,
-                lateness: str = "2 hours") -> DataFrame:
+    whose activity passes the activity filter (stream-static join with the
+    static activity ids); activity-timed metrics take the time from the static
+    activity table.  Metric labels come from the activity flags, as in the
+    batch plan."""
+    head = specs[0]
+    if not all(s.student_keyed and s.source_key == head.source_key for s in specs):
+        raise ValueError("timed_links needs student-keyed specs of one shared source")
+    events = filtered_events(catalog, specs)
+    rows = links.select("student_id", F.col(head.bridge_fk).alias("event_id"),
+                        *([F.col(head.time_col).alias("t")] if head.time_side == "bridge" else []))
+    if head.time_side == "bridge":
+        if len(specs) == 1:
+            ids = events.select(F.col("id").alias("event_id"))
+            timed = (rows.join(ids, "event_id", "left_semi")
+                     .withColumn("metric", F.lit(head.column)))
+        else:
+            labels = with_metric_labels(events, specs).select(F.col("id").alias("event_id"),
+                                                              "metric")
+            timed = rows.join(labels, "event_id")
+    else:
+        labels = with_metric_labels(events, specs).select(
+            F.col("id").alias("event_id"), F.col(head.time_col).cast("timestamp_ntz").alias("t"),
+            "metric")
+        timed = rows.join(labels, "event_id")
+    return timed.select("metric", "student_id", "event_id", "t")
+
+
+def live_counts(timed: DataFrame, members: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """Streaming (report_date, college_id, metric, n), final per window.
 
     Watermarks need a zoned TIMESTAMP and windows are aligned to UTC, so the
@@ -73,20 +88,29 @@ def live_counts(timed: DataFrame, members: DataFrame, spec: MetricSpec,
     windowed = (timed.where(F.col("t").isNotNull())
                 .withColumn("t", F.col("t").cast("timestamp")).withWatermark("t", lateness)
                 .select(F.window("t", WINDOW_LENGTH, WINDOW_SLIDE, WINDOW_OFFSET).alias("w"),
-                        "student_id", "event_id"))
-    pairs = windowed.groupBy("w", "student_id", "event_id").count()
+                        "metric", "student_id", "event_id"))
+    pairs = windowed.groupBy("w", "metric", "student_id", "event_id").count()
     per_college = (pairs.join(members, "student_id")
-                   .groupBy("w", "college_id").agg(F.count("*").alias("n")))
+                   .groupBy("w", "college_id", "metric").agg(F.count("*").alias("n")))
     return per_college.select(F.to_date(F.col("w.end")).alias("report_date"), "college_id",
-                              F.lit(spec.column).alias("metric"), F.col("n").cast("bigint"))
+                              "metric", F.col("n").cast("bigint"))
 
 
-def start_live_counts(links: DataFrame, spec: MetricSpec, catalog: Catalog,
+def start_live_counts(streams: Mapping[str, DataFrame], catalog: Catalog,
                       scope: Iterable[int], out_path: str, checkpoint: str,
-                      lateness: str = "2 hours", available_now: bool = False) -> StreamingQuery:
-    """Run ``live_counts`` into a date-partitioned parquet table."""
-    counts = live_counts(timed_links(links, spec, catalog), roster_members(catalog, scope),
-                         spec, lateness)
+                      specs: Sequence[MetricSpec] | None = None, lateness: str = "2 hours",
+                      available_now: bool = False) -> StreamingQuery:
+    """One streaming query for every metric fed by ``streams`` (bridge table
+    name -> stream of its rows): the sources are unioned into one pair fact
+    with one watermark, like the batch plan, and written to a
+    date-partitioned parquet table."""
+    specs = tuple(specs) if specs is not None else report_metrics()
+    groups = [g for g in grouped_sources(specs) if g[0].bridge in streams]
+    if not groups:
+        raise ValueError("no student-keyed metric reads the given streams")
+    timed = reduce(lambda a, b: a.unionByName(b),
+                   [timed_links(streams[g[0].bridge], g, catalog) for g in groups])
+    counts = live_counts(timed, roster_members(catalog, scope), lateness)
     writer = (counts.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).partitionBy("report_date"))
     if available_now:

@@ -27,8 +27,9 @@ def _stream(spark, cat, spec, chunks, scratch, lateness):
         time.sleep(1.1)  # distinct file times: one chunk per trigger, in order
     links = spark.readStream.schema(bridge.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = os.path.join(scratch, "out")
-    q = start_live_counts(links, spec, cat, FIXTURE_SCOPE, out, os.path.join(scratch, "chk"),
-                          lateness=lateness, available_now=True)
+    q = start_live_counts({spec.bridge: links}, cat, FIXTURE_SCOPE, out,
+                          os.path.join(scratch, "chk"), specs=[spec], lateness=lateness,
+                          available_now=True)
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     return {(r.report_date.isoformat(), r.college_id): r.n for r in got.collect()}
@@ -58,3 +59,29 @@ def test_activity_timed_metric_streams(spark, scratch):
     want = {k: v for k, v in _batch_counts(cat, spec, "2024-01-01", "2024-01-31").items()
             if k[0] <= last}
     assert got == want
+
+
+def test_several_bridges_stream_as_one_query(spark, scratch):
+    """Remediation (bridge-timed) and the two subjective metrics (one shared
+    bridge, label from the activity flag) in one streaming query."""
+    cat = bound_catalog(spark, SF)
+    specs = [metric("total_remediate_count"), metric("total_Assignment_count"),
+             metric("total_subjective_count")]
+    streams = {}
+    for bridge in {s.bridge for s in specs}:
+        src = os.path.join(scratch, bridge)
+        table = cat.table(bridge)
+        table.coalesce(1).write.parquet(src)
+        streams[bridge] = spark.readStream.schema(table.schema).parquet(src)
+    out = os.path.join(scratch, "out")
+    q = start_live_counts(streams, cat, FIXTURE_SCOPE, out, os.path.join(scratch, "chk"),
+                          specs=specs, lateness="1 hour", available_now=True)
+    q.awaitTermination(300)
+    got = {(r.metric, r.report_date.isoformat(), r.college_id): r.n
+           for r in spark.read.parquet(out).collect()}
+    assert {m for m, _, _ in got} == {s.column for s in specs}
+    last = max(d for _, d, _ in got)
+    for spec in specs:
+        want = {k: v for k, v in _batch_counts(cat, spec, "2024-01-01", "2024-01-31").items()
+                if k[0] <= last}
+        assert {(d, c): n for (m, d, c), n in got.items() if m == spec.column} == want
