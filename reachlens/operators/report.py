@@ -84,34 +84,35 @@ def ranked(scored: DataFrame) -> DataFrame:
 
 
 def summary_with_total(scored: DataFrame, start, end) -> DataFrame:
-    """Ranked rows plus one total row per report date from ONE aggregation:
-    grouping sets (date, college) and (date) read the scored rows once.  A
-    zero sentinel row per date keeps the total row when no college is in
-    scope (its per-college group is dropped again)."""
+    """Ranked rows plus one total row per report date from ONE window pass.
+
+    A zero sentinel row is added per date (so the total row exists even when
+    no college is in scope).  Within each date partition the sentinel ranks
+    last and becomes the total row by taking the partition sums; every other
+    row keeps its values and gets its rank.  One shuffle (by report date; a
+    partition holds the scoped colleges of one date), no second aggregation."""
     values = (*MODULES, "total")
     sentinel = (scored.sparkSession.range(1)
                 .select(F.explode(date_range_column(start, end)).alias("report_date"),
                         F.lit(None).cast("bigint").alias("college_id"),
                         F.lit(None).cast("string").alias("college_name"),
-                        *[F.lit(0).cast("bigint").alias(m) for m in values]))
-    rolled = (scored.select("report_date", "college_id", "college_name", *values)
-              .unionByName(sentinel)
-              .groupingSets([["report_date", "college_id", "college_name"], ["report_date"]],
-                            "report_date", "college_id", "college_name")
-              .agg(F.grouping("college_id").alias("is_total"),
-                   *[F.sum(m).cast("bigint").alias(m) for m in values]))
-    rolled = rolled.where((F.col("is_total") == 1) | F.col("college_id").isNotNull())
-    is_total = F.col("is_total") == 1
-    rank = F.row_number().over(Window.partitionBy("report_date", "is_total")
-                               .orderBy(F.desc("total"), F.asc("college_id")))
-    return rolled.select(
+                        *[F.lit(0).cast("bigint").alias(m) for m in values],
+                        F.lit(True).alias("is_total")))
+    rows = (scored.select("report_date", "college_id", "college_name", *values)
+            .withColumn("is_total", F.lit(False)).unionByName(sentinel))
+    per_date = Window.partitionBy("report_date")
+    ranking = per_date.orderBy(F.asc("is_total"), F.desc("total"), F.asc("college_id"))
+    is_total = F.col("is_total")
+    return rows.select(
         "report_date",
-        F.when(is_total, F.lit(TOTAL_ROW_S_NO)).otherwise(rank.cast("string")).alias("s_no"),
+        F.when(is_total, F.lit(TOTAL_ROW_S_NO))
+        .otherwise(F.row_number().over(ranking).cast("string")).alias("s_no"),
         F.when(is_total, F.lit(TOTAL_ROW_COLLEGE_ID))
         .otherwise(F.col("college_id").cast("string")).alias("college_id"),
         F.when(is_total, F.lit(TOTAL_ROW_NAME)).otherwise(F.col("college_name"))
         .alias("college_name"),
-        *[F.col(m) for m in values],
+        *[F.when(is_total, F.sum(m).over(per_date)).otherwise(F.col(m)).cast("bigint").alias(m)
+          for m in values],
         is_total.alias("is_total"))
 
 
