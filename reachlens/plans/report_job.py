@@ -134,12 +134,19 @@ class ReachReport:
         paths = {"individual_data": f"{out}/individual_data",
                  "usage_data": f"{out}/usage_data",
                  "diagnostics": f"{out}/diagnostics"}
-        sinks.write_table(self.combined(), paths["individual_data"])
+        # Each table already ends in an operator clustered by report_date (the
+        # serial-number window, the rank window, the per-date aggregate), so
+        # every date's rows are in one task and land in one file: no extra
+        # repartition before the write.
+        sinks.write_table(self.combined(), paths["individual_data"],
+                          one_file_per_partition=False)
         in_range = F.col("report_date").between(F.lit(self.start), F.lit(self.end))
         stored = (sinks.read_table(self.spark, paths["individual_data"]).where(in_range)
                   .drop("s_no"))
-        sinks.write_table(self.summary_with_total(stored), paths["usage_data"])
-        sinks.write_table(self.diagnostics(stored), paths["diagnostics"])
+        sinks.write_table(self.summary_with_total(stored), paths["usage_data"],
+                          one_file_per_partition=False)
+        sinks.write_table(self.diagnostics(stored), paths["diagnostics"],
+                          one_file_per_partition=False)
         return paths
 
 

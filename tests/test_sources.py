@@ -73,6 +73,13 @@ def test_run_writes_partitioned_tables_and_overwrites_per_date(spark, scratch):
     diag = spark.read.parquet(paths["diagnostics"]).where(
         F.col("report_date") == F.lit(FIXTURE_AS_OF).cast("date")).collect()[0]
     assert diag.total_activities == 149 and diag.colleges_processed == 23
+    # one file per date partition in every table
+    for table in paths.values():
+        for part in os.listdir(table):
+            if part.startswith("report_date="):
+                files = [f for f in os.listdir(os.path.join(table, part))
+                         if f.endswith(".parquet")]
+                assert len(files) == 1, (table, part, files)
 
 
 def test_session_catalog_tables(spark):
