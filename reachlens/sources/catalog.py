@@ -32,8 +32,8 @@ def normalise(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     only added where the type differs, so pushed filters stay on the raw
     column.
     """
-    current = dict(df.dtypes)
     fields = {f.name: f.dataType for f in df.schema.fields}
+    current = {name: dtype.simpleString() for name, dtype in fields.items()}
     out = []
     for name, want in columns.items():
         if name not in current:
