@@ -1,8 +1,8 @@
 """Column-level helpers (window arithmetic, labels, number formats)."""
 
-from reachlens.functions.timewin import (date_range_column, in_window, period_label,
-                                         report_dates, window_bounds, window_end,
-                                         window_start)
+from reachlens.functions.timewin import (date_range_column, in_date_range, in_window,
+                                         period_label, report_dates, window_bounds,
+                                         window_end, window_start)
 
-__all__ = ["date_range_column", "in_window", "period_label", "report_dates",
+__all__ = ["date_range_column", "in_date_range", "in_window", "period_label", "report_dates",
            "window_bounds", "window_end", "window_start"]

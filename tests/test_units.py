@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from helpers import enrol, make_catalog, ts
 from reachlens.plans import ReachReport
-from reachlens.specs import metric
 
 AS_OF = "2024-01-15"
 LIVE = "total_live_assignment"
