@@ -43,6 +43,20 @@ def _norm(v):
     return v
 
 
+SPARK_TYPES = {"bigint": "int", "int": "int", "string": "str", "date": "date",
+               "timestamp_ntz": "ts", "timestamp": "ts", "boolean": "bool", "double": "float"}
+DUCK_TYPES = {"BIGINT": "int", "INTEGER": "int", "VARCHAR": "str", "DATE": "date",
+              "TIMESTAMP": "ts", "BOOLEAN": "bool", "DOUBLE": "float"}
+
+
+def type_kinds(df, relation) -> tuple[dict, dict]:
+    spark_kinds = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_kinds = {c: DUCK_TYPES.get(str(t), str(t))
+                  for c, t in zip(relation.columns, relation.types)}
+    return spark_kinds, duck_kinds
+
+
 def canon(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     cols = [columns[i] for i in order]
@@ -67,8 +81,9 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             drows = cur.fetchall()
             scols, svals = canon(df.columns, srows)
             ocols, ovals = canon(dcols, drows)
+            skinds, dkinds = type_kinds(df, con.sql(oracle[name]))
             res.update(oracle_rows=len(drows), columns_match=scols == ocols,
-                       values_match=svals == ovals)
+                       types_match=skinds == dkinds, values_match=svals == ovals)
             if scols != ocols:
                 res["spark_columns"], res["oracle_columns"] = scols, ocols
             elif svals != ovals:
@@ -86,7 +101,7 @@ if __name__ == "__main__":
     spark = local_session(8)
     out = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in out.items() if not v.get("values_match", True)
-           or not v.get("columns_match", True)]
+           or not v.get("columns_match", True) or not v.get("types_match", True)]
     for k, v in out.items():
         print(k, json.dumps(v))
     print("MISMATCH:", bad if bad else "none")

@@ -60,7 +60,8 @@ def test_oracle_all_queries_sf0001(spark):
     from oracle_check import compare
     report = compare(spark, "/root/testdata/sf0.001")
     bad = {k: v for k, v in report.items()
-           if not (v.get("columns_match", True) and v.get("values_match", True))}
+           if not (v.get("columns_match", True) and v.get("values_match", True)
+                   and v.get("types_match", True))}
     assert not bad, bad
     assert all("oracle_rows" in v for v in report.values())
 
