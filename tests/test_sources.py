@@ -106,3 +106,22 @@ def test_command_line_run(spark, scratch):
     totals = {r.report_date.isoformat(): r.total for r in usage.where("is_total").collect()}
     assert totals["2024-01-15"] == 149 and set(totals) == {"2024-01-14", "2024-01-15"}
     assert spark.read.parquet(paths["individual_data"]).count() == 46
+
+
+def test_stored_tables_equal_lazy_report(spark, scratch):
+    cat = bound_catalog(spark, SF)
+    report = ReachReport(cat, "2024-01-10", "2024-01-16", scope=FIXTURE_SCOPE)
+    paths = report.run(os.path.join(scratch, "eq"))
+
+    def rows(df, cols):
+        return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+    wide = report.combined()
+    assert rows(spark.read.parquet(paths["individual_data"]), wide.columns) == \
+        rows(wide, wide.columns)
+    summary = report.summary_with_total()
+    assert rows(spark.read.parquet(paths["usage_data"]), summary.columns) == \
+        rows(summary, summary.columns)
+    diag = report.diagnostics()
+    assert rows(spark.read.parquet(paths["diagnostics"]), diag.columns) == \
+        rows(diag, diag.columns)
