@@ -21,8 +21,7 @@ from reachlens.functions.timewin import as_date
 from reachlens.operators import activity, batch_hop, report, roster
 from reachlens.sources import sinks
 from reachlens.sources.catalog import Catalog
-from reachlens.specs import (ACTIVE_COLLEGES, METRICS, MODULES, MetricSpec, metric,
-                             module_metrics, report_metrics)
+from reachlens.specs import ACTIVE_COLLEGES, METRICS, MODULES, MetricSpec, metric
 
 
 class ReachReport:
@@ -37,6 +36,8 @@ class ReachReport:
             raise ValueError(f"empty date range {self.start}..{self.end}")
         self.scope = tuple(int(x) for x in scope)
         self.specs = tuple(specs)
+        # the wide report's metrics, in column order
+        self.report_specs = tuple(s for s in self.specs if s.in_report)
         # exact activity-id range filter on bridge scans (one small extra job)
         self.prune_bridges = prune_bridges
 
@@ -48,7 +49,9 @@ class ReachReport:
         return roster.members(self.catalog, self.scope)
 
     def counts(self, specs: Sequence[MetricSpec]) -> DataFrame | None:
-        """Long counts (report_date, college_id, metric, n) of ``specs``."""
+        """Long rows (report_date, college_id, metric, n) of ``specs`` whose sum
+        per (report_date, college_id, metric) is the metric (one row per member
+        for student-keyed metrics, one per college for the batch hop)."""
         parts = []
         pairs = activity.activity_pairs(self.catalog, specs, self.start, self.end,
                                         self.prune_bridges)
@@ -65,17 +68,18 @@ class ReachReport:
 
     def wide(self, specs: Sequence[MetricSpec] | None = None) -> DataFrame:
         """(report_date, college_id, college_name, one column per spec)."""
-        specs = tuple(specs) if specs is not None else report_metrics()
+        specs = tuple(specs) if specs is not None else self.report_specs
         return report.wide_table(self.colleges(), self.counts(specs), specs,
                                  self.start, self.end, self.scope)
 
     # -- report outputs ---------------------------------------------------------
     def metric_frame(self, column: str) -> DataFrame:
         """One metric: (report_date, college_id, college_name, <column>)."""
-        return self.wide([metric(column)])
+        own = [s for s in self.specs if s.column == column]
+        return self.wide(own[:1] or [metric(column)])
 
     def module_frame(self, module: str) -> DataFrame:
-        return self.wide(module_metrics(module))
+        return self.wide([s for s in self.report_specs if s.module == module])
 
     def combined(self) -> DataFrame:
         """Wide report with serial numbers (S.No, ids, 16 metrics)."""
@@ -83,7 +87,7 @@ class ReachReport:
 
     def scored(self, wide: DataFrame | None = None) -> DataFrame:
         wide = wide if wide is not None else self.wide()
-        return report.module_scores(wide, report_metrics())
+        return report.module_scores(wide, self.report_specs)
 
     def summary(self, wide: DataFrame | None = None) -> DataFrame:
         """Module scores and total, ranked by total."""
@@ -97,7 +101,7 @@ class ReachReport:
         also add up college ids for the three merged module frames), number of
         colleges, total activities and its display text."""
         wide = wide if wide is not None else self.wide()
-        specs = report_metrics()
+        specs = self.report_specs
         aggs = []
         for m in MODULES:
             score = report.module_score(specs, m)
