@@ -200,3 +200,14 @@ def test_string_times_are_normalised_and_bad_values_do_not_count(spark):
     frames["questionnaire_live"] = events
     cat = Catalog.from_frames(spark, frames)
     assert counts(ReachReport(cat, AS_OF, scope=[9]), LIVE) == {9: 1}
+
+
+def test_custom_spec_list_drives_the_report(spark):
+    from reachlens.specs import metric
+    t = ts("2024-01-15 01:00:00")
+    cat = live_catalog(spark, [(1, t)], [(1, 1)], [enrol(1, 9)])
+    rep = ReachReport(cat, AS_OF, scope=[9], specs=[metric(LIVE), metric("swoc_count")])
+    assert rep.combined().columns == ["report_date", "s_no", "college_id", "college_name",
+                                      LIVE, "swoc_count"]
+    row = rep.summary().collect()[0]
+    assert (row.engage, row.teach, row.total) == (1, 0, 1)
