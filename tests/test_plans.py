@@ -152,3 +152,41 @@ def test_hot_activity_is_split_by_aqe(spark):
     assert "SortMergeJoin" in buf.getvalue()
     assert "Arguments: coalesced and skewed" in buf.getvalue() or \
         "Arguments: skewed" in buf.getvalue()
+
+
+def test_bucketed_roster_skips_member_shuffles(spark, scratch):
+    """A roster stored bucketed by student_id: the members dedupe and the
+    members side of the join run without a shuffle."""
+    from reachlens.operators import activity
+    from reachlens.specs import report_metrics
+    db = "rl_bucket_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/{db}'")
+    try:
+        bound = bound_catalog(spark, "/root/testdata/sf0.001")
+        for name in table_schemas():
+            writer = bound.table(name).write.mode("overwrite")
+            if name == "student_college_details":
+                writer = writer.bucketBy(8, "student_id").sortBy("student_id")
+            writer.saveAsTable(f"{db}.{name}")
+        cat = Catalog.from_tables(spark, db)
+        rep = ReachReport(cat, FIXTURE_AS_OF, scope=FIXTURE_SCOPE)
+        assert "Exchange" not in plan_text(rep.members())
+        old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        try:
+            pairs = activity.activity_pairs(cat, report_metrics(), rep.start, rep.end)
+            joined = activity.college_counts(activity.per_member_counts(pairs), rep.members())
+            text = plan_text(joined)
+        finally:
+            if old is None:
+                spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+            else:
+                spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+        if "SortMergeJoin" in text:  # static plan: only the per-member side is shuffled
+            assert len(re.findall(r"Exchange hashpartitioning\(student_id#\d+L?, \d+\)",
+                                  text)) == 1
+        bucketed = ReachReport(cat, FIXTURE_AS_OF, scope=FIXTURE_SCOPE).summary_with_total()
+        plain = ReachReport(bound, FIXTURE_AS_OF, scope=FIXTURE_SCOPE).summary_with_total()
+        assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
