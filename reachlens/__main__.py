@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from reachlens.plans import ReachReport
-from reachlens.session import SESSION_DEFAULTS, shared_dir
+from reachlens.session import apply_defaults, shared_dir
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import ACTIVE_COLLEGES
 
@@ -42,10 +42,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                    help="skip the activity-id range filter on bridge scans")
     args = p.parse_args(argv)
 
-    builder = SparkSession.builder.appName("reachlens")
-    for key, value in SESSION_DEFAULTS.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = apply_defaults(SparkSession.builder.appName("reachlens").getOrCreate())
 
     if args.tables:
         catalog = Catalog.from_parquet(spark, args.tables)

@@ -29,6 +29,21 @@ SESSION_DEFAULTS = {
 }
 
 
+# Static (startup-only) settings among the defaults: a cluster session keeps
+# whatever its deployment chose for these.
+_STATIC = {"spark.ui.enabled", "spark.ui.showConsoleProgress",
+           "spark.python.sql.dataFrameDebugging.enabled"}
+
+
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set each runtime default only where the session leaves it unset, so a
+    cluster's own ``--conf`` choices win."""
+    for key, value in SESSION_DEFAULTS.items():
+        if key not in _STATIC and spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "reachlens") -> SparkSession:
     """A local session for tests, the bench and the driver's smoke check."""
