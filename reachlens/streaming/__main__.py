@@ -1,0 +1,66 @@
+"""Keep the report's counts up to date from streams of bridge rows.
+
+    python -m reachlens.streaming --tables /warehouse/lms \\
+        --stream questionnaire_remedial_path=/landing/qrp \\
+        --stream notifications_has_students=/landing/nhs \\
+        --out /shared/live_counts --checkpoint /shared/live_counts_chk
+
+Each ``--stream`` names a bridge table and the folder its new parquet files
+land in.  The activity tables and the roster are read as static tables
+(``--tables`` parquet folder, or ``--testdata`` for the driver's test data).
+All streams run as one query; ``--available-now`` processes what is there and
+stops (a scheduled incremental run), otherwise the query keeps running.
+"""
+
+from __future__ import annotations
+
+import argparse
+
+from pyspark.sql import SparkSession
+
+from reachlens.session import apply_defaults, shared_dir
+from reachlens.sources.catalog import Catalog
+from reachlens.specs import ACTIVE_COLLEGES
+from reachlens.streaming.live_counts import start_live_counts
+
+
+def main(argv: list[str] | None = None):
+    p = argparse.ArgumentParser(prog="reachlens.streaming",
+                                description=__doc__.splitlines()[0])
+    src = p.add_mutually_exclusive_group(required=True)
+    src.add_argument("--tables", help="folder with one parquet table per report table")
+    src.add_argument("--testdata", help="driver test-data folder (bound views)")
+    p.add_argument("--stream", action="append", required=True,
+                   help="bridge_table=folder of arriving parquet files (repeatable)")
+    p.add_argument("--scope", help="comma-separated college ids (default: the active list)")
+    p.add_argument("--out", help="output folder (default: <checkpoint dir>/live_counts)")
+    p.add_argument("--checkpoint", help="streaming checkpoint folder (shared storage)")
+    p.add_argument("--lateness", default="2 hours", help="watermark delay")
+    p.add_argument("--available-now", action="store_true",
+                   help="process the available files and stop")
+    args = p.parse_args(argv)
+
+    spark = apply_defaults(SparkSession.builder.appName("reachlens-streaming").getOrCreate())
+    if args.tables:
+        catalog = Catalog.from_parquet(spark, args.tables)
+    else:
+        from reachlens.sources.bindings import bound_catalog
+        catalog = bound_catalog(spark, args.testdata)
+
+    streams = {}
+    for item in args.stream:
+        bridge, _, folder = item.partition("=")
+        # the stream's schema is the bridge table's (streams need one up front)
+        streams[bridge] = (spark.readStream.schema(catalog.table(bridge).schema)
+                           .parquet(folder))
+    scope = [int(x) for x in args.scope.split(",")] if args.scope else ACTIVE_COLLEGES
+    out = args.out or f"{shared_dir(spark)}/live_counts"
+    checkpoint = args.checkpoint or f"{out}_checkpoint"
+    query = start_live_counts(streams, catalog, scope, out, checkpoint,
+                              lateness=args.lateness, available_now=args.available_now)
+    query.awaitTermination()
+    return out
+
+
+if __name__ == "__main__":
+    main()

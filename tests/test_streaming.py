@@ -85,3 +85,21 @@ def test_several_bridges_stream_as_one_query(spark, scratch):
         want = {k: v for k, v in _batch_counts(cat, spec, "2024-01-01", "2024-01-31").items()
                 if k[0] <= last}
         assert {(d, c): n for (m, d, c), n in got.items() if m == spec.column} == want
+
+
+def test_streaming_command_line(spark, scratch):
+    from reachlens.streaming.__main__ import main
+    cat = bound_catalog(spark, SF)
+    spec = metric("total_remediate_count")
+    src = os.path.join(scratch, "landing")
+    cat.table(spec.bridge).coalesce(1).write.parquet(src)
+    scope = ",".join(str(i) for i in FIXTURE_SCOPE)
+    out = main(["--testdata", SF, "--stream", f"{spec.bridge}={src}", "--scope", scope,
+                "--out", os.path.join(scratch, "live"), "--checkpoint",
+                os.path.join(scratch, "live_chk"), "--lateness", "1 hour", "--available-now"])
+    got = {(r.report_date.isoformat(), r.college_id): r.n
+           for r in spark.read.parquet(out).where(f"metric = '{spec.column}'").collect()}
+    last = max(d for d, _ in got)
+    want = {k: v for k, v in _batch_counts(cat, spec, "2024-01-01", "2024-01-31").items()
+            if k[0] <= last}
+    assert got == want
