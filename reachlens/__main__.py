@@ -40,6 +40,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p.add_argument("--out", help="shared output folder")
     p.add_argument("--no-prune-bridges", action="store_true",
                    help="skip the activity-id range filter on bridge scans")
+    p.add_argument("--keep-member-counts", action="store_true",
+                   help="also store per-member daily counts (reusable by later runs)")
+    p.add_argument("--member-counts",
+                   help="stored per-member daily counts to report from (no bridge scans)")
     args = p.parse_args(argv)
 
     spark = apply_defaults(SparkSession.builder.appName("reachlens").getOrCreate())
@@ -56,9 +60,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
 
     scope = [int(x) for x in args.scope.split(",")] if args.scope else ACTIVE_COLLEGES
     out = args.out or f"{shared_dir(spark)}/reports"
+    stored = spark.read.parquet(args.member_counts) if args.member_counts else None
     report = ReachReport(catalog, args.date, args.end, scope=scope,
-                         prune_bridges=not args.no_prune_bridges)
-    paths = report.run(out)
+                         prune_bridges=not args.no_prune_bridges, member_counts=stored)
+    paths = report.run(out, keep_member_counts=args.keep_member_counts)
     summary = (spark.read.parquet(paths["usage_data"])
                .where(F.col("report_date").between(F.lit(report.start), F.lit(report.end)))
                .orderBy("report_date", "is_total", F.col("s_no").cast("int")))

@@ -11,13 +11,14 @@ lineage of the small report tables starts at the shared folder.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachlens.functions.timewin import as_date
+from reachlens.functions.timewin import as_date, in_date_range
 from reachlens.operators import activity, batch_hop, report, roster
 from reachlens.sources import sinks
 from reachlens.sources.catalog import Catalog
@@ -27,7 +28,8 @@ from reachlens.specs import ACTIVE_COLLEGES, METRICS, MODULES, MetricSpec, metri
 class ReachReport:
     def __init__(self, catalog: Catalog, start, end=None,
                  scope: Iterable[int] = ACTIVE_COLLEGES,
-                 specs: Sequence[MetricSpec] = METRICS, prune_bridges: bool = False):
+                 specs: Sequence[MetricSpec] = METRICS, prune_bridges: bool = False,
+                 member_counts: DataFrame | None = None):
         self.catalog = catalog
         self.spark = catalog.spark
         self.start = as_date(start)
@@ -40,6 +42,9 @@ class ReachReport:
         self.report_specs = tuple(s for s in self.specs if s.in_report)
         # exact activity-id range filter on bridge scans (one small extra job)
         self.prune_bridges = prune_bridges
+        # stored per-member daily counts (``run(keep_member_counts=True)``):
+        # student-keyed metrics are then read from them instead of the bridges
+        self.stored_member_counts = member_counts
 
     # -- building blocks -----------------------------------------------------
     def colleges(self) -> DataFrame:
@@ -48,15 +53,31 @@ class ReachReport:
     def members(self) -> DataFrame:
         return roster.members(self.catalog, self.scope)
 
+    def member_counts(self, specs: Sequence[MetricSpec] | None = None) -> DataFrame | None:
+        """(metric, report_date, student_id, n): distinct activities per member
+        and day for the student-keyed ``specs``.  They depend on neither the
+        scope nor eligibility, so a stored copy serves later reports for other
+        colleges, a changed roster or a sub-range without scanning bridges."""
+        keyed = [s for s in (specs if specs is not None else self.report_specs)
+                 if s.student_keyed]
+        if not keyed:
+            return None
+        if self.stored_member_counts is not None:
+            return (self.stored_member_counts
+                    .where(in_date_range("report_date", self.start, self.end))
+                    .where(F.col("metric").isin([s.column for s in keyed]))
+                    .select("metric", "report_date", "student_id", "n"))
+        pairs = activity.activity_pairs(self.catalog, keyed, self.start, self.end,
+                                        self.prune_bridges)
+        return activity.per_member_counts(pairs)
+
     def counts(self, specs: Sequence[MetricSpec]) -> DataFrame | None:
         """Long rows (report_date, college_id, metric, n) of ``specs`` whose sum
         per (report_date, college_id, metric) is the metric (one row per member
         for student-keyed metrics, one per college for the batch hop)."""
         parts = []
-        pairs = activity.activity_pairs(self.catalog, specs, self.start, self.end,
-                                        self.prune_bridges)
-        if pairs is not None:
-            per_member = activity.per_member_counts(pairs)
+        per_member = self.member_counts(specs)
+        if per_member is not None:
             parts.append(activity.college_counts(per_member, self.members()))
         for s in specs:
             if s.hop == "batch":
@@ -129,20 +150,31 @@ class ReachReport:
         return report.with_period(diag)
 
     # -- production run ------------------------------------------------------------
-    def run(self, out_dir: str) -> dict[str, str]:
+    def run(self, out_dir: str, keep_member_counts: bool = False) -> dict[str, str]:
         """Write the wide table, then summary + total and diagnostics from it.
 
         ``out_dir`` must be a shared folder (e.g. under spark.checkpoint.dir);
-        each table is date-partitioned and overwritten per date."""
+        each table is date-partitioned and overwritten per date.  With
+        ``keep_member_counts`` the per-member daily counts are written first
+        (``member_counts``) and the report is built from the stored table."""
         out = out_dir.rstrip("/")
         paths = {"individual_data": f"{out}/individual_data",
                  "usage_data": f"{out}/usage_data",
                  "diagnostics": f"{out}/diagnostics"}
+        source = self
+        if keep_member_counts and self.stored_member_counts is None:
+            counts = self.member_counts()
+            if counts is not None:
+                paths["member_counts"] = f"{out}/member_counts"
+                sinks.write_table(counts, paths["member_counts"], one_file_per_partition=False)
+                source = copy.copy(self)
+                source.stored_member_counts = sinks.read_table(self.spark,
+                                                               paths["member_counts"])
         # Each table already ends in an operator clustered by report_date (the
         # serial-number window, the rank window, the per-date aggregate), so
         # every date's rows are in one task and land in one file: no extra
         # repartition before the write.
-        sinks.write_table(self.combined(), paths["individual_data"],
+        sinks.write_table(source.combined(), paths["individual_data"],
                           one_file_per_partition=False)
         in_range = F.col("report_date").between(F.lit(self.start), F.lit(self.end))
         stored = (sinks.read_table(self.spark, paths["individual_data"]).where(in_range)
