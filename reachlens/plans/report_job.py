@@ -43,7 +43,9 @@ class ReachReport:
         # exact activity-id range filter on bridge scans (one small extra job)
         self.prune_bridges = prune_bridges
         # stored per-member daily counts (``run(keep_member_counts=True)``):
-        # student-keyed metrics are then read from them instead of the bridges
+        # student-keyed metrics are then read from them instead of the bridges.
+        # They must cover the report's dates and metrics (a metric or date the
+        # stored run did not compute reads as zero).
         self.stored_member_counts = member_counts
 
     # -- building blocks -----------------------------------------------------
