@@ -53,6 +53,19 @@ def test_jdbc_catalog_partitioned_read(spark):
     b = ReachReport(cat, "2024-01-15", scope=[9, 21]).metric_frame(col).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert sum(r[col] for r in a) > 0
+    # the bridge id-range filter reaches the database query
+    pruned = ReachReport(via_jdbc, "2024-01-15", scope=[9, 21], prune_bridges=True)
+    df = pruned.metric_frame(col)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, b))
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    scan = [line for line in plan.splitlines()
+            if "JDBCRelation(QUESTIONNAIRE_LIVE_HAS_STUDENTS)" in line]
+    assert scan and "*GreaterThanOrEqual(questionnaire_id," in scan[0]
 
 
 def test_run_writes_partitioned_tables_and_overwrites_per_date(spark, scratch):
