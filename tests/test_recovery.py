@@ -70,9 +70,19 @@ SCRIPT = textwrap.dedent('''
     got = ReachReport(Catalog.from_frames(spark, frames), FIXTURE_AS_OF,
                       scope=FIXTURE_SCOPE).metric_frame(col).collect()
     want = ReachReport(bound, FIXTURE_AS_OF, scope=FIXTURE_SCOPE).metric_frame(col).collect()
+    # the production run (three written tables) with a source failing again
+    os.makedirs(os.path.join(scratch, "marks2"))
+    frames[bridge] = (spark.read.format("flaky_bridge")
+                      .option("path", os.path.join(scratch, "bridge"))
+                      .option("marker", os.path.join(scratch, "marks2")).load())
+    paths = ReachReport(Catalog.from_frames(spark, frames), FIXTURE_AS_OF,
+                        scope=FIXTURE_SCOPE).run(os.path.join(scratch, "out"))
+    stored_total = spark.read.parquet(paths["usage_data"]).where("is_total").collect()[0]
     print(json.dumps({{"got": sorted([r.college_id, r[col]] for r in got),
                       "want": sorted([r.college_id, r[col]] for r in want),
-                      "failed_partitions": len(os.listdir(os.path.join(scratch, "marks")))}}))
+                      "failed_partitions": len(os.listdir(os.path.join(scratch, "marks"))),
+                      "failed_in_run": len(os.listdir(os.path.join(scratch, "marks2"))),
+                      "stored_total": stored_total.total}}))
 ''')
 
 
@@ -88,3 +98,4 @@ def test_report_survives_failed_tasks(scratch):
     assert result["failed_partitions"] == 4          # every partition failed once
     assert result["got"] == result["want"]
     assert sum(n for _, n in result["got"]) == 5     # FIXTURES.md §3, sf0.001
+    assert result["failed_in_run"] == 4 and result["stored_total"] == 149
