@@ -26,6 +26,18 @@ from reachlens.sources.bindings import (FIXTURE_AS_OF, FIXTURE_RANGE,  # noqa: E
                                         FIXTURE_SCOPE, bound_catalog)
 
 
+def _commit() -> str | None:
+    """Short hash of the measured code, when the repo is a git checkout."""
+    import subprocess
+    try:
+        out = subprocess.run(["git", "-C", os.path.dirname(os.path.abspath(__file__)),
+                              "rev-parse", "--short", "HEAD"], capture_output=True,
+                             text=True, timeout=10)
+        return out.stdout.strip() or None
+    except (OSError, subprocess.SubprocessError):
+        return None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -81,6 +93,7 @@ def main() -> None:
         "warmup_sec": round(warmup, 3),
         "repeat": repeat,
         "min_max": spread,
+        "commit": _commit(),
     }))
     spark.stop()
 
