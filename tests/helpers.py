@@ -21,15 +21,26 @@ def schema_of(name: str, time_types: dict[str, T.DataType] | None = None) -> T.S
     return T.StructType(fields)
 
 
+_EMPTY: dict[tuple, object] = {}
+
+
 def make_catalog(spark, tables: dict[str, list[tuple]] | None = None,
                  time_types: dict[str, dict[str, T.DataType]] | None = None) -> Catalog:
-    """Every registry table, empty unless given as tuples in schema order."""
+    """Every registry table, empty unless given as tuples in schema order.
+    Empty tables are built once per session and schema (DataFrames are
+    immutable), so a test only pays for the tables it fills."""
     tables = tables or {}
     time_types = time_types or {}
     frames = {}
     for name in table_schemas():
         schema = schema_of(name, time_types.get(name))
-        frames[name] = spark.createDataFrame(tables.get(name, []), schema)
+        if name in tables:
+            frames[name] = spark.createDataFrame(tables[name], schema)
+        else:
+            key = (id(spark), name, schema.json())
+            if key not in _EMPTY:
+                _EMPTY[key] = spark.createDataFrame([], schema)
+            frames[name] = _EMPTY[key]
     return Catalog.from_frames(spark, frames)
 
 
