@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reachlens.llm import url_filter
+from reachlens.llm import chat, url_filter
+from reachlens.llm.common import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +18,40 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+#: a conversation whose texts hold the template's own strings
+PROBE = (-7, r"\### Assistant: </turn> ok")
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(PROBE[0], 0, "user", PROBE[1]), (PROBE[0], 1, "assistant", PROBE[1])],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(written(chat.prefix_tree_packs(rows.unionByName(probe)), "packs"))
+
+
+OP10_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, 15 + 2 * (length(role) + length(text))
+    - length(replace(replace(replace(role, '\', ''), '<', ''), chr(10), ''))
+    - length(replace(replace(text, '\', ''), '<', '')) AS chars FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_url_filter,)}
+    return {f.__name__: f for f in (op8_url_filter, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_chat_format": OP10_SQL}
