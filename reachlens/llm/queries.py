@@ -6,14 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reachlens.llm import chat, url_filter
-from reachlens.llm.common import written
+from reachlens.llm import chat, url_filter, warc
+from reachlens.llm.common import scratch, written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    return warc.resolved(written(warc.index(warc.read_archive(spark, path)), "warc-index"))
+
+
+#: 20 bits of the digest at a time: four letters of base 32
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INT), 5)
+      AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), 'string_agg', '') AS payload_digest
+  FROM p
+), r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to FROM r
+"""
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -50,8 +73,8 @@ FROM sized GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_url_filter, op10_chat_format)}
+    return {f.__name__: f for f in (op2_warc, op8_url_filter, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat_format": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op10_chat_format": OP10_SQL}
