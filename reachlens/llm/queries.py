@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reachlens.llm import chat, url_filter, warc
+from reachlens.llm import chat, merkle, url_filter, warc
 from reachlens.llm.common import scratch, written
 
 
@@ -37,6 +38,59 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 """
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = merkle.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    own = F.col("fingerprint")
+    return made.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint",
+        merkle.likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(own, F.col("next_fingerprint")).alias("near_next"))
+
+
+OP3_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(
+    lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+    first(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next FROM documents
+), e AS (
+  SELECT doc_id, text, left(text, length(text) - length(text) // 3)
+    || CASE WHEN length(text) < 3 THEN '' ELSE left(next, length(text) // 3) END AS edited FROM d
+), t AS (
+  SELECT doc_id, 0 AS kind, text FROM e UNION ALL SELECT doc_id, 1, edited FROM e
+), h AS (
+  SELECT doc_id, kind, text, list_transform(string_split(text, chr(10)), lambda p: sha256(p)) AS hashes,
+    list_transform(flatten(list_transform(string_split(text, chr(10)),
+      lambda p: regexp_extract_all(p, '{merkle.RUN}'))), lambda r: substr(md5(r), 1, 8)) AS leaves FROM t
+), s AS (
+  SELECT *, list_transform(string_split(rtrim(array_to_string(list_transform(hashes,
+    lambda x: CASE WHEN x[1] IN ('0', '1', '2', '3') THEN x || ';' ELSE x END), ''), ';'), ';'),
+    lambda x: sha256(x)) AS sections FROM h
+), f AS (
+  SELECT doc_id, kind, text, leaves, sha256(array_to_string(sections, '')) AS root, concat_ws(':',
+    sha256(array_to_string(sections, '')),
+    array_to_string(list_transform(sections, lambda x: substr(x, 1, {merkle.CUT})), ','),
+    array_to_string(list_transform(hashes, lambda x: substr(x, 1, {merkle.CUT})), ','),
+    array_to_string(leaves, ',')) AS fp FROM s
+), j AS (
+  SELECT a.doc_id, a.text, a.leaves, a.root, a.fp, b.fp AS edited_fp, b.text AS edited, b.root AS edited_root,
+    b.leaves AS edited_leaves,
+    coalesce(lead(a.root) OVER (ORDER BY a.doc_id DESC), first(a.root) OVER (ORDER BY a.doc_id DESC)) AS next_root,
+    coalesce(lead(a.leaves) OVER (ORDER BY a.doc_id DESC), first(a.leaves) OVER (ORDER BY a.doc_id DESC)) AS next_leaves
+  FROM f a JOIN f b USING (doc_id) WHERE a.kind = 0 AND b.kind = 1
+)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint,
+  edited_fp AS edited_fingerprint,
+  CAST(CASE WHEN root = edited_root THEN 1 WHEN len(leaves) + len(edited_leaves) = 0 THEN 0 ELSE
+    CAST(2 * len(list_intersect(leaves, edited_leaves)) AS DOUBLE)
+    / (len(list_distinct(leaves)) + len(list_distinct(edited_leaves))) END AS DOUBLE) AS near_edited,
+  CAST(CASE WHEN root = next_root THEN 1 WHEN len(leaves) + len(next_leaves) = 0 THEN 0 ELSE
+    CAST(2 * len(list_intersect(leaves, next_leaves)) AS DOUBLE)
+    / (len(list_distinct(leaves)) + len(list_distinct(next_leaves))) END AS DOUBLE) AS near_next
+FROM j
+"""
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -73,8 +127,8 @@ FROM sized GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op8_url_filter, op10_chat_format)}
+    return {f.__name__: f for f in (op2_warc, op3_merkle, op8_url_filter, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op10_chat_format": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op10_chat_format": OP10_SQL}
