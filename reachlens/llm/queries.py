@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachlens.llm import chat, merkle, url_filter, warc
+from reachlens.llm import chat, decontaminate, merkle, mixing, quality, url_filter, warc
 from reachlens.llm.common import scratch, written
 
 
@@ -91,6 +91,71 @@ FROM j
 """
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    bad = written(decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark")), "contaminated")
+    return docs.select("doc_id").join(bad, "doc_id", "left").select(
+        "doc_id", F.col("item_ids").isNotNull().alias("contaminated"),
+        F.coalesce(F.array_join(F.col("item_ids").cast("array<string>"), ","), F.lit("")).alias("item_ids"))
+
+
+def _seed_sql(words: str, rows: str, position: str) -> str:
+    """The masked words of every window of ``words``, one SELECT a mask."""
+    return " UNION ALL ".join(
+        f"SELECT *, {m} AS mask, array_to_string([{', '.join(f'{words}[p + {i + 1}]' for i, c in enumerate(mask) if c == '1')}], ' ')"
+        f" AS seed, p AS {position} FROM (SELECT *, unnest(range(len({words}) - {len(mask) - 1})) AS p FROM {rows})"
+        for m, mask in enumerate(decontaminate.MASKS))
+
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS words FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS item FROM benchmark
+), i AS (SELECT * FROM b WHERE len(item) >= {decontaminate.MIN_TOKENS}),
+s AS ({_seed_sql('item', 'i', 'item_at')}),
+p AS ({_seed_sql('words', 'd', 'doc_at')}),
+o AS (SELECT DISTINCT doc_id, item_id, doc_at - item_at AS diag FROM p JOIN s USING (mask, seed)),
+m AS (
+  SELECT doc_id, item_id, least(len(item), {decontaminate.WINDOW}) AS width,
+    list_transform(range(len(item)), lambda j: CASE WHEN diag + j >= 0 AND words[diag + j + 1] = item[j + 1]
+      THEN 1 ELSE 0 END) AS same
+  FROM o JOIN d USING (doc_id) JOIN i USING (item_id)
+), h AS (
+  SELECT DISTINCT doc_id, item_id FROM m WHERE list_bool_or(list_transform(range(len(same) - width + 1),
+    lambda a: list_sum(same[a + 1:a + width]) >= CAST({decontaminate.SIMILARITY} AS DOUBLE) * width))
+), g AS (SELECT doc_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids FROM h GROUP BY doc_id)
+SELECT doc_id, item_ids IS NOT NULL AS contaminated, coalesce(item_ids, '') AS item_ids
+FROM documents LEFT JOIN g USING (doc_id)
+"""
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = f"""
+WITH d AS (SELECT *, coalesce(source, chr(2)) AS src, coalesce(CAST(doc_id AS VARCHAR), 'null') AS id FROM documents),
+s AS (SELECT src, sum(length(coalesce(text, ''))) AS chars FROM d GROUP BY src),
+t AS (SELECT src, chars, sqrt(chars) AS target FROM s),
+r AS (SELECT src, CASE WHEN chars > 0 THEN target / sum(target) FILTER (chars > 0) OVER ()
+    * CAST(sum(chars) OVER () AS DOUBLE) / chars ELSE 1.0 END AS rate FROM t),
+q AS (SELECT src, greatest(1, CAST(ceil(rate / {mixing.PART}) AS INT)) AS parts, rate FROM r),
+c AS (SELECT src, parts, k, sum(exp(-rate / parts) * pow(rate / parts, k) / factorial(CAST(k AS INT)))
+    OVER (PARTITION BY src ORDER BY k) AS step FROM q, range(34) n(k)),
+u AS (SELECT d.*, CAST(CAST('0x' || substr(md5('{mixing.SEED}|' || id || '|' || j), 1, 13) AS BIGINT) AS DOUBLE)
+    / 4503599627370496.0 AS draw FROM d JOIN q USING (src), range(1, 50) m(j) WHERE j <= parts),
+n AS (SELECT u.doc_id, count(*) AS copies FROM u JOIN c ON u.src = c.src AND c.step <= u.draw GROUP BY u.doc_id)
+SELECT doc_id, text, lang, source, n_chars, CAST(x AS INT) AS copy,
+  substr(md5('{mixing.SEED}|order|' || id || '|' || x), 1, 16) AS order_key
+FROM d JOIN n USING (doc_id), range(1, 1000) z(x) WHERE x <= copies
+"""
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -127,8 +192,10 @@ FROM sized GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op3_merkle, op8_url_filter, op10_chat_format)}
+    return {f.__name__: f for f in (op2_warc, op3_merkle, op6_quality, op7_decontaminate, op8_url_filter,
+                                  op9_mixing, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op10_chat_format": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op7_decontaminate": OP7_SQL, "op9_mixing": OP9_SQL,
+            "op10_chat_format": OP10_SQL}
