@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachlens.llm import chat, decontaminate, merkle, mixing, quality, url_filter, warc
+from reachlens.llm import chat, decontaminate, merkle, mixing, quality, substring, url_filter, warc
 from reachlens.llm.common import scratch, written
 
 
@@ -91,6 +91,28 @@ FROM j
 """
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return kept.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+                       F.sha2(joined.cast("binary"), 256).alias("kept_sha256"))
+
+
+OP5_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, p, md5(array_to_string(words[p + 1:p + {substring.WINDOW}], ' ')) AS hash
+  FROM (SELECT *, unnest(range(len(words) - {substring.WINDOW - 1})) AS p FROM d)),
+r AS (SELECT doc_id, p FROM w WHERE hash IN (SELECT hash FROM w GROUP BY hash HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, p + i AS at FROM r, range({substring.WINDOW}) x(i)),
+k AS (SELECT a.doc_id, a.p, a.word FROM (SELECT doc_id, unnest(range(len(words))) AS p, unnest(words) AS word FROM d) a
+  ANTI JOIN c ON a.doc_id = c.doc_id AND a.p = c.at),
+t AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM k GROUP BY doc_id)
+SELECT d.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(t.text, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -192,10 +214,10 @@ FROM sized GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op3_merkle, op6_quality, op7_decontaminate, op8_url_filter,
+    return {f.__name__: f for f in (op2_warc, op3_merkle, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
                                   op9_mixing, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op7_decontaminate": OP7_SQL, "op9_mixing": OP9_SQL,
+    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op5_substring": OP5_SQL, "op7_decontaminate": OP7_SQL, "op9_mixing": OP9_SQL,
             "op10_chat_format": OP10_SQL}
