@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachlens.llm import chat, decontaminate, merkle, mixing, quality, substring, url_filter, warc
+from reachlens.llm import chat, decontaminate, merkle, mixing, quality, setsketch, substring, url_filter, warc
 from reachlens.llm.common import scratch, written
 
 
@@ -91,6 +91,28 @@ FROM j
 """
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p + 1:p + 3], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(greatest(1, len(words) - 2))) AS p FROM d WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),
+c AS (SELECT node AS doc_id, min(seen) AS component_id FROM r GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
@@ -214,10 +236,10 @@ FROM sized GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op3_merkle, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
+    return {f.__name__: f for f in (op2_warc, op3_merkle, op4_near_duplicates, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
                                   op9_mixing, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op5_substring": OP5_SQL, "op7_decontaminate": OP7_SQL, "op9_mixing": OP9_SQL,
+    return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op5_substring": OP5_SQL, "op7_decontaminate": OP7_SQL, "op9_mixing": OP9_SQL,
             "op10_chat_format": OP10_SQL}
