@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachlens.llm import chat, decontaminate, merkle, mixing, quality, setsketch, substring, url_filter, warc
+from reachlens.llm import (chat, decontaminate, html_text, merkle, mixing, quality, setsketch, substring,
+                           url_filter, warc)
 from reachlens.llm.common import scratch, written
 
 
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -236,7 +241,7 @@ FROM sized GROUP BY conv_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op3_merkle, op4_near_duplicates, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
+    return {f.__name__: f for f in (op1_html_text, op2_warc, op3_merkle, op4_near_duplicates, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
                                   op9_mixing, op10_chat_format)}
 
 
