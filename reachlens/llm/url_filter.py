@@ -100,11 +100,12 @@ def threshold(scores: DataFrame) -> float:
     allow, block = sum(b.allow for b in bins), sum(b.block for b in bins)
     if not allow or not block:
         return 0.0
-    best, below_allow, below_block = (-1.0, 0.0, 0.0), 0, 0
+    best, below_allow, below_block, gap = (-1.0, 0.0, 0.0), 0, 0, -1000
     for b in bins:
         balanced = below_block / block + 1 - below_allow / allow
-        best = max(best, (balanced, -abs(b.bin / 100), b.bin / 100))
-        below_allow, below_block = below_allow + b.allow, below_block + b.block
+        at = min(max(0, gap), b.bin) / 100  # any step from the last bin to this parts alike
+        best = max(best, (balanced, -abs(at), at))
+        below_allow, below_block, gap = below_allow + b.allow, below_block + b.block, b.bin + 1
     return best[2]
 
 
