@@ -24,8 +24,8 @@ Defined results: null and empty texts have no words; documents shorter than the
 window keep all words; rows repeating a doc_id are documents of their own (whose
 windows then occur elsewhere); an empty table gives an empty result; texts
 without a removed word are returned unchanged, others as their kept words
-joined by one space; other columns are kept, but for inputs named ``_chunk``,
-``_n_words`` and ``_n_removed``, which are replaced.
+joined by one space; other columns are kept, but for inputs named ``_n_words``
+and ``_n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -195,13 +195,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CH
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).head().n or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
     part_bits = _two_power(size * 1.4 / part_bytes)  # about 1.4 bytes of entries for one of text
-    docs = docs.drop("_chunk", "_n_words", "_n_removed")
+    docs = docs.drop("_n_words", "_n_removed")
     columns = docs.columns
-    texts = docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    at = "_chunk" + "_" * max(map(len, columns))  # a name that no column has
+    texts = docs.withColumn(at, F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
     def anchors(table: pa.Table) -> pa.Table:
         values, flags, _ = _Chunk(raw_texts(table.column("text")), window).entries()
-        return _sent(table.column("_chunk")[0].as_py(), values, flags, part_bits)
+        return _sent(table.column(at)[0].as_py(), values, flags, part_bits)
 
     def candidates(chunk: _Chunk, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         values, _, inverse = chunk.entries()
@@ -212,7 +213,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CH
             return _sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint8), part_bits)
         _, hashes = candidates(_Chunk(raw_texts(left.column("text")), window), answers)
         values, flags, _ = _distinct(hashes, np.zeros(len(hashes), bool))
-        return _sent(left.column("_chunk")[0].as_py(), values, flags, part_bits)
+        return _sent(left.column(at)[0].as_py(), values, flags, part_bits)
 
     def remove(left: pa.Table, answers: pa.Table) -> pa.Table:
         raw = raw_texts(left.column("text")) if left.num_rows else []
@@ -236,7 +237,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CH
         return pa.table([*out, pa.array(np.diff(chunk.bounds), pa.int64()), pa.array(removed, pa.int64())],
                         names=[*columns, "_n_words", "_n_removed"])
 
-    keyed = texts.groupBy("_chunk")
+    keyed = texts.groupBy(at)
     first = (keyed.applyInArrow(anchors, _ENTRIES).groupBy("part")
              .applyInArrow(_answers(True, 1), _BITS))
     second = (keyed.cogroup(first.groupBy("chunk")).applyInArrow(extend, _ENTRIES).groupBy("part")
@@ -248,6 +249,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CH
 
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows and columns of ``docs`` with repeats cut out; n_chars follows the text."""
+    docs = docs.drop("_n_words", "_n_removed")
     out = without_repeats(docs, window)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text"))
