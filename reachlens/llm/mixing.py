@@ -8,8 +8,8 @@ several such numbers.  Copies are exploded and ordered by a hash of doc_id and
 copy: a global shuffle in which every range takes rows of all sources.
 
 Defined results: a null source is a source of its own; null and empty texts add
-no characters to their source; a source without characters keeps each document
-once; rows repeating a doc_id draw the same number; sources missing from
+no characters to their source; a source without characters, and every source
+if no weight is positive, has the rate 1; rows repeating a doc_id draw the same number; sources missing from
 ``weights`` get none; an empty table gives an empty result; columns of the input
 named ``copy`` or ``order_key`` are replaced.
 """
