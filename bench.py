@@ -20,10 +20,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from reachlens.operators import roster  # noqa: E402
 from reachlens.plans import ReachReport  # noqa: E402
 from reachlens.session import local_session, shared_dir  # noqa: E402
 from reachlens.sources.bindings import (FIXTURE_AS_OF, FIXTURE_RANGE,  # noqa: E402
-                                        FIXTURE_SCOPE, bound_catalog)
+                                        FIXTURE_SCOPE, GROWING, bound_catalog)
 
 
 def _commit() -> str | None:
@@ -56,16 +57,33 @@ def main() -> None:
         run_count["n"] += 1
         return f"{out_root}/bench-run-{run_count["n"]}"
 
+    def merged(query):
+        """``query`` with broadcast joins off."""
+        keys = ("spark.sql.autoBroadcastJoinThreshold",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold")
+        old = {k: spark.conf.get(k, None) for k in keys}
+        for k in keys:
+            spark.conf.set(k, "-1")
+        try:
+            return query()
+        finally:
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
     queries = {
-        # production path: wide table written, summary/total/diagnostics from it
+        # the command line's default: wide table written to the shared folder,
+        # summary, total and diagnostics from it
         "daily_report_run": lambda: day().run(run_dir()),
         "report_summary_total": lambda: day().summary_with_total().collect(),
         "report_combined": lambda: day().combined().collect(),
         "backfill_31d_run": lambda: span().run(run_dir()),
+        # an activity side as large as the data, joined by sort-merge
+        "growing_day_reach": lambda: merged(lambda: day().wide([GROWING]).collect()),
+        "growing_range_reach": lambda: merged(lambda: span().wide([GROWING]).collect()),
         "metric_case_study_count": lambda: day().metric_frame("case_study_count").collect(),
         "metric_total_attendance": lambda: day().metric_frame("total_attendance").collect(),
-        "eligible_students": lambda: __import__("reachlens.operators.roster", fromlist=["x"])
-        .eligible_students(bound_catalog(spark, sf_dir), FIXTURE_SCOPE).collect(),
+        "eligible_students": lambda: roster.eligible_students(
+            bound_catalog(spark, sf_dir), FIXTURE_SCOPE).count(),
     }
 
     t0 = time.perf_counter()

@@ -1,5 +1,6 @@
 """Run the report for one date or a date range and write its tables.
 
+    python -m reachlens --tables /warehouse/lms --out /shared/reports
     python -m reachlens --tables /warehouse/lms --date 2024-01-15 --out /shared/reports
     python -m reachlens --tables /warehouse/lms --date 2024-01-01 --end 2024-01-31 --out ...
     python -m reachlens --testdata /root/testdata/sf0.01 --date 2024-01-15 --out ...
@@ -7,18 +8,18 @@
 ``--tables`` is a folder with one parquet table per report table; ``--jdbc-url``
 reads the tables from a database instead; ``--testdata`` binds the driver's
 generic test tables.  ``--out`` defaults to ``spark.checkpoint.dir``/reports.
-The ranked summary with its total row is printed at the end (a few rows).
+Without ``--date`` the report date is today, taken once when the command starts.
+The total row of each date is printed at the end (one row a date).
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-
-from reachlens.plans import ReachReport
+from reachlens.plans import ReachReport, presented
 from reachlens.session import apply_defaults, shared_dir
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import ACTIVE_COLLEGES
@@ -33,17 +34,15 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     p.add_argument("--jdbc-properties", default="{}",
                    help='JSON: connection options, e.g. {"user": "...", "driver": "..."}')
     p.add_argument("--jdbc-partitioning", default="{}",
-                   help='JSON: table -> [column, lower, upper, partitions]')
-    p.add_argument("--date", required=True, help="report date (YYYY-MM-DD)")
+                   help='JSON: table -> [column, lower, upper, partitions]; tables that '
+                        'grow with the students are else split on student_id')
+    p.add_argument("--date", default=dt.date.today().isoformat(),
+                   help="report date (YYYY-MM-DD; default: today)")
     p.add_argument("--end", help="last report date of a range (default: --date)")
     p.add_argument("--scope", help="comma-separated college ids (default: the active list)")
     p.add_argument("--out", help="shared output folder")
-    p.add_argument("--no-prune-bridges", action="store_true",
-                   help="skip the activity-id range filter on bridge scans")
-    p.add_argument("--keep-member-counts", action="store_true",
-                   help="also store per-member daily counts (reusable by later runs)")
-    p.add_argument("--member-counts",
-                   help="stored per-member daily counts to report from (no bridge scans)")
+    p.add_argument("--prune-bridges", action="store_true",
+                   help="add an activity-id range filter to the bridge scans (one more job)")
     args = p.parse_args(argv)
 
     spark = apply_defaults(SparkSession.builder.appName("reachlens").getOrCreate())
@@ -60,14 +59,12 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
 
     scope = [int(x) for x in args.scope.split(",")] if args.scope else ACTIVE_COLLEGES
     out = args.out or f"{shared_dir(spark)}/reports"
-    stored = spark.read.parquet(args.member_counts) if args.member_counts else None
     report = ReachReport(catalog, args.date, args.end, scope=scope,
-                         prune_bridges=not args.no_prune_bridges, member_counts=stored)
-    paths = report.run(out, keep_member_counts=args.keep_member_counts)
-    summary = (spark.read.parquet(paths["usage_data"])
-               .where(F.col("report_date").between(F.lit(report.start), F.lit(report.end)))
-               .orderBy("report_date", "is_total", F.col("s_no").cast("int")))
-    summary.drop("is_total").show(n=1000, truncate=False)
+                         prune_bridges=args.prune_bridges)
+    paths = report.run(out)
+    totals = presented(report.stored_summary(paths).where("is_total").drop("is_total"))
+    for row in totals.orderBy("report_date").toLocalIterator():
+        print(json.dumps(row.asDict(), default=str))
     print(json.dumps(paths))
     return paths
 

@@ -5,12 +5,17 @@ Plan per report (all metrics at once):
 1. per source group: window-filter the time side (pushed into the scan), map
    each surviving row to its report date(s), join bridge to activity ids;
    metrics that read the same bridge and activity table share one scan and get
-   their label from the activity flags;
-2. union the groups to one fact (metric, report_date, student_id, event_id);
-3. count distinct activities per (metric, report_date, student): Spark plans
-   this as a map-side dedupe, a shuffle on all four keys (a hot student or a
-   hot activity is spread over many tasks), then a map-side partial count and a
-   shuffle of one row per student and map task;
+   their label from the activity flags.  The join key is (activity id, salt),
+   the salt a hash of the student over ``SALTS`` values and the activity rows
+   repeated for each: one activity linked to a third of all students is dealt
+   to that many tasks in any session, without skew settings;
+2. union the groups to one fact (metric, report_date, student_id, event_id) and
+   keep the links of eligible students (a semi join on (student, salt), the
+   salt a hash of the activity), so what follows grows with the scope;
+3. count distinct activities per (metric, report_date, student): a map-side
+   dedupe, a shuffle on all four keys (the salts are not among them, so no
+   join's partitioning is reused and a hot key stays spread), then a map-side
+   partial count and a shuffle of one row per student and map task;
 4. join the per-student counts to the members (one row per student and
    college on both sides) and sum per college.
 
@@ -31,9 +36,19 @@ from reachlens.functions.timewin import in_date_range, in_window, report_dates
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import MetricSpec
 
+# copies of an activity (a student) that a hot one's links are dealt over
+SALTS, STUDENT_SALTS = 16, 8
 PAIR_COLUMNS = ("metric", "report_date", "student_id", "event_id")
 
 
+def _salt(column: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int").alias("salt")
+
+
+def _salts(salts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+
+
 def with_metric_labels(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     """Add the metric name(s) of each row of a shared source: one literal when
     the group has one unfiltered spec, else one row per spec whose activity
@@ -106,24 +121,28 @@ def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
         activities = with_metric_labels(activities, specs).select(
             F.col("id").alias("event_id"), "report_date", "metric")
         if id_bounds is not None and head.source_key in id_bounds:
-            bounds = id_bounds[head.source_key]
-            bridge = (bridge.where(F.col(head.bridge_fk).between(*bounds)) if bounds
-                      else bridge.where(F.lit(False)))
-        links = bridge.select("student_id", F.col(head.bridge_fk).alias("event_id"))
-        pairs = links.join(activities, "event_id")
+            # on both sides: an activity added since the bounds were read is
+            # left out whole
+            low, high = id_bounds[head.source_key] or (1, 0)
+            bridge = bridge.where(F.col(head.bridge_fk).between(low, high))
+            activities = activities.where(F.col("event_id").between(low, high))
+        links = bridge.select("student_id", F.col(head.bridge_fk).alias("event_id"),
+                              _salt("student_id", SALTS))
+        pairs = links.join(activities.select("*", _salts(SALTS)), ["event_id", "salt"])
     else:
         ttype = bridge.schema[head.time_col].dataType
         links = bridge.where(in_window(head.time_col, ttype, start, end))
         links = _with_report_date(links, head.time_col, ttype, start, end).select(
-            "student_id", F.col(head.bridge_fk).alias("event_id"), "report_date")
+            "student_id", F.col(head.bridge_fk).alias("event_id"), "report_date",
+            _salt("student_id", SALTS))
         if len(specs) == 1:
-            ids = event.select(F.col("id").alias("event_id"))
-            pairs = (links.join(ids, "event_id", "left_semi")
+            ids = event.select(F.col("id").alias("event_id"), _salts(SALTS))
+            pairs = (links.join(ids, ["event_id", "salt"], "left_semi")
                      .withColumn("metric", F.lit(head.column)))
         else:
             labelled = with_metric_labels(event, specs).select(F.col("id").alias("event_id"),
-                                                          "metric")
-            pairs = links.join(labelled, "event_id")
+                                                          "metric", _salts(SALTS))
+            pairs = links.join(labelled, ["event_id", "salt"])
     return pairs.select(*PAIR_COLUMNS)
 
 
@@ -149,6 +168,13 @@ def activity_pairs(catalog: Catalog, specs: Iterable[MetricSpec], start, end,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def of_students(pairs: DataFrame, students: DataFrame) -> DataFrame:
+    """The pairs whose student is among ``students`` (distinct student_id)."""
+    return (pairs.withColumn("salt", _salt("event_id", STUDENT_SALTS))
+            .join(students.select("student_id", _salts(STUDENT_SALTS)),
+                  ["student_id", "salt"], "left_semi").select(*PAIR_COLUMNS))
+
+
 def per_member_counts(pairs: DataFrame) -> DataFrame:
     """(metric, report_date, student_id, n) - distinct activities per member."""
     return (pairs.groupBy("metric", "report_date", "student_id")

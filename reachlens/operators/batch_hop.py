@@ -10,14 +10,17 @@ smaller sides:
   student's eligible rows in that college.  Students with the same signature
   reach exactly the same assignments, so only
   ``n_students(college, signature)`` is kept.
-* per (report_date, college, signature) the number of distinct assignments
-  reachable from any batch of the signature (an exact distinct count over
-  signature x assignment rows, which do not grow with the number of students).
+* per (report_date, signature) the number of distinct assignments reachable from
+  any batch of the signature.  For a signature of one batch (most students) that
+  is the batch's own number, counted once per (report_date, batch) and joined;
+  only signatures of two or more batches list their assignments, once per
+  signature and not per college.
 
 count(college, date) = sum over signatures of n_students * n_assignments.  This
 is exact for any data: a student with several batches counts each assignment
 once, and an assignment mapped to several batches is deduplicated inside its
-signature.
+signature.  The listing grows with the distinct sets of several batches, which
+in the worst case (every student a set of their own) is the number of students.
 """
 
 from __future__ import annotations
@@ -63,14 +66,22 @@ def batch_hop_counts(catalog: Catalog, spec: MetricSpec, scope: Iterable[int],
                      start, end) -> DataFrame:
     """(report_date, college_id, metric, n) for one batch-hop metric.
 
-    The roster is aggregated once: each (college, signature, n_students) row
-    is expanded to its batches, joined to the windowed assignments and
-    counted per (date, college, signature)."""
+    One-batch signatures take their batch's number of assignments; the others
+    are counted over their distinct (signature, batch) rows."""
     sizes = signature_sizes(catalog, scope)
-    reach = (sizes.withColumn("batch", F.explode("signature"))
-             .join(batch_assignments(catalog, spec, start, end), "batch")
-             .groupBy("report_date", "college_id", "signature", "n_students")
-             .agg(F.count_distinct("assignment_id").alias("n_assignments")))
-    return (reach.groupBy("report_date", "college_id")
+    assigned = batch_assignments(catalog, spec, start, end)
+    per_batch = (assigned.groupBy("report_date", "batch")
+                 .agg(F.count_distinct("assignment_id").alias("n_assignments")))
+    one = (sizes.where(F.size("signature") == 1).withColumn("batch", F.col("signature")[0])
+           .join(per_batch, "batch"))
+    several = sizes.where(F.size("signature") > 1)
+    listed = (several.select("signature").distinct()
+              .select("signature", F.explode("signature").alias("batch"))
+              .join(assigned, "batch").groupBy("report_date", "signature")
+              .agg(F.count_distinct("assignment_id").alias("n_assignments")))
+    many = several.join(listed, "signature")
+    columns = ["report_date", "college_id", "n_students", "n_assignments"]
+    return (one.select(*columns).unionByName(many.select(*columns))
+            .groupBy("report_date", "college_id")
             .agg(F.sum(F.col("n_students") * F.col("n_assignments")).alias("n"))
             .select("report_date", "college_id", F.lit(spec.column).alias("metric"), "n"))

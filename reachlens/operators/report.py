@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachlens.functions.timewin import date_range_column, period_label, window_end, window_start
-from reachlens.operators.roster import scope_bounded_broadcast
 from reachlens.specs import (MODULES, TOTAL_ROW_COLLEGE_ID, TOTAL_ROW_NAME, TOTAL_ROW_S_NO,
                              MetricSpec)
 
@@ -27,15 +26,14 @@ def college_dates(colleges: DataFrame, start, end) -> DataFrame:
 
 
 def wide_table(colleges: DataFrame, counts: DataFrame | None,
-               specs: Sequence[MetricSpec], start, end, scope: Sequence[int]) -> DataFrame:
+               specs: Sequence[MetricSpec], start, end) -> DataFrame:
     """One row per (report_date, scoped college), one column per metric.
 
     Long counts and one zero row per (date, college) are unioned and shaped
     by ONE hash aggregation (a pivot written as conditional sums over numeric
     buffers only, so it stays a HashAggregate with map-side partial
     aggregation).  Names come from an inner join to the scoped college list,
-    which also drops listed ids that are not in ``college``; that list has at
-    most one row per scope id, so it is broadcast while the scope is short."""
+    which also drops listed ids that are not in ``college``."""
     names = [s.column for s in specs if s.constant is None]
     rows = college_dates(colleges, start, end).selectExpr(
         "report_date", "college_id", "CAST(NULL AS STRING) AS metric", "CAST(0 AS BIGINT) AS n")
@@ -45,7 +43,7 @@ def wide_table(colleges: DataFrame, counts: DataFrame | None,
     sums = [F.expr(f"coalesce(sum(CASE WHEN metric = '{c}' THEN n END), 0)").alias(c)
             for c in names]
     shaped = rows.groupBy(*KEY).agg(*sums) if sums else rows.select(*KEY).distinct()
-    named = shaped.join(scope_bounded_broadcast(colleges, scope), "college_id")
+    named = shaped.join(colleges, "college_id")
     cols = [f"CAST({s.constant} AS BIGINT) AS {s.column}" if s.constant is not None
             else f"CAST({s.column} AS BIGINT) AS {s.column}" for s in specs]
     return named.selectExpr(*KEY, "college_name", *cols)

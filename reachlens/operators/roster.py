@@ -12,17 +12,6 @@ from reachlens.sources.catalog import Catalog
 from reachlens.specs import ELIGIBLE_FLAGS
 
 
-# A broadcast is hinted only for tables whose row count is bounded by the scope
-# list (one row per listed college), and only while that list is small.
-MAX_BROADCAST_SCOPE = 100_000
-
-
-def scope_bounded_broadcast(df: DataFrame, scope: Iterable[int]) -> DataFrame:
-    """Broadcast-hint ``df`` (at most one row per scope id) when the scope list
-    is short enough; otherwise leave the join strategy to AQE."""
-    return F.broadcast(df) if len(tuple(scope)) <= MAX_BROADCAST_SCOPE else df
-
-
 def scope_filter(column: str, scope: Iterable[int]) -> Column:
     return F.col(column).isin([int(x) for x in scope])
 
@@ -57,8 +46,6 @@ def members(catalog: Catalog, scope: Iterable[int]) -> DataFrame:
 
 
 def eligible_students(catalog: Catalog, scope: Iterable[int]) -> DataFrame:
-    """Members of colleges that exist (semi join against the scope-bounded
-    college list)."""
+    """Members of colleges that exist (semi join against the college list)."""
     colleges = scoped_colleges(catalog, scope).select("college_id")
-    return members(catalog, scope).join(scope_bounded_broadcast(colleges, scope), "college_id",
-                                        "left_semi")
+    return members(catalog, scope).join(colleges, "college_id", "left_semi")

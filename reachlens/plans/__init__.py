@@ -1,5 +1,5 @@
 """Whole-report plans (one date or a date range) and their SQL cross-checks."""
 
-from reachlens.plans.report_job import ReachReport, drop_date
+from reachlens.plans.report_job import ReachReport, drop_date, presented
 
-__all__ = ["ReachReport", "drop_date"]
+__all__ = ["ReachReport", "drop_date", "presented"]

@@ -169,6 +169,18 @@ def summary_total_sql(start, end, scope, keep_date: bool = False) -> str:
             f"\n{ranked}\nUNION ALL\n{total}")
 
 
+def summary_total_period_sql(start, end, scope) -> str:
+    """The summary with total row of one date, and its window with labels."""
+    fmt = "'%d-%b-%Y (%I:%M %p)'"
+    lo, hi = (f"d.report_date - INTERVAL {24 - WINDOW_HOUR} HOURS",
+              f"d.report_date + INTERVAL {WINDOW_HOUR} HOURS")
+    rows = summary_total_sql(start, end, scope)
+    return (f"SELECT t.*, {lo} AS window_start, {hi} AS window_end, "
+            f"strftime({lo}, {fmt}) AS period_start_label, strftime({hi}, {fmt}) "
+            f"AS period_end_label FROM ({rows}) t CROSS JOIN (SELECT DATE '{as_date(start)}' "
+            "AS report_date) d")
+
+
 def diagnostics_sql(start, end, scope, keep_date: bool = False) -> str:
     aggs = []
     for m in MODULES:

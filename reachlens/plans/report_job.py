@@ -6,12 +6,12 @@ one union of pair sources, one distinct count, one member join, one shaping
 aggregation (pivot + zero rows).
 ``run`` writes the wide table first and derives summary, total row and
 diagnostics from the written table, so the counting plan runs once and the
-lineage of the small report tables starts at the shared folder.
+lineage of the small report tables starts at the shared folder.  No other method
+starts a job (but ``prune_bridges``, which is off by default).
 """
 
 from __future__ import annotations
 
-import copy
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -28,8 +28,7 @@ from reachlens.specs import ACTIVE_COLLEGES, METRICS, MODULES, MetricSpec, metri
 class ReachReport:
     def __init__(self, catalog: Catalog, start, end=None,
                  scope: Iterable[int] = ACTIVE_COLLEGES,
-                 specs: Sequence[MetricSpec] = METRICS, prune_bridges: bool = False,
-                 member_counts: DataFrame | None = None):
+                 specs: Sequence[MetricSpec] = METRICS, prune_bridges: bool = False):
         self.catalog = catalog
         self.spark = catalog.spark
         self.start = as_date(start)
@@ -42,11 +41,6 @@ class ReachReport:
         self.report_specs = tuple(s for s in self.specs if s.in_report)
         # exact activity-id range filter on bridge scans (one small extra job)
         self.prune_bridges = prune_bridges
-        # stored per-member daily counts (``run(keep_member_counts=True)``):
-        # student-keyed metrics are then read from them instead of the bridges.
-        # They must cover the report's dates and metrics (a metric or date the
-        # stored run did not compute reads as zero).
-        self.stored_member_counts = member_counts
 
     # -- building blocks -----------------------------------------------------
     def colleges(self) -> DataFrame:
@@ -56,22 +50,16 @@ class ReachReport:
         return roster.members(self.catalog, self.scope)
 
     def member_counts(self, specs: Sequence[MetricSpec] | None = None) -> DataFrame | None:
-        """(metric, report_date, student_id, n): distinct activities per member
-        and day for the student-keyed ``specs``.  They depend on neither the
-        scope nor eligibility, so a stored copy serves later reports for other
-        colleges, a changed roster or a sub-range without scanning bridges."""
+        """(metric, report_date, student_id, n): distinct activities per
+        eligible member and day for the student-keyed ``specs``."""
         keyed = [s for s in (specs if specs is not None else self.report_specs)
                  if s.student_keyed]
         if not keyed:
             return None
-        if self.stored_member_counts is not None:
-            return (self.stored_member_counts
-                    .where(in_date_range("report_date", self.start, self.end))
-                    .where(F.col("metric").isin([s.column for s in keyed]))
-                    .select("metric", "report_date", "student_id", "n"))
         pairs = activity.activity_pairs(self.catalog, keyed, self.start, self.end,
                                         self.prune_bridges)
-        return activity.per_member_counts(pairs)
+        students = self.members().select("student_id").distinct()
+        return activity.per_member_counts(activity.of_students(pairs, students))
 
     def counts(self, specs: Sequence[MetricSpec]) -> DataFrame | None:
         """Long rows (report_date, college_id, metric, n) of ``specs`` whose sum
@@ -93,7 +81,7 @@ class ReachReport:
         """(report_date, college_id, college_name, one column per spec)."""
         specs = tuple(specs) if specs is not None else self.report_specs
         return report.wide_table(self.colleges(), self.counts(specs), specs,
-                                 self.start, self.end, self.scope)
+                                 self.start, self.end)
 
     # -- report outputs ---------------------------------------------------------
     def metric_frame(self, column: str) -> DataFrame:
@@ -152,41 +140,53 @@ class ReachReport:
         return report.with_period(diag)
 
     # -- production run ------------------------------------------------------------
-    def run(self, out_dir: str, keep_member_counts: bool = False) -> dict[str, str]:
+    def run(self, out_dir: str) -> dict[str, str]:
         """Write the wide table, then summary + total and diagnostics from it.
 
-        ``out_dir`` must be a shared folder (e.g. under spark.checkpoint.dir);
-        each table is date-partitioned and overwritten per date.  With
-        ``keep_member_counts`` the per-member daily counts are written first
-        (``member_counts``) and the report is built from the stored table."""
+        ``out_dir`` must be a shared folder (e.g. under spark.checkpoint.dir).
+        Each table is date-partitioned; a run replaces the partition of every
+        date of its range.  A date without a college row gets one row without
+        college in the wide table, which keeps its partition and which
+        ``stored_wide`` leaves out; the other tables have a row for each date
+        anyway (total row, diagnostics).  Both carry the window's bounds and
+        labels."""
         out = out_dir.rstrip("/")
         paths = {"individual_data": f"{out}/individual_data",
                  "usage_data": f"{out}/usage_data",
                  "diagnostics": f"{out}/diagnostics"}
-        source = self
-        if keep_member_counts and self.stored_member_counts is None:
-            counts = self.member_counts()
-            if counts is not None:
-                paths["member_counts"] = f"{out}/member_counts"
-                sinks.write_table(counts, paths["member_counts"], one_file_per_partition=False)
-                source = copy.copy(self)
-                source.stored_member_counts = sinks.read_table(self.spark,
-                                                               paths["member_counts"])
-        # Each table already ends in an operator clustered by report_date (the
-        # serial-number window, the rank window, the per-date aggregate), so
-        # every date's rows are in one task and land in one file: no extra
-        # repartition before the write.
-        sinks.write_table(source.combined(), paths["individual_data"],
-                          one_file_per_partition=False)
-        in_range = F.col("report_date").between(F.lit(self.start), F.lit(self.end))
-        stored = (sinks.read_table(self.spark, paths["individual_data"]).where(in_range)
-                  .drop("s_no"))
-        sinks.write_table(self.summary_with_total(stored), paths["usage_data"],
-                          one_file_per_partition=False)
-        sinks.write_table(self.diagnostics(stored), paths["diagnostics"],
-                          one_file_per_partition=False)
+        wide = self.combined()
+        dates = self.spark.range(1).select(
+            F.explode(report.date_range_column(self.start, self.end)).alias("report_date"))
+        sinks.write_table(dates.join(wide, "report_date", "left"), paths["individual_data"])
+        stored = self.stored_wide(paths).drop("s_no")
+        sinks.write_table(report.with_period(self.summary_with_total(stored)), paths["usage_data"])
+        sinks.write_table(report.with_period(self.diagnostics(stored)), paths["diagnostics"])
         return paths
 
+    def stored(self, path: str, like: DataFrame) -> DataFrame:
+        """The rows of a stored table in this report's date range, read with the
+        schema of the frame it was written from."""
+        return sinks.read_table(self.spark, path, like.schema).where(
+            in_date_range("report_date", self.start, self.end)).select(*like.columns)
+
+    def stored_wide(self, paths: dict[str, str]) -> DataFrame:
+        """The stored ``combined`` table."""
+        return self.stored(paths["individual_data"], self.combined()).where("college_id IS NOT NULL")
+
+    def stored_summary(self, paths: dict[str, str]) -> DataFrame:
+        """The stored summary with its total rows, bounds and labels."""
+        return self.stored(paths["usage_data"], report.with_period(self.summary_with_total()))
+
+    def stored_period(self, paths: dict[str, str]) -> DataFrame:
+        """What ``period`` shows, from the stored diagnostics."""
+        return self.stored(paths["diagnostics"], report.with_period(self.diagnostics())).select(
+            *self.period().columns)
+
+
+def presented(df: DataFrame) -> DataFrame:
+    """A report table under the original's headings."""
+    return df.withColumnRenamed("s_no", "S.No")
+
 
 def drop_date(df: DataFrame) -> DataFrame:
     """Single-day presentation: the report date is implied by the run."""

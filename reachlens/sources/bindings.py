@@ -9,14 +9,13 @@ the DuckDB oracle uses the same text as a CTE.
 
 from __future__ import annotations
 
-import os
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import SparkSession
 
 from reachlens.sources.catalog import Catalog
+from reachlens.specs import MetricSpec
 
 # Fixture parameters (FIXTURES.md §2): report date and scope for the test data.
 FIXTURE_AS_OF = "2024-01-15"
@@ -24,7 +23,7 @@ FIXTURE_SCOPE = tuple([i for i in range(1, 25) if i != 13] + [76, 77])
 FIXTURE_RANGE = ("2024-01-01", "2024-01-31")
 FAMILY_BASE = "2024-01-01"
 
-RAW_TABLES = ("nation", "customer", "orders", "events", "part")
+RAW_TABLES = ("nation", "customer", "orders", "events", "part", "lineitem")
 
 # activity table -> (bridge table, bridge fk column, time column, predicate on orders)
 ORDER_FAMILIES = {
@@ -50,6 +49,9 @@ ORDER_FAMILIES = {
                           "start_time", "o_orderkey % 7 IN (2, 3)"),
     "survey": ("survey_has_students", "survey_id", "start_time", "o_orderkey % 7 > 3"),
 }
+#: a metric of the test data whose activities grow with it (not in the report)
+GROWING = MetricSpec("order_reach", "teach", "order_activity_students", "order_id",
+                     "order_activities", "start_time", in_report=False)
 EVENT_EXTRAS = {
     "questionnaire": ", id % 2 AS remedial_path",
     "questionnaire_subjective": ", id % 2 AS is_assignment",
@@ -65,6 +67,16 @@ def _family_time(dialect: str) -> str:
             "+ to_hours(CAST(id // 30 AS INTEGER))")
 
 
+def _order_time(dialect: str) -> str:
+    """Like the family time, over 31 days and every hour: id % 31 days and
+    (id div 31) % 24 hours after the base."""
+    if dialect == "spark":
+        return (f"timestamp_ntz'{FAMILY_BASE} 00:00:00' + "
+                "make_dt_interval(CAST(id % 31 AS INT), CAST((id DIV 31) % 24 AS INT))")
+    return (f"TIMESTAMP '{FAMILY_BASE} 00:00:00' + to_days(CAST(id % 31 AS INTEGER)) "
+            "+ to_hours(CAST((id // 31) % 24 AS INTEGER))")
+
+
 def _family_date(dialect: str) -> str:
     if dialect == "spark":
         return f"date_add(DATE'{FAMILY_BASE}', CAST(id % 30 AS INT))"
@@ -94,10 +106,18 @@ def binding_sql(dialect: str) -> dict[str, str]:
             "(SELECT DISTINCT event_id % 720 AS id FROM {events}) t"),
         "college_subject_mapping": (
             "SELECT p_partkey AS id, p_partkey % 40 AS regulation_batch_mapping_id "
-            "FROM {part} WHERE p_partkey < 200"),
+            "FROM {part}"),
         "case_study_assignments": (
-            "SELECT event_id AS id, event_id % 200 AS college_subject_mapping_id, "
-            "ts AS start_date FROM {events} WHERE event_type = 'error'"),
+            "SELECT event_id AS id, event_id % (SELECT max(p_partkey) + 1 FROM {part}) "
+            "AS college_subject_mapping_id, ts AS start_date FROM {events} "
+            "WHERE event_type = 'error'"),
+        # an activity side that grows with the data: an activity an order, a
+        # link an order line
+        "order_activities": (
+            f"SELECT id, {_order_time(dialect)} AS start_time "
+            "FROM (SELECT o_orderkey AS id FROM {orders}) t"),
+        "order_activity_students": "SELECT l_partkey AS student_id, l_orderkey AS order_id "
+                                   "FROM {lineitem}",
         "questionnaire_remedial_path": (
             "SELECT user_id AS student_id, event_id % 720 AS questionnaire_id, "
             "ts AS created_at FROM {events}"),
@@ -135,21 +155,6 @@ def duckdb_ctes(tables: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-# (path, size, mtime) -> schema: later reads of an unchanged file pass the
-# schema instead of running schema inference again.
-_SCHEMAS: dict[tuple, StructType] = {}
-
-
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    stat = os.stat(path)
-    key = (path, stat.st_size, stat.st_mtime_ns)
-    if key in _SCHEMAS:
-        return spark.read.schema(_SCHEMAS[key]).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[key] = df.schema
-    return df
-
-
 def bound_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """Catalog over the driver's parquet tables in ``sf_dir``.
 
@@ -161,7 +166,7 @@ def bound_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     def view(name: str) -> str:
         if name not in registered:
             registered[name] = f"rl_{tag}_{name}"
-            read_raw(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") \
+            spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") \
                 .createOrReplaceTempView(registered[name])
         return registered[name]
 

@@ -30,7 +30,8 @@ def normalise(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     valid time (e.g. a zero date) becomes NULL instead of failing under ANSI
     mode, and like a zero date it never falls in a report window.  Casts are
     only added where the type differs, so pushed filters stay on the raw
-    column.
+    column.  A window on a string column is not pushed into the scan: convert
+    such a column once when the table is stored.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     current = {name: dtype.simpleString() for name, dtype in fields.items()}
@@ -103,14 +104,20 @@ class Catalog:
                   partitioning: Mapping[str, tuple[str, int, int, int]] | None = None
                   ) -> Catalog:
         """``tables`` maps report table name -> database table (default: same
-        name); ``partitioning`` is keyed by report table name.  Column names
-        are matched case-insensitively (databases may upper-case them)."""
+        name); ``partitioning`` is keyed by report table name.  Tables with a
+        student_id (they grow with the students) are split on it where
+        ``partitioning`` does not say otherwise, never read by one task.
+        Column names are matched case-insensitively (databases may upper-case
+        them)."""
         from reachlens.sources.jdbc import read_table
         tables = dict(tables) if tables is not None else {n: n for n in table_schemas()}
         partitioning = partitioning or {}
+        schemas = table_schemas()
 
         def load(name: str) -> DataFrame:
-            df = read_table(spark, url, tables[name], properties, partitioning.get(name))
+            split_on = "student_id" if "student_id" in schemas.get(name, {}) else None
+            df = read_table(spark, url, tables[name], properties, partitioning.get(name),
+                            split_on=split_on)
             return df.toDF(*[c.lower() for c in df.columns])
 
         return cls(spark, {n: (lambda n=n: load(n)) for n in tables})

@@ -1,9 +1,9 @@
 """JDBC source: a database table read in parallel slices.
 
-Without a partition column a JDBC read is one task holding the whole table.  A
-bridge table of a large deployment must be split: ``partitioning`` gives
-(column, lower, upper, num_partitions) and Spark issues one range query per
-slice.  Window filters and column lists are pushed into each slice's SQL by
+Without a partition column a JDBC read is one task holding the whole table.
+``partitioning`` gives (column, lower, upper, num_partitions) and Spark issues
+one range query per slice; ``split_on`` names only the column, and the bounds
+come from one min/max query that the database answers.  Window filters and column lists are pushed into each slice's SQL by
 Spark; joins and aggregates run in Spark.
 
 For MySQL, add ``zeroDateTimeBehavior=CONVERT_TO_NULL`` to the URL: zero dates
@@ -20,7 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
                partitioning: tuple[str, int, int, int] | None = None,
-               fetch_size: int = 10_000) -> DataFrame:
+               fetch_size: int = 10_000, split_on: str | None = None,
+               slices: int = 32) -> DataFrame:
+    if partitioning is None and split_on is not None:
+        bounds = f"(SELECT min({split_on}) AS lo, max({split_on}) AS hi FROM {table}) b"
+        low, high = read_table(spark, url, bounds, properties).head()
+        if low is not None and high > low:
+            partitioning = (split_on, int(low), int(high) + 1, min(slices, int(high) + 1 - int(low)))
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
               .option("fetchsize", str(fetch_size))
               # datetimes without zone stay wall-clock values

@@ -1,8 +1,9 @@
 """Sinks: date-partitioned parquet tables with dynamic partition overwrite.
 
-Re-running a report date (or a backfill range) replaces exactly those date
-partitions and leaves the others; a re-run after a lost executor or a failed
-job writes the same partitions again, so writes are idempotent.
+A write replaces exactly the date partitions that its frame has rows of, so a
+caller that must replace a date also when it has nothing to report gives that
+date a row (``ReachReport.run`` does).  A re-run after a lost executor or a
+failed job writes the same partitions again: writes are idempotent.
 """
 
 from __future__ import annotations
@@ -10,22 +11,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("report_date",),
-                one_file_per_partition: bool = True) -> str:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("report_date",)) -> str:
     """Overwrite the partitions present in ``df`` under ``path``.
 
-    Report tables hold a few rows per (date, college): one file per date is
-    right (all rows of a date go to one task; the row count per date is
-    bounded by the scope).  ``False`` leaves the file layout to the plan."""
-    out = df
-    if one_file_per_partition and partition_by:
-        out = df.repartition(*partition_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    Report tables hold a few rows per (date, college), so the rows of a date go
+    to one task and one file; their number is bounded by the scope."""
+    (df.repartition(*partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table; the schema is the writer's, never inferred from files."""
+    return spark.read.schema(schema).parquet(path)

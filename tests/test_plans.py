@@ -1,8 +1,12 @@
 """Plan shape: filters reach the scan, shared sources are scanned once, no
 cartesian or nested-loop joins, one shaping aggregation."""
 
+import json
 import os
 import re
+import subprocess
+import sys
+import textwrap
 
 import pytest
 
@@ -12,6 +16,9 @@ from reachlens.sources.catalog import Catalog
 from reachlens.specs import table_schemas
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 @pytest.fixture(scope="module")
 def stored(spark):
     import tempfile
@@ -107,51 +114,85 @@ def test_bridge_id_range_pruning_is_exact_and_pushed(spark, stored):
     assert all(r.total_live_assignment == 0 for r in empty.combined().collect())
 
 
-def test_hot_activity_is_split_by_aqe(spark):
-    """One activity linked to every student: with the join forced to
-    sort-merge, AQE splits the hot partition (session default
-    forceOptimizeSkewedJoin) and the counts stay exact."""
-    import io
-    import contextlib
-
+HOT = textwrap.dedent("""
+    import json, re, sys
+    sys.path[:0] = [{root!r}, {root!r} + "/tests"]
+    from pyspark.sql import SparkSession, functions as F
     from helpers import enrol, make_catalog, ts
+    from reachlens.operators import activity
+    from reachlens.plans import ReachReport
+    from reachlens.specs import metric, report_metrics
+    # a plain session: nothing set but that joins are not broadcast
+    spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "32")
+             .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.coalescePartitions.enabled", "false").getOrCreate())
+    spark.sparkContext.setLogLevel("OFF")
     t = ts("2024-01-15 01:00:00")
     students = range(1, 4001)
-    links = [(s, 1) for s in students] + [(s, 2 + s % 50) for s in students if s % 7 == 0]
-    base = make_catalog(spark, {
+    cat = make_catalog(spark, {{
         "college": [(1, "A"), (2, "B")],
         "student_college_details": [enrol(s, 1 + s % 2) for s in students],
         "questionnaire_live": [(e, t) for e in range(1, 52)],
-        "questionnaire_live_has_students": links})
-    frames = {n: base.table(n) for n in base.names()}
-    frames["questionnaire_live_has_students"] = \
-        frames["questionnaire_live_has_students"].repartition(16)
-    cat = Catalog.from_frames(spark, frames)
-    forced = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
-              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
-              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
-    old = {k: spark.conf.get(k) for k in forced}
+        "questionnaire_live_has_students": [(s, 1) for s in students]
+        + [(s, 2 + s % 50) for s in students if s % 7 == 0]}})
+    rep = ReachReport(cat, "2024-01-15", scope=[1, 2])
+    out = {{}}
+    for name, specs in (("single", [metric("total_live_assignment")]), ("wide", report_metrics())):
+        pairs = activity.activity_pairs(cat, specs, rep.start, rep.end)
+        tasks = (pairs.where("event_id = 1").groupBy(F.spark_partition_id().alias("p")).count().collect())
+        counts = rep.counts(specs)
+        text = counts._jdf.queryExecution().executedPlan().toString()
+        out[name] = [len(tasks), max(r["count"] for r in tasks), "SortMergeJoin" in text,
+                     len(re.findall(r"hashpartitioning\\([^)]*student_id[^)]*event_id", text)),
+                     text.count("LeftSemi")]
+    got = rep.metric_frame("total_live_assignment").collect()
+    out["got"] = sorted((r.college_id, r.total_live_assignment) for r in got)
+    print(json.dumps(out))
+""")
+
+
+def test_hot_activity_is_spread_in_a_plain_session(scratch):
+    """One activity linked to every student, sort-merge joins and no skew
+    settings: its links lie in many tasks after the join, the dedupe has a
+    shuffle of its own, and the eligible students come before it."""
+    script = os.path.join(scratch, "hot.py")
+    with open(script, "w") as fh:
+        fh.write(HOT.format(root=ROOT))
+    proc = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=600)
+    lines = [line for line in proc.stdout.splitlines() if line.startswith("{")]
+    assert proc.returncode == 0 and lines, proc.stderr[-3000:]
+    out = json.loads(lines[-1])
+    for name in ("single", "wide"):
+        tasks, most, merged, own_shuffles, semi = out[name]
+        assert tasks >= 8 and most <= 1200, (name, tasks, most)
+        assert merged and own_shuffles >= 1 and semi >= 1
+    # even students are in college 1: 2000 on the hot activity + 285 multiples of 14
+    assert out["got"] == [[1, 2285], [2, 2286]]
+
+
+def test_eligible_students_come_before_the_dedupe(spark, stored):
+    rep = ReachReport(Catalog.from_parquet(spark, stored), FIXTURE_AS_OF, scope=FIXTURE_SCOPE)
+    lines = rep.counts(rep.report_specs)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dedupe = next(i for i, x in enumerate(lines) if "Aggregate [metric" in x and "event_id" in x)
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x and "student_id" in x)
+    assert semi > dedupe  # deeper in the tree: it runs first
+
+
+def test_builders_start_no_job(spark, stored):
+    rep = ReachReport(Catalog.from_parquet(spark, stored), FIXTURE_AS_OF, scope=FIXTURE_SCOPE)
+    rep.catalog.table("college")
+    spark.sparkContext.setJobGroup("builder", "builder")
     try:
-        for k, v in forced.items():
-            spark.conf.set(k, v)
-        df = ReachReport(cat, "2024-01-15", scope=[1, 2]).metric_frame("total_live_assignment")
-        got = sorted((r.college_id, r.total_live_assignment) for r in df.collect())
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain("formatted")
+        for name in table_schemas():
+            rep.catalog.table(name)  # reads the schemas
+        tracker = spark.sparkContext.statusTracker()
+        before = len(tracker.getJobIdsForGroup("builder"))
+        rep.combined(), rep.summary_with_total(), rep.diagnostics(), rep.metric_frame("case_study_count")
+        assert len(tracker.getJobIdsForGroup("builder")) == before
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    # even students are in college 1: 2000 on the hot activity + 285 multiples of 14
-    assert got == [(1, 2285), (2, 2286)]
-    assert "SortMergeJoin" in buf.getvalue()
-    assert "Arguments: coalesced and skewed" in buf.getvalue() or \
-        "Arguments: skewed" in buf.getvalue()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_bucketed_roster_skips_member_shuffles(spark, scratch):
@@ -171,20 +212,20 @@ def test_bucketed_roster_skips_member_shuffles(spark, scratch):
         cat = Catalog.from_tables(spark, db)
         rep = ReachReport(cat, FIXTURE_AS_OF, scope=FIXTURE_SCOPE)
         assert "Exchange" not in plan_text(rep.members())
-        old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+        old = {k: spark.conf.get(k, None) for k in keys}
+        for k in keys:
+            spark.conf.set(k, "-1")
         try:
             pairs = activity.activity_pairs(cat, report_metrics(), rep.start, rep.end)
             joined = activity.college_counts(activity.per_member_counts(pairs), rep.members())
             text = plan_text(joined)
         finally:
-            if old is None:
-                spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-            else:
-                spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
-        if "SortMergeJoin" in text:  # static plan: only the per-member side is shuffled
-            assert len(re.findall(r"Exchange hashpartitioning\(student_id#\d+L?, \d+\)",
-                                  text)) == 1
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        # only the per-member side is shuffled for the join with the members
+        assert "SortMergeJoin" in text
+        assert len(re.findall(r"Exchange hashpartitioning\(student_id#\d+L?, \d+\)", text)) == 1
         bucketed = ReachReport(cat, FIXTURE_AS_OF, scope=FIXTURE_SCOPE).summary_with_total()
         plain = ReachReport(bound, FIXTURE_AS_OF, scope=FIXTURE_SCOPE).summary_with_total()
         assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))

@@ -53,6 +53,11 @@ def test_jdbc_catalog_partitioned_read(spark):
     b = ReachReport(cat, "2024-01-15", scope=[9, 21]).metric_frame(col).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert sum(r[col] for r in a) > 0
+    # without partitioning a table of students is split by one min/max query
+    auto = Catalog.from_jdbc(spark, url, props, tables={n: n.upper() for n in names})
+    assert auto.table("questionnaire_live_has_students").rdd.getNumPartitions() == 32
+    assert sorted(map(tuple, auto.table("questionnaire_live_has_students").collect())) == \
+        sorted(map(tuple, cat.table("questionnaire_live_has_students").collect()))
     # the bridge id-range filter reaches the database query
     pruned = ReachReport(via_jdbc, "2024-01-15", scope=[9, 21], prune_bridges=True)
     df = pruned.metric_frame(col)
@@ -133,28 +138,58 @@ def test_stored_tables_equal_lazy_report(spark, scratch):
     assert rows(spark.read.parquet(paths["individual_data"]), wide.columns) == \
         rows(wide, wide.columns)
     summary = report.summary_with_total()
-    assert rows(spark.read.parquet(paths["usage_data"]), summary.columns) == \
+    assert rows(report.stored_summary(paths), summary.columns) == \
         rows(summary, summary.columns)
     diag = report.diagnostics()
     assert rows(spark.read.parquet(paths["diagnostics"]), diag.columns) == \
         rows(diag, diag.columns)
 
 
-def test_reports_from_stored_member_counts(spark, scratch):
-    """Per-member daily counts written once serve a report for other colleges
-    and a sub-range without touching the bridge tables."""
-    cat = bound_catalog(spark, SF)
-    paths = ReachReport(cat, "2024-01-10", "2024-01-16", scope=FIXTURE_SCOPE).run(
-        os.path.join(scratch, "mc"), keep_member_counts=True)
-    usage = spark.read.parquet(paths["usage_data"]).where("is_total")
-    assert {r.report_date.isoformat(): r.total for r in usage.collect()}["2024-01-15"] == 149
-    stored = spark.read.parquet(paths["member_counts"])
-    scope = [1, 2, 3, 5, 8, 77]
-    reused = ReachReport(cat, "2024-01-12", "2024-01-15", scope=scope, member_counts=stored)
-    fresh = ReachReport(cat, "2024-01-12", "2024-01-15", scope=scope)
-    assert sorted(map(tuple, reused.summary_with_total().collect())) == \
-        sorted(map(tuple, fresh.summary_with_total().collect()))
-    # the reused plan reads the stored counts, not the bridge sources (orders
-    # and events back every bridge of the test binding)
-    plan = reused.combined()._jdf.queryExecution().optimizedPlan().toString()
-    assert "o_orderkey" not in plan and "event_id" not in plan
+def _day(cat, scope, date="2024-01-15", end=None):
+    return ReachReport(cat, date, end, scope=scope)
+
+
+def test_rerun_replaces_every_date_of_its_range(spark, scratch):
+    t = ts("2024-01-15 01:00:00")
+    tables = {"college": [(9, "C9")], "student_college_details": [enrol(1, 9), enrol(2, 9)],
+              "questionnaire_live": [(1, t)], "questionnaire_live_has_students": [(1, 1), (2, 1)]}
+    out = os.path.join(scratch, "again")
+
+    def totals(rep, paths):
+        return {r.report_date.isoformat(): r.total
+                for r in rep.stored_summary(paths).where("is_total").collect()}
+
+    rep = _day(make_catalog(spark, tables), [9], "2024-01-15", "2024-01-16")
+    assert totals(rep, rep.run(out)) == {"2024-01-15": 2, "2024-01-16": 0}
+    # the activity is gone: the stored day follows
+    rep = _day(make_catalog(spark, {**tables, "questionnaire_live": []}), [9])
+    assert totals(rep, rep.run(out)) == {"2024-01-15": 0}
+    # a scope that exists nowhere replaces the day too, and leaves the next one
+    rep = _day(make_catalog(spark, tables), [777])
+    paths = rep.run(out)
+    assert totals(rep, paths) == {"2024-01-15": 0} and rep.stored_wide(paths).collect() == []
+    both = _day(make_catalog(spark, tables), [9], "2024-01-15", "2024-01-16")
+    assert [r.report_date.isoformat() for r in both.stored_wide(paths).collect()] == ["2024-01-16"]
+
+
+def test_quiet_day_and_empty_college_in_a_fresh_folder(spark, scratch):
+    quiet = _day(make_catalog(spark, {"college": [(9, "C9")]}), [9])
+    paths = quiet.run(os.path.join(scratch, "quiet"))
+    assert [(r.college_id, r.total_attendance) for r in quiet.stored_wide(paths).collect()] == [(9, 0)]
+    empty = _day(make_catalog(spark), [9])
+    paths = empty.run(os.path.join(scratch, "empty"))
+    assert empty.stored_wide(paths).collect() == []
+    assert [r.total for r in empty.stored_summary(paths).collect()] == [0]
+    row = empty.stored_period(paths).head()
+    assert (row.colleges_processed, row.total_activities) == (0, 0)
+    assert row.period_end_label == "15-Jan-2024 (08:00 AM)"
+
+
+def test_command_line_reports_today_by_default(spark, scratch, capsys):
+    import datetime as dt
+    from reachlens.__main__ import main
+    before = dt.date.today().isoformat()
+    main(["--testdata", SF, "--scope", "1,2", "--out", os.path.join(scratch, "today")])
+    after = dt.date.today().isoformat()
+    rows = [line for line in capsys.readouterr().out.splitlines() if '"S.No"' in line]
+    assert len(rows) == 1 and (before in rows[0] or after in rows[0])
