@@ -23,7 +23,11 @@ def read_table(spark: SparkSession, url: str, table: str, properties: Mapping[st
                fetch_size: int = 10_000, split_on: str | None = None,
                slices: int = 32) -> DataFrame:
     if partitioning is None and split_on is not None:
-        bounds = f"(SELECT min({split_on}) AS lo, max({split_on}) AS hi FROM {table}) b"
+        # as the database spells the column, quoted its way
+        split_on = next(c for c in read_table(spark, url, table, properties).columns
+                        if c.lower() == split_on.lower())
+        quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(split_on)
+        bounds = f"(SELECT min({quoted}) AS lo, max({quoted}) AS hi FROM {table}) b"
         low, high = read_table(spark, url, bounds, properties).head()
         if low is not None and high > low:
             partitioning = (split_on, int(low), int(high) + 1, min(slices, int(high) + 1 - int(low)))
