@@ -113,8 +113,10 @@ def edited_fingerprints(docs: DataFrame, bounds: int = BOUNDS) -> DataFrame:
     heads = with_fingerprint(single, "text", "next_fingerprint").select(
         F.col("reader").alias("doc_id"), F.left("text", F.col("want")).alias("head"), "next_fingerprint")
     kept = F.left("text", F.length("text") - third)
-    both = with_fingerprint(rows, "text", "fingerprint").join(heads, "doc_id", "left")
-    both = both.withColumn("edited", F.concat(kept, F.left(F.coalesce("head", F.lit("")), third)))
+    # an inner join, like that of the heads, so that both read one exchange of the texts
+    both = rows.join(heads, "doc_id").unionByName(
+        rows.where("doc_id is null").withColumns({"head": F.lit(""), "next_fingerprint": F.lit(None).cast("string")}))
+    both = with_fingerprint(both, "text", "fingerprint").withColumn("edited", F.concat(kept, F.left("head", third)))
     both = with_fingerprint(both, "edited", "edited_fingerprint")
     return both.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), "edited", "fingerprint",
                        "edited_fingerprint", F.coalesce("next_fingerprint", "fingerprint").alias("next_fingerprint"))
