@@ -11,7 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reachlens.session import shared_dir
@@ -58,10 +58,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b) of bigint: one row
     (node, comp) for each node of an edge, comp its smallest reachable node.
 
-    Every round each node takes the smallest label next to it, then its label's
-    own label (pointer jumping), so long chains shrink geometrically.  Labels
-    are written tables, so a lost executor costs at most one round.  Hubs are
-    salted; empty edges give no rows."""
+    Every round each node takes the smallest of its neighbours' labels and of
+    its label's own label (pointer jumping), so long chains shrink
+    geometrically.  Labels are written tables, so a lost executor costs at most
+    one round.  Hubs are salted; empty edges give no rows."""
     both = written(edges.select("a", "b").where("a <> b")
                    .select(F.explode(F.array(F.struct("a", "b"), F.struct(
                        F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
@@ -69,20 +69,34 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     labels = written(both.groupBy(F.col("a").alias("node"))
                      .agg(F.least(F.min("b"), F.col("a")).alias("comp")), "labels")
     for _ in range(max_rounds):
-        near = (salted_join(both, labels.withColumnRenamed("node", "a"), "a", "b", "inner")
-                .groupBy(F.col("b").alias("node")).agg(F.min("comp").alias("near")))
-        step = (labels.join(near, "node")
-                .select("node", F.least("comp", "near").alias("next"), F.col("comp").alias("old")))
-        jump = labels.select(F.col("node").alias("next"), F.col("comp").alias("jumped"))
-        new = written(salted_join(step, jump, "next", "node")
-                      .select("node", F.least("next", F.coalesce("jumped", "next")).alias("comp"), "old"),
-                      "labels")
-        labels = new.select("node", "comp")
-        if new.where("comp <> old").isEmpty():
+        known = labels.withColumnsRenamed({"node": "key", "comp": "found"})
+        near = salted_join(both.select(F.col("a").alias("key"), F.col("b").alias("node")), known,
+                           "key", "node", "inner")
+        jump = salted_join(labels.withColumnRenamed("comp", "key"), known, "key", "node", "inner")
+        none = F.lit(None).cast("bigint").alias("old")
+        step = (near.select("node", "found", none).unionByName(jump.select("node", "found", none))
+                .unionByName(labels.select("node", F.col("comp").alias("found"), F.col("comp").alias("old")))
+                .groupBy("node").agg(F.min("found").alias("comp"), F.max("old").alias("old")))
+        seen = Observation()
+        labels = written(step.observe(seen, F.count_if(F.col("comp") < F.col("old")).alias("changed"))
+                         .select("node", "comp"), "labels")
+        if not seen.get["changed"]:
             return labels
     raise RuntimeError(f"components: no end after {max_rounds} rounds")
 
 
+def star_components(rows: DataFrame, node: str, hub: str) -> DataFrame:
+    """(node, comp) for nodes that name hubs, themselves nodes: a node joins its
+    smallest hub, and its hubs are connected through that one, so the graph
+    that is walked has hubs only.  A node names a bounded number of hubs."""
+    named = rows.groupBy(F.col(node).alias("node")).agg(F.collect_set(hub).alias("hubs"))
+    named = written(named.withColumn("first", F.array_min("hubs")), "stars")
+    edges = named.select(F.col("first").alias("a"), F.explode("hubs").alias("b")).where("a <> b").distinct()
+    comps = components(edges).withColumnRenamed("node", "first")
+    return salted_join(named.select("node", "first"), comps, "first", "node").select(
+        "node", F.coalesce("comp", "first").alias("comp"))
+
+
 # -- hashing ----------------------------------------------------------------
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlens.llm.common import (batches_by_size, components, groups, hash_words, mix, partitions,
-                                  raw_texts, salted_join, seeds, written)
+                                  raw_texts, salted_join, seeds, star_components, written)
 
 REGISTERS = 192
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
@@ -185,49 +185,69 @@ class _Sets:
             x, y = self.root(a), self.root(b)
             if x != y and self.linked(a, b):
                 self.up[x] = y
-                found.append((int(self.ids[a]), int(self.ids[b])))
+                found.append((a, b))
         return found
 
 
-def _link_blocks(texts: DataFrame, keys: list[str], size: int, percent: int) -> DataFrame:
-    """(a, b, best): verified links inside each group of ``keys``; ``best`` marks a
-    row (a, null) of one of the group's most linked members."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _blocks(texts: DataFrame, keys: list[str], schema: str, answer) -> DataFrame:
+    """``answer(table)`` (a list of rows) for each group of ``keys``."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    arrow = pa.schema([(n, pa.bool_() if n == "envoy" else pa.int64()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, keys):
-            block = _Sets(table, size, percent)
-            asked = np.array(table.column("asked"), bool)
-            links = block.links(np.flatnonzero(asked), np.arange(len(asked)))
-            rows = [{"a": a, "b": b} for a, b in links]
-            if table.column("spread")[0].as_py():
-                degree = {}
-                for pair in links:
-                    for x in pair:
-                        degree[x] = degree.get(x, 0) + 1
-                every = sorted(set(block.ids.tolist()), key=lambda x: (-degree.get(x, 0), x))
-                rows += [{"a": x, "b": None} for x in every[:AMBASSADORS]]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield pa.RecordBatch.from_pylist(answer(table), schema=arrow)
 
     return (texts.repartition(partitions(texts.sparkSession), *keys).sortWithinPartitions(*keys, "doc_id")
-            .mapInArrow(run, "a bigint, b bigint"))
+            .mapInArrow(run, schema))
+
+
+def _inside(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Each member with ``label``, the smallest member connected to it inside its
+    block; ``envoy`` marks the most linked members of blocks that are not alone."""
+    def answer(table: pa.Table) -> list[dict]:
+        block = _Sets(table, size, percent)
+        every = np.arange(len(block.ids))
+        degree = np.zeros(len(every), int)
+        for pair in block.links(every, every):
+            degree[list(pair)] += 1
+        low: dict[int, int] = {}
+        for i in every:
+            low[block.root(i)] = min(low.get(block.root(i), block.ids[i]), block.ids[i])
+        envoys = set(np.lexsort((block.ids, -degree))[:AMBASSADORS].tolist())
+        group, at, blocks = (table.column(c)[0].as_py() for c in ("group", "block", "blocks"))
+        return [{"doc_id": int(block.ids[i]), "group": group, "block": at, "blocks": blocks,
+                 "label": int(low[block.root(i)]), "envoy": blocks > 1 and int(i) in envoys} for i in every]
+
+    return _blocks(texts.withColumn("label", F.col("doc_id")), ["group", "block"],
+                   "doc_id bigint, group bigint, block bigint, blocks bigint, label bigint, envoy boolean", answer)
+
+
+def _between(texts: DataFrame, keys: list[str], size: int, percent: int) -> DataFrame:
+    """(a, b): labels that verified links connect; rows ``asked`` meet all others."""
+    def answer(table: pa.Table) -> list[dict]:
+        block = _Sets(table, size, percent)
+        labels = table.column("label").to_pylist()
+        asked = np.flatnonzero(np.array(table.column("asked"), bool))
+        return [{"a": labels[i], "b": labels[j]} for i, j in block.links(asked, np.arange(len(labels)))]
+
+    return _blocks(texts, keys, "a bigint, b bigint", answer)
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` with ``label``, the component of doc_id by ``links``."""
-    comps = components(links).select(F.col("node").alias("doc_id"), F.col("comp").alias("found"))
-    return members.join(comps, "doc_id", "left").withColumn(
-        "label", F.coalesce("found", "doc_id")).drop("found")
+def _relabelled(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """``members`` with ``label`` replaced by its component over ``edges`` of labels."""
+    comps = components(edges).withColumnRenamed("node", "label")
+    return salted_join(members, comps, "label", "doc_id").withColumn(
+        "label", F.coalesce("comp", "label")).drop("comp")
 
 
-def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): links between the class members (doc_id, n, bands) that connect
-    all that are connected."""
+def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, label): the component of each class member (doc_id, n, bands)
+    that shares a band with another; the others are alone."""
     rows = classes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    stars = (salted_join(rows, buckets.select("key", "hub"), "key", "node", "inner")
-             .where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    group = components(stars).withColumnRenamed("comp", "group")
+    group = written(star_components(salted_join(rows, buckets.select("key", "hub"), "key", "node", "inner"),
+                                    "node", "hub").withColumnRenamed("comp", "group"), "groups")
 
     sized = group.join(classes.select(F.col("doc_id").alias("node"), "n"), "node")
     blocks = sized.groupBy("group").agg(F.greatest(
@@ -238,27 +258,25 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
             F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"))
         .join(docs.select("doc_id", "text"), "doc_id"), "members")
 
-    alone = members.withColumns({"label": F.col("doc_id"), "asked": F.lit(True), "spread": F.col("blocks") > 1})
-    first = written(_link_blocks(alone, ["group", "block"], size, percent), "links")
-    links = first.where("b is not null")
-    wide = members.where("blocks > 1")
+    inside = written(_inside(members, size, percent), "inside")
+    wide = inside.where("blocks > 1").drop("envoy").distinct()
     if wide.isEmpty():
-        return links
+        return inside.select("doc_id", "label")
+    texts = members.where("blocks > 1").select("doc_id", "text")
 
     # the best linked members of each block meet
-    best = first.where("b is null").select(F.col("a").alias("doc_id")).distinct()
-    envoys = (_labelled(wide.join(best, "doc_id"), links)
+    envoys = (inside.where("envoy").drop("envoy").distinct().join(texts, "doc_id")
               .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("envoy")),
                                           F.ceil(F.col("blocks") * AMBASSADORS / BLOCK_SETS)))
-              .withColumns({"asked": F.lit(True), "spread": F.lit(False)}))
-    links = written(links.union(_link_blocks(envoys, ["group", "block"], size, percent)), "links")
+              .withColumn("asked", F.lit(True)))
+    labelled = written(_relabelled(wide, _between(envoys, ["group", "block"], size, percent)), "labelled")
 
     # all outside the largest component of their group meet every block
-    labelled = written(_labelled(wide.drop("text"), links), "labels")
     counts = labelled.groupBy("group", "label").agg(F.count("*").alias("c"))
-    major = counts.groupBy("group").agg(F.max(F.struct("c", "label")).alias("m")).select("group", "m.label")
-    outside = labelled.join(major.withColumnRenamed("label", "major"), "group").where("label <> major")
-    parts = outside.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
+    major = counts.groupBy("group").agg(F.max(F.struct("c", "label")).alias("m")).select(
+        "group", F.col("m.label").alias("major"))
+    outside = salted_join(labelled, major, "group", "doc_id").where("label <> major")
+    parts = written(outside.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts")), "parts")
     askers = salted_join(outside, parts, "group", "doc_id").select(
         "group", "doc_id", "label", F.lit(True).alias("asked"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
@@ -266,9 +284,9 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
     asked = salted_join(labelled, parts, "group", "doc_id", "inner").select(
         "group", "doc_id", "label", F.lit(False).alias("asked"), "block",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
-    meeting = (askers.unionByName(asked).withColumn("spread", F.lit(False))
-               .join(wide.select("doc_id", "text"), "doc_id"))
-    return written(links.union(_link_blocks(meeting, ["group", "block", "part"], size, percent)), "links")
+    meeting = askers.unionByName(asked).join(texts, "doc_id")
+    final = _relabelled(labelled, _between(meeting, ["group", "block", "part"], size, percent))
+    return inside.where("blocks = 1").select("doc_id", "label").unionByName(final.select("doc_id", "label"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
@@ -278,8 +296,8 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
                .where("doc_id is not null"))
     narrow = written(classes, "classes")
     members = made.join(narrow, ["doc_id", "h1", "h2"]).select("doc_id", "n", "bands").distinct()
-    links = class_links(docs, written(members, "class-members"), size, percent)
-    comps = components(links).select(F.col("node").alias("rep"), "comp")
+    comps = class_components(docs, written(members, "class-members"), size, percent).groupBy(
+        F.col("doc_id").alias("rep")).agg(F.min("label").alias("comp"))
     rows = made.select("doc_id", "n", "h1", "h2", F.struct("h1", "h2").alias("same"))
     reps = narrow.select(F.struct("h1", "h2").alias("same"), F.col("doc_id").alias("rep"))
     placed = salted_join(rows, reps, "same", "doc_id").withColumn(
