@@ -158,7 +158,8 @@ class ReachReport:
         dates = self.spark.range(1).select(
             F.explode(report.date_range_column(self.start, self.end)).alias("report_date"))
         sinks.write_table(dates.join(wide, "report_date", "left"), paths["individual_data"])
-        stored = self.stored_wide(paths).drop("s_no")
+        stored = (self.stored(paths["individual_data"], wide)
+                  .where("college_id IS NOT NULL").drop("s_no"))
         sinks.write_table(report.with_period(self.summary_with_total(stored)), paths["usage_data"])
         sinks.write_table(report.with_period(self.diagnostics(stored)), paths["diagnostics"])
         return paths
