@@ -309,7 +309,16 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document stays: the smallest doc_id of its group."""
-    gone = written(near_duplicates(docs, size, percent), "near").where("not kept").select(
-        F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` without all but one row of each group: its smallest
+    doc_id stays (a null one only if there is no other, of equal ones any row of
+    the smallest text hash).  Rows are told apart by a key of this stage's own, so
+    neither repeated rows nor a doc_id with several texts blur the groups."""
+    row = "_" * (1 + max(map(len, docs.columns)))
+    keyed = written(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    near = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), size, percent)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row).alias("row"))
+    groups_of = written(near.select(F.col("doc_id").alias(row), "component_id"), "near")
+    named = keyed.select(row, first.alias("first")).join(groups_of, row)
+    stay = named.groupBy("component_id").agg(F.min("first").alias("first")).select(
+        F.col("first.row").alias(row))
+    return keyed.join(written(stay, "stay"), row, "left_semi").select(*docs.columns)

@@ -86,6 +86,48 @@ def test_near_duplicates_odd_ids_and_empty_table(spark):
     assert setsketch.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_one_of_each_judges_rows_and_the_next_stage_keeps_their_text(spark):
+    def words(k, n=60):
+        return " ".join(f"{k}{i}" for i in range(n))
+    a, b, c, d, e = map(words, "abcde")
+    near_d = d.rsplit(" ", 1)[0] + " other"
+    rows = [(1, a), (1, a), (1, a),          # ingested three times
+            (None, b), (None, b), (7, b),    # the null ids lose to 7
+            (None, c), (None, c),            # one of them stays
+            (2, d), (9, near_d), (9, e),     # 9 loses one text and keeps the other
+            (4, None), (4, None), (5, "")]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = setsketch.one_of_each(docs)
+    want = Counter([(1, a), (7, b), (None, c), (2, d), (9, e), (4, None), (4, None), (5, "")])
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == want and kept.columns == docs.columns
+    texts = [t for _, t in want.elements()]
+    cut = Counter((r.doc_id, r.text) for r in substring.deduplicated(kept).collect())
+    assert cut == want and not any(gone for _, gone, _ in brute_substrings(texts, 35))
+    assert setsketch.one_of_each(docs.limit(0)).collect() == []
+
+
+def test_one_of_each_of_repeated_rows_against_brute_force(spark):
+    rng = random.Random(8)
+    texts = [t for t in near_copies(rng, 6, 6) for _ in range(rng.randint(1, 3))]
+    ids = [rng.choice([None, *range(30)]) for _ in texts]
+    _, comp = brute_components(texts, 5, 80)
+    want = {}
+    for i, t, c in zip(ids, texts, comp):
+        best = want.get(c, (True, None, []))
+        this = (i is None, i, [])
+        if c not in want or (this[0], this[1] or 0) < (best[0], best[1] or 0):
+            want[c] = best = this
+        if this[:2] == best[:2]:
+            best[2].append(t)
+    got = setsketch.one_of_each(frame(spark, texts, ids)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for _, i, _ in want.values())
+    at = {t: c for t, c in zip(texts, comp) if t and t.split()}
+    for r in got:
+        if r.text in at:
+            assert r.text in want[at[r.text]][2] and want[at[r.text]][1] == r.doc_id
+    assert len(got) == len(want)
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(5)
     a = np.unique(rng.integers(0, 2 ** 63, 3000, dtype=np.uint64))
