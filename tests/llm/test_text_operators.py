@@ -264,6 +264,39 @@ def test_chat_of_odd_tables(spark):
     assert chat.read_back(chat.prefix_tree_packs(conversations(spark, rows).limit(0))).collect() == []
 
 
+def test_long_conversations_are_cut_into_bounded_runs(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"<turn {t}>", "x") for t in range(20000)]
+    rows += [(c, t, *rows[t][2:4], "x") for c in (2, 3) for t in range(150)] + [(3, 150, "user", "other", "x")]
+    rows += [(4, t, "assistant", "y" * 40000, "x") for t in range(4)] + [(None, t, "user", "z", "x") for t in range(130)]
+    packs = written(chat.prefix_tree_packs(conversations(spark, rows)), "packs")
+    held = packs.collect()
+    assert max(len(p.nodes) for p in held) < 4000 and len(held) > 4
+    runs = defaultdict(list)
+    where = {}
+    for p in held:
+        children = [(n.parent, n.position, p.text[n.start:n.end]) for n in p.nodes]
+        for m in p.members:
+            spans = chat.conversation_spans(p.asDict(recursive=True), m.leaf)
+            assert len(spans) <= chat.RUN_TURNS
+            runs[m.conv_id].append((m.run, m.more))
+            where[m.conv_id, m.run] = (spans[0]["position"], spans[-1]["position"] + spans[-1]["end"] - spans[-1]["start"])
+        assert len(set(children)) == len(children)
+    for c, found in runs.items():
+        assert sorted(found) == [(i, i < len(found) - 1) for i in range(len(found))]
+        assert all(where[c, i][0] == (where[c, i - 1][1] if i else 0) for i in range(len(found)))
+    assert len(runs[1]) == -(-20000 // chat.RUN_TURNS) and len(runs[4]) == 4
+    turns = defaultdict(list)
+    for c, t, r, x, _ in rows:
+        turns[c].append((t, r, x))
+    got = {r.conv_id: r for r in chat.read_back(packs).collect()}
+    assert set(got) == set(turns)
+    for c, said in turns.items():
+        loss = "".join(x for _, r, x in said if r == "assistant")
+        assert (got[c].n_turns, got[c].loss_chars) == (len(said), len(loss))
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in said).encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
 # -- pipeline ---------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark):
