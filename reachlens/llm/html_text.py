@@ -4,7 +4,11 @@ A page is flattened to text blocks: runs of text between block-level tags, with
 words counted and the share of them inside links.  A block is described by its
 own figures, those of its neighbours and where it stands (inside an article,
 inside a part marked as menu, notice, advert, comments or the like), and a
-decision tree says whether it is main text.  The tree is grown (Gini, exact
+decision tree says whether it is main text.  A class or id marks a part only if
+its first or last word is a name of such parts and none says a state (has-sidebar,
+comments-open).  It never marks an article, unless one inside another, and marks
+that all articles of the page share are taken for the page's layout; only names of
+parts that hold articles of their own (comments, related) keep those.  The tree is grown (Gini, exact
 splits) from the small table of labelled blocks below when the operator is
 called, and travels to the tasks as nested tuples.
 
@@ -46,6 +50,11 @@ navbar navigation newsletter notice notices notification pager pagination popup
 related replies reply respond share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription
 teaser toolbar topbar widget widgets""".split())
 HEAD_NAMES = frozenset(["header", "masthead", "topbar"])
+#: words by which a class tells of a page's state or subject and names no part
+STATE_NAMES = frozenset("""has no not with without is are hide show open closed enabled disabled category cat tag
+topic format""".split())
+#: first words of the names of parts that hold articles of their own
+OWN_ARTICLES = frozenset("comment comments discussion disqus recommended related replies reply respond".split())
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "side", "place")
 #: labelled blocks: FEATURES in order, then 1 for main text.  side: inside a part
@@ -162,6 +171,7 @@ class Block:
     link_words: int
     side: bool
     article: bool
+    marks: int = 0
 
 
 @dataclass
@@ -171,11 +181,14 @@ class _Open:
     silent: bool
     article: bool
     link: bool = field(default=False)
+    marks: int = 0
 
 
-def _names(value: str | None) -> set[str]:
-    spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value or "")
-    return set(re.split(r"[^a-z0-9]+", spaced.lower()))
+def _names(value: str | None) -> list[list[str]]:
+    """The words of each class, but of those that say a state."""
+    spaced = (re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", c).lower() for c in (value or "").split())
+    words = (re.findall(r"[a-z0-9]+", c) for c in spaced)
+    return [w for w in words if w and not STATE_NAMES.intersection(w)]
 
 
 class _Flattener(HTMLParser):
@@ -185,27 +198,30 @@ class _Flattener(HTMLParser):
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.link_words = 0
-        self.has_article = False
+        self.articles: list[int] = []  # the marks around each article that may be the page's
 
     def flush(self) -> None:
         words = "".join(self.parts).split()
         if words:
             top = self.open[-1]
             self.blocks.append(Block(" ".join(words), len(words), min(self.link_words, len(words)),
-                                     top.side, top.article))
+                                     top.side, top.article, top.marks))
         self.parts, self.link_words = [], 0
 
-    def _side(self, tag: str, attrs: dict[str, str | None], article: bool) -> bool:
+    def _side(self, tag: str, attrs: dict[str, str | None], article: bool) -> tuple[bool, bool]:
+        """Whether a part is beside the text for certain, and whether its class or id marks it."""
         if tag in SIDE or (tag == "header" and not article):
-            return True
+            return True, False
         if tag in ("html", "body", "main"):
-            return False
-        names = _names(attrs.get("class")) | _names(attrs.get("id"))
-        if article or tag == "article":
-            names -= HEAD_NAMES
-        else:
-            names = names | (names & HEAD_NAMES and {"masthead"})
-        return bool(names & SIDE_NAMES) or (attrs.get("role") or "").lower() in SIDE_ROLES
+            return False, False
+        if (attrs.get("role") or "").lower() in SIDE_ROLES:
+            return True, False
+        if tag == "article" and all(o.tag != "article" for o in self.open):
+            return False, False
+        known = SIDE_NAMES - HEAD_NAMES if article or tag == "article" else SIDE_NAMES | HEAD_NAMES
+        names = [w for w in _names(attrs.get("class")) + _names(attrs.get("id"))
+                 if w[0] in known or w[-1] in known]
+        return any(w[0] in OWN_ARTICLES for w in names), bool(names)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
@@ -218,10 +234,11 @@ class _Flattener(HTMLParser):
         up = self.open[-1]
         said = dict(attrs)
         article = up.article or tag in ("article", "main")
-        side = up.side or self._side(tag, said, up.article)
+        side, marked = self._side(tag, said, up.article)
+        side, marks = up.side or side, up.marks + marked
         if tag in ("article", "main") and not side:
-            self.has_article = True
-        self.open.append(_Open(tag, side, up.silent or tag in SILENT, article, up.link or tag == "a"))
+            self.articles.append(marks)
+        self.open.append(_Open(tag, side, up.silent or tag in SILENT, article, up.link or tag == "a", marks))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a slash closes void elements only
@@ -260,7 +277,10 @@ def flatten(html: str) -> tuple[list[Block], bool]:
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.blocks, reader.has_article
+    layout = min(reader.articles, default=0)
+    for b in reader.blocks:
+        b.side = b.side or b.marks > layout
+    return reader.blocks, bool(reader.articles)
 
 
 def described(blocks: list[Block], has_article: bool) -> list[list[float]]:

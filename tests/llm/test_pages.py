@@ -39,6 +39,22 @@ def test_main_text(html, text):
     assert got == (html if text is None else text)
 
 
+@pytest.mark.parametrize("before,after", [
+    ("<article class='post comments-open'>", "</article>"),
+    ("<article class='category-social'>", "</article>"),
+    ("<article class='teaser' id='promoted'>", "</article>"),
+    ("<div id='page' class='has-sidebar'><article>", "</article></div>"),
+    ("<div class='layout no-sidebar'><main><article>", "</article></main></div>"),
+    ("<div class='content-sidebar'><div class='widget'><article>", "</article></div></div>"),
+    ("<div class='contentSidebar'><div class='related-posts'><article>x y</article></div><article>", "</article></div>"),
+    ("<div class='layout no-sidebar'>", "</div>"),
+])
+def test_classes_of_a_page_or_article_drop_no_text(before, after):
+    side = f"<div class='share-buttons'>Tell all</div><div class='comment-list'><article>{LONG}</article></div>"
+    page = PAGE.format(main=f"{before}<h1>Head of all</h1><p>{LONG}</p><p>{LONG}</p>{side}{after}", long=LONG)
+    assert html_text.main_text(page, TREE) == f"Head of all\n{LONG.strip()}\n{LONG.strip()}"
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled_rows()
     assert [round(html_text.likely(TREE, r)) for r in x] == y
