@@ -11,8 +11,8 @@ or one suffix are bounded by the alphabet.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and is judged by the models; an empty table gives an empty result; without
-ruled URLs of both verdicts the threshold is 0; repeated rows are judged alike;
-other columns are ignored.
+ruled URLs of both verdicts the threshold is 0; repeated rows are judged alike
+and each counts in the models and the threshold; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,11 +92,13 @@ def gram_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 def threshold(scores: DataFrame) -> float:
     """The score (in steps of 0.01) that best parts held-out ruled URLs by mean
-    recall; the one nearest 0 among equals.  Collects at most 2001 bins."""
+    recall; the one nearest 0 among equals.  A row counts ``pages`` times if it has
+    that column.  Collects at most 2001 bins."""
+    pages = F.col("pages") if "pages" in scores.columns else F.lit(1)
     step = F.least(F.lit(1000), F.greatest(F.lit(-1000), F.floor(F.col("score") * 100)))
     bins = (scores.where("verdict is not null").groupBy(step.alias("bin"))
-            .agg(F.sum(F.expr("int(verdict = 'allow')")).alias("allow"),
-                 F.sum(F.expr("int(verdict = 'block')")).alias("block")).orderBy("bin").collect())
+            .agg(F.sum(F.expr("int(verdict = 'allow')") * pages).alias("allow"),
+                 F.sum(F.expr("int(verdict = 'block')") * pages).alias("block")).orderBy("bin").collect())
     allow, block = sum(b.allow for b in bins), sum(b.block for b in bins)
     if not allow or not block:
         return 0.0
@@ -121,13 +123,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     held_out = F.substring(F.md5("s"), 1, 1).isin(*HELD_OUT)
     asked = F.expr("verdict is null") | held_out
     counts = (_grams(distinct, order).groupBy("gram")
-              .agg(*[F.sum(F.when((F.col("verdict") == v) & ~held_out, 1).otherwise(0)).alias(v)
+              .agg(*[F.sum(F.when((F.col("verdict") == v) & ~held_out, F.col("pages")).otherwise(0)).alias(v)
                      for v in ("allow", "block")]))
     ratios = gram_ratios(written(counts, "grams"), order)
-    asked_grams = _grams(distinct.where(asked).select("s", "verdict"), order)
+    asked_grams = _grams(distinct.where(asked).select("s", "verdict", "pages"), order)
     scores = written(
         salted_join(asked_grams, ratios, "gram", "s", "inner").groupBy("s")
-        .agg(F.first("verdict").alias("verdict"),
+        .agg(F.first("verdict").alias("verdict"), F.first("pages").alias("pages"),
              (F.sum("ratio") / 1e6 / (F.length("s") + 1)).alias("score")), "url-scores")
     limit = threshold(scores)
     open_scores = scores.where("verdict is null").select("s", "score")

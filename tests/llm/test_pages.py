@@ -200,6 +200,25 @@ def test_rules_and_odd_urls(spark):
     assert url_filter.judge_urls(pages.limit(0)).collect() == []
 
 
+def test_repeated_rows_count_in_models_and_threshold(spark):
+    once = [(f"http://a{i}.com/x", "allow") for i in range(12)] + [(f"http://a{i}.net/es/x", "block") for i in range(12)]
+    urls = [u for u, _ in once] + [once[3][0]] * 40 + ["http://a3.org/x"]
+    held = {u: hashlib.md5(u[7:].encode()).hexdigest()[0] in url_filter.HELD_OUT for u, _ in once}
+    assert not held[once[3][0]]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}[len(urls) - 1]
+    texts = [(u[7:], v) for u, v in once if not held[u]] + [(once[3][0][7:], "allow")] * 40
+    ratio = brute_ratio(texts, url_filter.ORDER)
+    padded = url_filter.START * url_filter.ORDER + "a3.org/x" + url_filter.END
+    want = [ratio(padded[i:i + url_filter.ORDER + 1]) for i in range(len("a3.org/x") + 1)]
+    assert abs(got.score - sum(want) / 1e6 / len(want)) < 1e-5
+    scores = [(0.1, "allow", 1), (0.5, "allow", 9), (0.3, "block", 1), (0.0, "block", 1)]
+    weighed = spark.createDataFrame(scores, "score double, verdict string, pages bigint")
+    every = spark.createDataFrame([s[:2] for s in scores for _ in range(s[2])], "score double, verdict string")
+    assert url_filter.threshold(weighed) == url_filter.threshold(every)
+    assert url_filter.threshold(weighed) != url_filter.threshold(weighed.drop("pages"))
+
+
 def test_models_follow_the_ruled_urls(spark):
     rng = random.Random(3)
     good, bad = ["garden", "flower", "meadow"], ["casino", "jackpot", "poker"]
