@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachlens.llm import (chat, decontaminate, html_text, merkle, mixing, quality, setsketch, substring,
-                           url_filter, warc)
+from reachlens.llm import (chat, decontaminate, html_text, manifest, merkle, mixing, quality, repair, setsketch,
+                           substring, token_files, url_filter, warc)
 from reachlens.llm.common import scratch, written
 
 
@@ -240,9 +240,25 @@ FROM sized GROUP BY conv_id
 """
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = scratch(spark, "tokens")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_documents(spark, path)
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.versions(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    return repair.repaired(repair.damaged(rows), rows)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_text, op2_warc, op3_merkle, op4_near_duplicates, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
-                                  op9_mixing, op10_chat_format)}
+                                  op9_mixing, op10_chat_format, op11_token_files, op12_manifest, op13_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
