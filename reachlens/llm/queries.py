@@ -247,6 +247,59 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+def _crc_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    byte = "list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), " \
+        "lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), "
+            f"lambda c: ord(c)::BIGINT)), lambda a, b: {byte}))")
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _climb_sql(nodes: str) -> str:
+    """The levels of trees of three children: tree, lvl, pos, n, h."""
+    return (f"SELECT tree, 0 AS lvl, pos, n, h FROM {nodes[0]} UNION ALL "
+            f"SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM {nodes[1]} "
+            "WHERE n > 1 GROUP BY tree, lvl, pos // 3, n")
+
+
+#: one step up: the node among its run's others, which go to the proof
+_STEP_SQL = """f.lvl + 1, f.pos // 3, sha256(array_to_string(hs[:f.pos % 3] || [f.h] || hs[f.pos % 3 + 2:], '')),
+    proof || array_to_string(hs[:f.pos % 3] || hs[f.pos % 3 + 2:], '')"""
+
+OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(':' || source, '-') AS tree, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {_crc_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS other
+  FROM documents
+), p AS (
+  SELECT *, leaf AS h, count(*) OVER (PARTITION BY tree) AS n,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d
+), t AS ({_climb_sql(("p", "t"))}),
+s AS (SELECT '' AS tree, tree AS source, h, count(*) OVER () AS n, row_number() OVER (ORDER BY tree) - 1 AS pos
+  FROM t WHERE n = 1),
+u AS ({_climb_sql(("s", "u"))}),
+rt AS (SELECT tree, lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM t WHERE n > 1 GROUP BY ALL),
+ru AS (SELECT lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM u WHERE n > 1 GROUP BY ALL),
+f AS (
+  SELECT tree, pos AS id, 0 AS lvl, pos, coalesce(other, leaf) AS h, '' AS proof FROM p UNION ALL
+  SELECT f.tree, id, {_STEP_SQL} FROM f JOIN rt ON rt.tree = f.tree AND rt.lvl = f.lvl AND rt.run = f.pos // 3
+), g AS (
+  SELECT f.tree, id, 0 AS lvl, s.pos, f.h, proof FROM f JOIN s ON s.source = f.tree
+  WHERE f.lvl = (SELECT max(lvl) FROM t WHERE t.tree = f.tree) UNION ALL
+  SELECT f.tree, id, {_STEP_SQL} FROM g f JOIN ru ON ru.lvl = f.lvl AND ru.run = f.pos // 3
+), e AS (SELECT * FROM g WHERE lvl = (SELECT max(lvl) FROM u)),
+r AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, e.h AS folded_root, e.h = root AS verified
+FROM p JOIN s ON s.source = p.tree JOIN e ON e.tree = p.tree AND e.id = p.pos CROSS JOIN r
+"""
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.versions(_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -256,6 +309,78 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(repair.damaged(rows), rows)
 
 
+_BLANKS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _cost_sql(letter: str, cost: str, rest: str) -> str:
+    return f"{{c: CAST({cost} AS BIGINT) + {rest}.c, a: '{letter}' || {rest}.a}}"
+
+
+def _state_sql(here: str, following: str, after: str) -> str:
+    """The cheapest edits of a row in state ``here``: delete, keep or rerole to ``following``."""
+    keep = f"WHEN i = '{following}' THEN {_cost_sql('K', 'extra', after)}"
+    if here == "n":
+        keep += f" WHEN i = 's' THEN {_cost_sql('K', 'extra', 's')}"
+    return (f"least({_cost_sql('D', '2', here)}, CASE WHEN stays THEN {_cost_sql('R', '1 + extra', after)} END, "
+            f"CASE WHEN NOT stays THEN NULL {keep} END)")
+
+
+# backwards over the rows, the least (cost, audit) of each state: nothing, s, u or a written last
+OP13_SQL = f"""
+WITH RECURSIVE z AS (
+  SELECT conv_id, turn, coalesce(CAST(conv_id AS VARCHAR), '-') AS conv, coalesce(role, ' ') AS role,
+    coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+      || coalesce(CAST(turn AS VARCHAR), ' ') AS said FROM conversations
+), k AS (SELECT *, {_crc_sql("said")} % 20 AS kind FROM z),
+x AS (
+  SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM k, range(2) t(copy) WHERE kind <> 0 AND (kind = 3 OR copy = 0)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role,
+    md5(conv || ':' || length(role) || ':' || role || ':' || text)) - 1 AS pos, left(role, 1) AS i,
+    right(rtrim(text, {_BLANKS_SQL}), 1) AS last FROM x
+), q AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 THEN 'duplicate'
+    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    coalesce(lag(i) OVER (PARTITION BY conv ORDER BY pos) || i NOT IN ('su', 'ua', 'au'), false) AS bad FROM o
+), m AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra
+  FROM q),
+w AS (
+  SELECT conv, count(*) AS pos, {{c: 0::BIGINT, a: ''}} AS n, {{c: 10::BIGINT, a: 'II'}} AS s, {{c: 5::BIGINT, a: 'I'}} AS u,
+    {{c: 0::BIGINT, a: ''}} AS a FROM m GROUP BY conv
+  UNION ALL
+  SELECT conv, pos, least(n, {_cost_sql('I', '5', 'least(u, ' + _cost_sql('I', '5', 'a') + ')')}),
+    least(s, {_cost_sql('I', '5', 'least(u, ' + _cost_sql('I', '5', 'a') + ')')}), least(u, {_cost_sql('I', '5', 'a')}),
+    least(a, {_cost_sql('I', '5', 'u')}) FROM (
+      SELECT w.conv, m.pos, {_state_sql('n', 'u', 'u')} AS n, {_state_sql('s', 'u', 'u')} AS s,
+        {_state_sql('u', 'a', 'a')} AS u, {_state_sql('a', 'u', 'u')} AS a
+      FROM w JOIN m ON m.conv = w.conv AND m.pos = w.pos - 1)
+), b AS (SELECT conv, n.c AS cost, n.a AS audit FROM w WHERE pos = 0),
+l AS (SELECT conv, unnest(range(length(audit))) AS spot, unnest(string_split(audit, '')) AS letter FROM b WHERE audit <> ''),
+e AS (
+  SELECT conv, spot, letter, count(*) FILTER (letter <> 'I') OVER v - 1 AS pos, count(*) FILTER (letter <> 'D') OVER v - 1 AS k
+  FROM l WINDOW v AS (PARTITION BY conv ORDER BY spot)
+), j AS (
+  SELECT e.*, role, text, max(letter = 'K' AND k = 0 AND i = 's') OVER (PARTITION BY e.conv) AS system
+  FROM e LEFT JOIN m ON m.conv = e.conv AND m.pos = e.pos AND letter <> 'I' WHERE letter <> 'D'
+), h AS (
+  SELECT conv, sha256(string_agg(CASE WHEN letter = 'K' THEN role
+      WHEN (k + CAST(system AS INT)) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10)
+    ORDER BY spot)) AS sha FROM j GROUP BY conv
+), c AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal FROM m GROUP BY conv
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM z) LEFT JOIN c USING (conv) LEFT JOIN b USING (conv) LEFT JOIN h USING (conv)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_text, op2_warc, op3_merkle, op4_near_duplicates, op5_substring, op6_quality, op7_decontaminate, op8_url_filter,
                                   op9_mixing, op10_chat_format, op11_token_files, op12_manifest, op13_repair)}
@@ -263,4 +388,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_warc": OP2_SQL, "op3_merkle": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op5_substring": OP5_SQL, "op7_decontaminate": OP7_SQL, "op9_mixing": OP9_SQL,
-            "op10_chat_format": OP10_SQL}
+            "op10_chat_format": OP10_SQL, "op12_manifest": OP12_SQL, "op13_repair": OP13_SQL}

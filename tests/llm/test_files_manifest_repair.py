@@ -1,0 +1,315 @@
+"""Token files, the Merkle manifest and conversation repair against brute force."""
+
+import hashlib
+import heapq
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from reachlens.llm import manifest, repair, token_files
+from reachlens.llm.common import scratch
+from tokenizers import Tokenizer
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def some_texts(n, seed=1):
+    rng = random.Random(seed)
+    words = ["a", "naïve", "it's", "日本", "1234", "don't\n", "\n\n", " ", "x" * 30, "🙂", "end."]
+    return [" ".join(rng.choice(words) for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+# -- token files ------------------------------------------------------------
+
+@pytest.mark.parametrize("bits", [False, True])
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 1000])
+def test_frames_give_back_their_ids(bits, n):
+    rng = np.random.default_rng(n)
+    for top in (1, 300, 50_000, 1 << 32):
+        ids = rng.integers(0, top, n, dtype=np.uint64).astype(np.uint32)
+        frame = token_files.framed(ids, bits)
+        assert (token_files.unframed(frame) == ids).all()
+        assert len(token_files.planes(ids, bits)) <= (32 if bits else 4)
+    ids = np.arange(n + 1, dtype=np.uint32)
+    frame = bytearray(token_files.framed(ids, bits))
+    frame[10] ^= 1  # the stored CRC
+    with pytest.raises(ValueError):
+        token_files.unframed(bytes(frame))
+    with pytest.raises(ValueError):
+        token_files.unframed(bytes(frame) + b"x")
+
+
+def test_joined_crc_is_the_crc_of_the_whole():
+    rng = random.Random(5)
+    for _ in range(200):
+        x, y = rng.randbytes(rng.randrange(40)), rng.randbytes(rng.randrange(5000))
+        assert token_files.joined_crc(zlib.crc32(x), zlib.crc32(y), len(y)) == zlib.crc32(x + y)
+
+
+def test_pieces_of_a_text_encode_like_the_text():
+    encoder = Tokenizer.from_file(BPE)
+    for text in [*some_texts(60), "x" * 500, " " * 500, "word  \n  word " * 60, "a b" * 100, "z  y " * 90]:
+        pieces = list(token_files.text_pieces(text, 20))
+        assert "".join(pieces) == text
+        assert [i for p in pieces for i in encoder.encode(p, add_special_tokens=False).ids] \
+            == encoder.encode(text, add_special_tokens=False).ids
+
+
+def brute_tokens(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+    encoder, out, start = Tokenizer.from_file(BPE), [], 0
+    for doc_id, text in sorted(rows, key=key):
+        ids = [*encoder.encode(text or "", add_special_tokens=False).ids, 2]
+        out.append((doc_id, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)), ids))
+        start += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("block,bits", [(1 << 16, False), (97, True), (1, False)])
+def test_documents_read_back_from_files(spark, block, bits):
+    rows = [(i * 7 % 101, t) for i, t in enumerate(some_texts(90))] + [(-3, None), (500, ""), (501, "long word " * 3000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 2) for i, t in rows], DOCS + ", shard int").repartition(5)
+    path = scratch(spark, "tokens")
+    docs = docs.cache()
+    token_files.write_tokens(docs, path, BPE, block=block, bits=bits)
+    want = brute_tokens(rows)
+    got = sorted(map(tuple, token_files.read_documents(spark, path).collect()), key=lambda r: r[1])
+    assert got == [w[:4] for w in want]
+    stream = [i for w in want for i in w[4]]
+    for low, high in ((0, 10), (100, 350), (len(stream) - 3, len(stream) + 9), (5, 5)):
+        parts = sorted(token_files.ids_between(spark, path, low, high).collect())
+        assert [i for p in parts for i in p.ids] == stream[low:high]
+    sizes = [r.n for r in token_files.chunks(spark, path).select("shard", "n").collect()]
+    assert max(sizes) <= block and sum(sizes) == len(stream)
+
+
+def test_token_files_of_odd_tables(spark):
+    rows = [(4, "same words")] * 60 + [(None, "no id"), (None, None), (4, ""), (9, "<|endoftext|> here")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    path = scratch(spark, "tokens")
+    token_files.write_tokens(docs, path, BPE, block=50)
+    got = sorted(map(tuple, token_files.read_documents(spark, path).collect()), key=lambda r: r[1])
+    want = brute_tokens(rows)
+    assert sorted((r[0] is not None, r[0] or 0, r[2], r[3]) for r in got) \
+        == sorted((w[0] is not None, w[0] or 0, w[2], w[3]) for w in want)
+    assert [r[1] for r in got] == [sum(r[2] for r in got[:i]) for i in range(len(got))]
+    assert [r[0] for r in got] == sorted((r[0] for r in got), key=lambda i: (i is not None, i or 0))
+    plain = scratch(spark, "tokens")
+    token_files.write_tokens(docs.where("doc_id = 9"), plain, BPE, specials_as_text=True)
+    assert token_files.read_documents(spark, plain).head().n_tokens > got[-1][2]
+    empty = scratch(spark, "tokens")
+    token_files.write_tokens(docs.limit(0), empty, BPE)
+    assert token_files.read_documents(spark, empty).collect() == []
+
+
+# -- manifest ---------------------------------------------------------------
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def brute_leaf(row):
+    return H(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def brute_levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([H(*out[-1][i:i + 3]) for i in range(0, len(out[-1]), 3)])
+    return out
+
+
+def brute_path(levels, i):
+    out = []
+    for level in levels[:-1]:
+        lo = i // 3 * 3
+        out.append((i - lo, level[lo:i] + level[i + 1:lo + 3]))
+        i //= 3
+    return out
+
+
+def tampered(row):
+    if row[0] is None or zlib.crc32(str(row[0]).encode()) % 2 or row[4] is None:
+        return row
+    return (*row[:4], row[4].replace("\n", ""))
+
+
+def brute_versions(rows):
+    by = {}
+    for r in rows:
+        by.setdefault(r[1], []).append(r)
+    order = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        own = sorted(by[s], key=lambda r: (r[0] is not None, r[0] or 0, brute_leaf(r)))
+        trees[s] = own, brute_levels([brute_leaf(r) for r in own])
+    top = brute_levels([trees[s][1][-1][0] for s in order])
+    out = []
+    for k, s in enumerate(order):
+        own, levels = trees[s]
+        for i, r in enumerate(own):
+            path, now = brute_path(levels, i) + brute_path(top, k), brute_leaf(tampered(r))
+            copies = []
+            for place, others in path:
+                now = H(*others[:place], now, *others[place:])
+                copies.append(now)
+            out.append((r[0], brute_leaf(r), levels[-1][0], top[-1][0], H(*(d for _, o in path for d in o)), now,
+                        now == top[-1][0], copies if tampered(r) != r else []))
+    return sorted(out, key=repr)
+
+
+def shape(row):
+    return (*tuple(row)[:7], [bytes(c).hex() for c in row.copies])
+
+
+def manifest_rows(spark):
+    cols = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*cols)
+    rows = [tuple(r) for r in docs.collect()]
+    return rows + rows[:3] + [(None,) * 5] * 5 + [(None, "x", None, 1, "a\nb"), (5, None, "e", 2, "é\n"),
+                                                 (9, "", "", 0, ""), (8, "-", "", 0, "\n" * 5000)], docs.schema
+
+
+@pytest.mark.parametrize("levels", [7, 2, 1])
+def test_versions_equal_whole_trees(spark, monkeypatch, levels):
+    monkeypatch.setattr(manifest, "LEVELS", levels)
+    monkeypatch.setattr(manifest, "BLOCK", 3 ** levels)
+    rows, schema = manifest_rows(spark)
+    docs = spark.createDataFrame(rows, schema).withColumn("tree", F.lit("clash")).withColumn("digest", F.lit(0))
+    got = sorted(map(shape, manifest.versions(docs).collect()), key=repr)
+    assert got == brute_versions(rows)
+
+
+def test_versions_of_small_tables(spark):
+    rows, schema = manifest_rows(spark)
+    assert manifest.versions(spark.createDataFrame([], schema)).collect() == []
+    for some in ([rows[0]], [(None,) * 5], rows[:2]):
+        got = sorted(map(shape, manifest.versions(spark.createDataFrame(some, schema)).collect()), key=repr)
+        assert got == brute_versions(some)
+
+
+def test_many_sources_are_one_tree(spark, monkeypatch):
+    monkeypatch.setattr(manifest, "LEVELS", 1)
+    monkeypatch.setattr(manifest, "BLOCK", 3)
+    rows = [(i, f"host{i % 40}", "e", i, f"text\n{i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    assert sorted(map(shape, manifest.versions(docs).collect()), key=repr) == brute_versions(rows)
+
+
+# -- repair -----------------------------------------------------------------
+
+def cheapest(rows):
+    """Least (cost, audit) by Dijkstra over (rows done, what was written last)."""
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, last, out = heapq.heappop(heap)
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit, out
+        following = {"": "u", "s": "u", "u": "a", "a": "u"}[last]
+        name = {"u": "user", "a": "assistant"}[following]
+        heapq.heappush(heap, (cost + 5, audit + "I", i, following, (*out, (name, ""))))
+        if i < len(rows):
+            role, text, fault = rows[i]
+            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, last, out))
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault == "truncated" else 0
+                if role[:1] == following or (role[:1] == "s" and not last):
+                    heapq.heappush(heap, (cost + more, audit + "K", i + 1, role[:1], (*out, (role, text))))
+                heapq.heappush(heap, (cost + 1 + more, audit + "R", i + 1, following, (*out, (name, text))))
+
+
+def brute_repairs(rows):
+    def said(v):
+        return " " if v is None else str(v)
+    by = {}
+    for conv, turn, role, text in rows:
+        own = by.setdefault(conv, [])
+        kind, role, text = zlib.crc32(f"{said(conv)}:{said(turn)}".encode()) % 20, said(role), said(text)
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        own += [(turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    out = []
+    for conv, own in by.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(
+            f"{'-' if conv is None else conv}:{len(r[1])}:{r[1]}:{r[2]}".encode()).digest()))
+        seen, counts, faulty = set(), dict.fromkeys(("blank", "duplicate", "truncated", ""), 0), []
+        for _, role, text in own:
+            rest = re.sub(r"[\x20\x09-\x0D]", "", text)
+            fault = "blank" if not rest else "duplicate" if (role, text) in seen else \
+                "truncated" if rest[-1] not in ".!?" else ""
+            seen.add((role, text))
+            counts[fault] += 1
+            faulty.append((role, text, fault))
+        turns = {r[0] for r in own} - {None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        cost, audit, kept = cheapest(faulty)
+        out.append((conv, gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit,
+                    H("\n".join(f"{r}:{t}" for r, t in kept))))
+    return sorted(out, key=repr)
+
+
+CONV = "conv_id bigint, turn bigint, role string, text string"
+
+
+def repairs(df):
+    return sorted(map(tuple, repair.repaired(repair.damaged(df), df).collect()), key=repr)
+
+
+def odd_conversations(long=700):
+    rng, rows = random.Random(3), []
+    for conv in [None, *range(1000, 1120)]:
+        for t in range(long if conv == 1000 else rng.randrange(9)):
+            rows.append((conv, rng.choice([None, t, t, t, t - 1]),
+                         rng.choice(["user", "assistant", "system", "tool", None, "", "user", "assistant"]),
+                         rng.choice([None, "", "  \n", "a b. ", "Hi!", "é? ", "x", "what \x0b", f"{t}."])))
+    return rows + [rows[5]] * 40
+
+
+@pytest.mark.parametrize("rows_a_piece", [64, 3])
+def test_repairs_equal_a_search_over_all_edits(spark, monkeypatch, rows_a_piece):
+    monkeypatch.setattr(repair, "PIECE_ROWS", rows_a_piece)
+    rows = odd_conversations()
+    df = spark.createDataFrame(rows, CONV).repartition(4).withColumn("mark", F.lit(1)).withColumn("at", F.lit("z")).cache()
+    assert repairs(df) == brute_repairs(rows)
+
+
+def test_repairs_of_given_and_empty_tables(spark):
+    given = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    assert repairs(given) == brute_repairs([tuple(r) for r in given.collect()])
+    assert repairs(given.limit(0)) == []
+    gone = [c for c in range(5000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0][:3]
+    rows = [(c, 0, "user", "dropped.") for c in gone] + [(7, None, None, None), (8, None, None, None)]
+    got = repairs(spark.createDataFrame(rows, CONV))
+    assert got == brute_repairs(rows)
+    assert (gone[0], 0, 0, 0, 0, 0, 0, "", H("")) in got
+
+
+def test_long_texts_pass_in_pieces(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"{t} " + "word " * 40_000 + ".") for t in range(12)]
+    assert repairs(spark.createDataFrame(rows, CONV)) == brute_repairs(rows)
+
+
+def test_a_walk_holds_a_block_only():
+    """Matrices of blocks give the vectors a whole backward pass gives."""
+    rng = random.Random(9)
+    marks = "".join(rng.choice("ABCDEFGHIJKLMNOP") for _ in range(200))
+    vector = list(repair.FINAL)
+    for mark in reversed(marks):
+        vector = repair.before(mark, vector)
+    back = list(repair.FINAL)
+    for lo in range(185, -1, -15):
+        costs = repair.matrix(marks[lo:lo + 15])
+        back = [min(costs[4 * s + e] + back[e] for e in range(4)) for s in range(4)]
+        if lo < 15:
+            costs = repair.matrix(marks[:lo])
+            back = [min(costs[4 * s + e] + back[e] for e in range(4)) for s in range(4)]
+    assert back == vector
