@@ -3,10 +3,10 @@ components and vectorised word hashing."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,7 @@ MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the cluster's shared folder (own one only if unset)."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = conf.rstrip("/") if conf else shared_dir(spark, tempfile.mkdtemp(prefix="llm-"))
+    base = shared_dir(spark, lambda: tempfile.mkdtemp(prefix="llm-"))
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -54,21 +53,22 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: s
     return a.join(b, [key, "_salt"], how).drop("_salt")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges (a, b) of bigint: one row
     (node, comp) for each node of an edge, comp its smallest reachable node.
 
     Every round each node takes the smallest of its neighbours' labels and of
     its label's own label (pointer jumping), so long chains shrink
-    geometrically.  Labels are written tables, so a lost executor costs at most
-    one round.  Hubs are salted; empty edges give no rows."""
+    geometrically, until a round changes nothing: labels only fall, so that comes.
+    Labels are written tables, so a lost executor costs at most one round.  Hubs are
+    salted; empty edges give no rows."""
     both = written(edges.select("a", "b").where("a <> b")
                    .select(F.explode(F.array(F.struct("a", "b"), F.struct(
                        F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
                    .select("e.a", "e.b").distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("node"))
                      .agg(F.least(F.min("b"), F.col("a")).alias("comp")), "labels")
-    for _ in range(max_rounds):
+    while True:
         known = labels.withColumnsRenamed({"node": "key", "comp": "found"})
         near = salted_join(both.select(F.col("a").alias("key"), F.col("b").alias("node")), known,
                            "key", "node", "inner")
@@ -82,7 +82,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                          .select("node", "comp"), "labels")
         if not seen.get["changed"]:
             return labels
-    raise RuntimeError(f"components: no end after {max_rounds} rounds")
 
 
 def star_components(rows: DataFrame, node: str, hub: str) -> DataFrame:
@@ -113,9 +112,17 @@ def seeds(n: int, key: int) -> np.ndarray:
                    + np.uint64(key))
 
 
-@lru_cache(maxsize=2)
+#: factors of the places in a word, by the bits of the longest word's length; a plain
+#: dict, as functions that travel by value take their globals along
+_PLACES: dict[int, np.ndarray] = {}
+
+
 def _places(bits: int) -> np.ndarray:
-    return seeds(1 << bits, 77)
+    if bits not in _PLACES:
+        if len(_PLACES) >= 2:
+            _PLACES.clear()
+        _PLACES[bits] = seeds(1 << bits, 77)
+    return _PLACES[bits]
 
 
 _SPACE = np.zeros(256, bool)
@@ -167,6 +174,16 @@ def hash_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(hashes), np.searchsorted(np.concatenate(found), begins)
 
 
+def frugal() -> None:
+    """Lets this Python worker give freed memory back to the system: arrays over 1 MiB
+    are mapped by themselves, and Arrow uses the same allocator.  Workers outlive
+    their tasks, and the heap of one big group would stay with the executor."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)  # glibc
+    if mallopt:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which else grows with the arrays
+
+
 def raw_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x.as_py() or b"" for x in column.cast(pa.large_binary())]

@@ -205,3 +205,52 @@ def test_substrings_columns_repeated_rows_and_empty_table(spark):
     assert out.columns == [*docs.columns, "n_chars"] and out.where("_chunk <> 'x'").count() == 0
     assert substring.without_repeats(docs.limit(0)).collect() == []
 
+
+
+@pytest.mark.parametrize("seed,window,size", [(1, 35, 300), (2, 4, 40), (3, 1, 10), (4, 7, 1)])
+def test_slices_hold_the_text_and_its_windows(seed, window, size):
+    rng = random.Random(seed)
+    for _ in range(40):
+        raw = "".join(rng.choice(["é", "ab", "word", " ", "\n", "  ", "\t"]) for _ in range(rng.randrange(400))).encode()
+        parts = list(substring.slices(raw, size, window))
+        assert b"".join(t[b:b + n] for t, _, _, b, n in parts) == raw
+        assert sum(own for _, _, own, _, _ in parts) == len(raw.split())
+        words, at = raw.split(), 0
+        for text, lead, own, _, _ in parts:
+            lo, hi = max(0, at - window + 1), min(len(words), at + own + window - 1)
+            assert lead == at - lo and text.split() == words[lo:hi]
+            at += own
+
+
+@pytest.mark.parametrize("window,size", [(35, 2000), (6, 150), (1, 60)])
+def test_long_texts_in_slices_against_brute_force(spark, window, size):
+    rng = random.Random(window)
+    vocabulary = [f"w{i}" for i in range(400 if window > 3 else 4000)]
+    shared = [rng.choice(vocabulary) for _ in range(3 * window + 20)]
+    texts = []
+    for n in (3000, 2500, 900, 40, 0):
+        w = [rng.choice(vocabulary) for _ in range(n)]
+        for _ in range(4 if n else 0):
+            w[rng.randrange(len(w)):0] = shared
+            at = rng.randrange(len(w))
+            w[at:at] = shared[:window + rng.randrange(20)]
+        texts.append(rng.choice([" ", "\n ", "\t"]).join(w))
+    texts += [" ".join(f"once{i}" for i in range(2000)) + "  \n", None, texts[0]]
+    docs = frame(spark, texts).withColumn("piece", F.lit(5)).withColumn("other", F.lit("x")).withColumn("_kept", F.lit(1))
+    got = substring.without_repeats(docs, window, 3000, 2000, slice_bytes=size).collect()
+    assert len(got) == len(texts)
+    for r, (n, gone, kept) in ((r, brute_substrings(texts, window)[r.doc_id]) for r in got):
+        assert (r._n_words, r._n_removed, r.piece, r.other) == (n, gone, 5, "x")
+        assert r.text == texts[r.doc_id] if not gone else r.text.encode() == kept
+
+
+def test_a_third_of_all_rows_is_one_row(spark):
+    same = " ".join(f"same{i}" for i in range(50))
+    texts = [same] * 900 + [" ".join(f"t{k}w{i}" for i in range(45)) for k in range(1800)]
+    docs = frame(spark, texts, [1] * 900 + list(range(2, 1802)))
+    names = substring._Names(docs.columns)
+    rows, _, size = substring._dealt(docs, names, 35, 20_000, 1 << 20)
+    most = rows.where("doc_id = 1").groupBy(names.chunk).count().agg(F.max("count")).head()[0]
+    assert size == sum(map(len, texts)) and most < 60  # of 900 in 39 chunks
+    got = Counter((r._n_words, r._n_removed) for r in substring.without_repeats(docs, chunk_bytes=20_000).collect())
+    assert got == {(50, 50): 900, (45, 0): 1800}
