@@ -18,22 +18,31 @@ Reading.  Every chunk is decoded by itself: a document's ids inside it give a
 piece with its CRC-32; the few pieces of a document that crosses chunks are
 combined by the CRC's own arithmetic, so no document is put together again.
 
-Memory: a text is encoded in pieces of ``PIECE`` characters, cut between a word
-character and a following space or line feed, where a byte-level
-pre-tokenizer always cuts, too; a task holds one piece's ids and one block.  (A
-text without such a place is encoded whole.)  A hot doc_id spreads over shards,
-as the order goes on by the text's hash and a row number.
+Encoding.  The pre-tokenizer of a byte-level tokenizer (without normalizer and
+prefix space) always cuts between a visible character and white space, and between a
+Latin letter or digit and ASCII punctuation.  So texts are cut there into words,
+the library encodes each distinct word, and a bounded memory of words (kept by
+the Python worker over its tasks) gives the ids of those that come again; a text's
+ids are those of the whole text.  Texts with control characters that the libraries
+class differently or with an added token's own string, and texts for any other
+tokenizer, are encoded whole.
+
+Memory: long texts are taken in pieces of ``PIECE`` characters, cut between a word
+character and a following space or line feed; a task holds one piece's ids and
+one block.  (A text without such a place is encoded whole.)  A hot doc_id spreads
+over shards, as the order goes on by a row number.
 
 Defined results: null and empty texts give the end id alone; a null doc_id
-comes first; rows that repeat a doc_id are documents of their own, ordered by
-the text's hash; equal rows are interchangeable; an empty table gives an
-archive without chunks; only doc_id and text are read, so other columns,
+comes first; rows that repeat a doc_id are documents of their own, in the
+table's order; an empty table gives an archive without chunks; only doc_id and text are read, so other columns,
 whatever their names, are ignored.  The table must give its rows in the same order
 to every attempt of a task (a stored table does).  A damaged frame raises.
 """
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
 import struct
@@ -53,9 +62,14 @@ BLOCK = 1 << 16
 PIECE = 1 << 18
 LEVEL = 3
 END_ID = 2
+#: words whose ids a worker remembers, and their longest length
+KNOWN, LONG = 1 << 19, 64
 MAGIC = b"IDPL"
 _HEADER = "<4sBBII"  # magic, bits a plane row (8: bytes), planes, ids, CRC-32
 _PLACE = re.compile(r"(?<=[\w!-~])[ \n]")
+_LATIN, _MARK = "0-9A-Za-zÀ-ÖØ-öø-ɏ", r"[!-/:-@\[-`{-~]"
+_WORD = re.compile(rf"(?=[\s\S])\s*(?:[{_LATIN}]++(?!{_MARK})|[^\s{_LATIN}]++)*+[{_LATIN}]*")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 CHUNKS = ("shard int, chunk int, first bigint, n int, "
           "documents array<struct<doc_id: bigint, ordinal: bigint, start: bigint>>, frame binary")
 _DOCUMENTS = pa.list_(pa.struct([("doc_id", pa.int64()), ("ordinal", pa.int64()), ("start", pa.int64())]))
@@ -147,6 +161,76 @@ def text_pieces(text: str, limit: int = PIECE) -> Iterator[str]:
     yield text[lo:]
 
 
+def encodes_by_word(definition: str) -> bool:
+    """Whether a tokenizer's ids of a text are those of its words, one after the other."""
+    rules = json.loads(definition)
+    first = rules.get("pre_tokenizer") or {}
+    return (rules.get("normalizer") is None and first.get("type") == "ByteLevel"
+            and not first.get("add_prefix_space") and first.get("use_regex", True))
+
+
+class _Encoder:
+    """Ids (as little-endian 32-bit bytes) of texts by a tokenizer of the library."""
+
+    def __init__(self, definition: str, specials_as_text: bool) -> None:
+        from tokenizers import Tokenizer
+        self.library = Tokenizer.from_str(definition)
+        self.library.encode_special_tokens = specials_as_text
+        self.by_word = encodes_by_word(definition)
+        self.apart = [*_CONTROL, *(t["content"] for t in json.loads(definition).get("added_tokens", []))]
+        # two generations: words that come again move to the young one
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, definition: str, specials_as_text: bool) -> _Encoder:
+        """The worker process outlives the task: its encoder is kept with the library's module."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tokenizers
+        kept, key = vars(tokenizers).setdefault("_encoders_of_tasks", {}), (definition, specials_as_text)
+        if key not in kept:
+            kept.clear()
+            kept[key] = cls(*key)
+        return kept[key]
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> list[str]:
+        """The ids of ``words`` become known; returns those too long to be kept."""
+        again = words & self.old.keys()
+        self.known.update((w, self.old[w]) for w in again)
+        new = list(words - again)
+        if new:
+            found = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(new) + 1))).tolist()
+            self.known.update((w, ids[lo:hi]) for w, lo, hi in zip(new, cuts, cuts[1:]))
+        return [w for w in new if len(w) > LONG]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [self.whole(t) for t in texts]
+        gc.disable()  # many new strings, no cycles
+        try:
+            return self.joined(texts)
+        finally:
+            gc.enable()
+
+    def joined(self, texts: list[str]) -> list[bytes]:
+        words = [[] if any(x in t for x in self.apart) else _WORD.findall(t) for t in texts]
+        long = self.learn(set().union(*words).difference(self.known))
+        out = [b"".join(map(self.known.__getitem__, w)) if w or not t else self.whole(t)
+               for t, w in zip(texts, words)]
+        for w in long:
+            del self.known[w]
+        if len(self.known) > KNOWN:
+            self.old.clear()
+            self.old.update(self.known)
+            self.known.clear()
+        return out
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, block: int = BLOCK,
                  bits: bool = False, level: int = LEVEL, specials_as_text: bool = False) -> None:
     """Writes the ids of every text as a table of chunks at ``path``.
@@ -158,10 +242,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         definition = f.read()
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        encoder = Tokenizer.from_str(definition)
-        encoder.encode_special_tokens = specials_as_text
+        encode = _Encoder.of_worker(definition, specials_as_text)
+        end = np.array([end_id], "<u4")
         number = TaskContext.get().partitionId()
         stream: list[np.ndarray] = []  # ids not yet in a chunk
         waiting, first, chunk, ordinal = 0, 0, 0, 0
@@ -181,15 +263,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         for batch in batches:
             for small in batches_by_size([batch], "text", PIECE):
                 parts = [(i, p) for i, t in zip(small.column("doc_id").to_pylist(), small.column("text").to_pylist())
-                         for p in [*((x, False) for x in text_pieces(t or "")), (None, True)]]
+                         for p in [*((x, False) for x in (text_pieces(t or "") if encode.by_word else [t or ""])),
+                                   (None, True)]]
                 for lo in range(0, len(parts), 512):
                     some = parts[lo:lo + 512]
-                    found = iter(encoder.encode_batch_fast([p for _, (p, _) in some if p is not None],
-                                                           add_special_tokens=False))
+                    found = iter(encode([p for _, (p, _) in some if p is not None]))
                     for doc_id, (piece, last) in some:
                         if not inside or inside[-1]["ordinal"] != ordinal:
                             inside.append({"doc_id": doc_id, "ordinal": ordinal, "start": first + waiting})
-                        stream.append(np.array([end_id] if last else next(found).ids, np.uint32))
+                        stream.append(end if last else np.frombuffer(next(found), "<u4"))
                         waiting += len(stream[-1])
                         ordinal += last
                         while waiting > block:  # a full block goes once an id follows it
@@ -199,7 +281,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
     row = "_row"
     ordered = (docs.select("doc_id", "text", F.monotonically_increasing_id().alias(row))
-               .orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text"), row).select(F.col("doc_id").cast("bigint"), "text"))
+               .orderBy(F.asc_nulls_first("doc_id"), row).select(F.col("doc_id").cast("bigint"), "text"))
     ordered.mapInArrow(shard, CHUNKS).write.option("compression", "uncompressed").parquet(path)
 
 
