@@ -43,7 +43,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app_name="reachlens-bench")
-    out_root = shared_dir(spark, fallback=tempfile.mkdtemp(prefix="reachlens-bench-"))
+    out_root = shared_dir(spark, fallback=lambda: tempfile.mkdtemp(prefix="reachlens-bench-"))
 
     def day() -> ReachReport:
         return ReachReport(bound_catalog(spark, sf_dir), FIXTURE_AS_OF, scope=FIXTURE_SCOPE)

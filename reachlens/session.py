@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -57,12 +59,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks are one process on one machine."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
+def shared_dir(spark: SparkSession, fallback: str | Callable[[], str] | None = None) -> str:
     """The cluster's shared folder for written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when the session has none - local tests - is ``fallback`` installed as the
-    checkpoint dir.
+    when the session has none and is local - in tests - is ``fallback`` (a
+    folder, or what makes one) installed as the checkpoint dir; on a cluster a
+    folder of the driver's would be no shared one, so that raises.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -70,8 +78,9 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     ctx_dir = spark.sparkContext.getCheckpointDir()
     if ctx_dir:
         return ctx_dir.rstrip("/")
-    if fallback is None:
+    if fallback is None or not is_local(spark):
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
-    os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback.rstrip("/")
+    folder = fallback() if callable(fallback) else fallback
+    os.makedirs(folder, exist_ok=True)
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
