@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
                    help="report date (YYYY-MM-DD; default: today)")
     p.add_argument("--end", help="last report date of a range (default: --date)")
     p.add_argument("--scope", help="comma-separated college ids (default: the active list)")
+    p.add_argument("--scope-table", help="parquet table with the scope's ids in a column college_id "
+                                         "(instead of --scope; of any length)")
     p.add_argument("--out", help="shared output folder")
     p.add_argument("--prune-bridges", action="store_true",
                    help="add an activity-id range filter to the bridge scans (one more job)")
@@ -57,7 +59,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         from reachlens.sources.bindings import bound_catalog
         catalog = bound_catalog(spark, args.testdata)
 
-    scope = [int(x) for x in args.scope.split(",")] if args.scope else ACTIVE_COLLEGES
+    if args.scope_table:
+        scope = spark.read.parquet(args.scope_table)
+    else:
+        scope = [int(x) for x in args.scope.split(",")] if args.scope else ACTIVE_COLLEGES
     out = args.out or f"{shared_dir(spark)}/reports"
     report = ReachReport(catalog, args.date, args.end, scope=scope,
                          prune_bridges=args.prune_bridges)

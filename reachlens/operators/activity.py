@@ -5,17 +5,19 @@ Plan per report (all metrics at once):
 1. per source group: window-filter the time side (pushed into the scan), map
    each surviving row to its report date(s), join bridge to activity ids;
    metrics that read the same bridge and activity table share one scan and get
-   their label from the activity flags.  The join key is (activity id, salt),
-   the salt a hash of the student over ``SALTS`` values and the activity rows
-   repeated for each: one activity linked to a third of all students is dealt
-   to that many tasks in any session, without skew settings;
+   their label from the activity flags.  Hot activities are found first, by a
+   bounded frequency sketch over the bridges (``hot_links``, one small job a
+   report): their links are dealt over many tasks by a hash of the student and only
+   their rows are repeated, so one activity linked to a third of all students is
+   spread in any session, without skew settings, and every other activity is
+   joined once, by its id alone;
 2. union the groups to one fact (metric, report_date, student_id, event_id) and
-   keep the links of eligible students (a semi join on (student, salt), the
-   salt a hash of the activity), so what follows grows with the scope;
+   keep the links of eligible students (a semi join on the student; hot students
+   come from the same sketch and are dealt by a hash of the activity), so what
+   follows grows with the scope;
 3. count distinct activities per (metric, report_date, student): a map-side
-   dedupe, a shuffle on all four keys (the salts are not among them, so no
-   join's partitioning is reused and a hot key stays spread), then a map-side
-   partial count and a shuffle of one row per student and map task;
+   dedupe, then the pairs meet by student (without hot students where the semi
+   join left them) or by all four keys;
 4. join the per-student counts to the members (one row per student and
    college on both sides) and sum per college.
 
@@ -32,23 +34,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reachlens.functions.skew import dealt_join, hot_keys
 from reachlens.functions.timewin import in_date_range, in_window, report_dates
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import MetricSpec
 
-# copies of an activity (a student) that a hot one's links are dealt over
-SALTS, STUDENT_SALTS = 16, 8
 PAIR_COLUMNS = ("metric", "report_date", "student_id", "event_id")
 
 
-def _salt(column: str, salts: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(salts)).cast("int").alias("salt")
-
-
-def _salts(salts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-
-
 def with_metric_labels(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
     """Add the metric name(s) of each row of a shared source: one literal when
     the group has one unfiltered spec, else one row per spec whose activity
@@ -104,15 +97,33 @@ def activity_id_bounds(catalog: Catalog, groups: Sequence[Sequence[MetricSpec]],
     return {g[0].source_key: found.get(i) for i, g in enumerate(timed)}
 
 
-def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
+def source_links(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
                  id_bounds: dict[tuple, tuple[int, int] | None] | None = None) -> DataFrame:
+    """The bridge rows (student_id, event_id, and the report date where the link
+    has the time) that specs sharing one source join to their activities."""
+    head = specs[0]
+    bridge = catalog.table(head.bridge)
+    columns = ["student_id", F.col(head.bridge_fk).alias("event_id")]
+    if head.time_side == "event":
+        if id_bounds is not None and head.source_key in id_bounds:
+            low, high = id_bounds[head.source_key] or (1, 0)
+            bridge = bridge.where(F.col(head.bridge_fk).between(low, high))
+        return bridge.select(*columns)
+    ttype = bridge.schema[head.time_col].dataType
+    windowed = bridge.where(in_window(head.time_col, ttype, start, end))
+    return _with_report_date(windowed, head.time_col, ttype, start, end).select(*columns, "report_date")
+
+
+def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
+                 id_bounds: dict[tuple, tuple[int, int] | None] | None = None,
+                 hot: Sequence[int] = ()) -> DataFrame:
     """(metric, report_date, student_id, event_id) for specs sharing one source.
 
-    ``id_bounds`` (from ``activity_id_bounds``) adds the exact activity-id
-    range filter to the bridge scan."""
+    ``id_bounds`` (from ``activity_id_bounds``) adds the exact activity-id range
+    filter to the bridge scan; ``hot`` lists the source's hot activities."""
     head = specs[0]
-    bridge = catalog.table(head.bridge)
     event = filtered_events(catalog, specs)
+    links = source_links(catalog, specs, start, end, id_bounds)
 
     if head.time_side == "event":
         ttype = event.schema[head.time_col].dataType
@@ -124,25 +135,15 @@ def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
             # on both sides: an activity added since the bounds were read is
             # left out whole
             low, high = id_bounds[head.source_key] or (1, 0)
-            bridge = bridge.where(F.col(head.bridge_fk).between(low, high))
             activities = activities.where(F.col("event_id").between(low, high))
-        links = bridge.select("student_id", F.col(head.bridge_fk).alias("event_id"),
-                              _salt("student_id", SALTS))
-        pairs = links.join(activities.select("*", _salts(SALTS)), ["event_id", "salt"])
+        pairs = dealt_join(links, activities, "event_id", "student_id", "inner", hot)
+    elif len(specs) == 1:
+        ids = event.select(F.col("id").alias("event_id"))
+        pairs = (dealt_join(links, ids, "event_id", "student_id", "left_semi", hot)
+                 .withColumn("metric", F.lit(head.column)))
     else:
-        ttype = bridge.schema[head.time_col].dataType
-        links = bridge.where(in_window(head.time_col, ttype, start, end))
-        links = _with_report_date(links, head.time_col, ttype, start, end).select(
-            "student_id", F.col(head.bridge_fk).alias("event_id"), "report_date",
-            _salt("student_id", SALTS))
-        if len(specs) == 1:
-            ids = event.select(F.col("id").alias("event_id"), _salts(SALTS))
-            pairs = (links.join(ids, ["event_id", "salt"], "left_semi")
-                     .withColumn("metric", F.lit(head.column)))
-        else:
-            labelled = with_metric_labels(event, specs).select(F.col("id").alias("event_id"),
-                                                          "metric", _salts(SALTS))
-            pairs = links.join(labelled, ["event_id", "salt"])
+        labelled = with_metric_labels(event, specs).select(F.col("id").alias("event_id"), "metric")
+        pairs = dealt_join(links, labelled, "event_id", "student_id", "inner", hot)
     return pairs.select(*PAIR_COLUMNS)
 
 
@@ -155,24 +156,38 @@ def grouped_sources(specs: Iterable[MetricSpec]) -> list[list[MetricSpec]]:
     return list(groups.values())
 
 
+def hot_links(catalog: Catalog, groups: Sequence[Sequence[MetricSpec]], start, end,
+              id_bounds: dict[tuple, tuple[int, int] | None] | None = None) -> dict[tuple, dict[str, list[int]]]:
+    """The hot activities (``event_id``) and students (``student_id``) of each source, from
+    one small job over the links of all sources."""
+    if not groups:
+        return {}
+    links = [source_links(catalog, g, start, end, id_bounds).select(F.lit(i).alias("source"), "event_id", "student_id")
+             for i, g in enumerate(groups)]
+    found = hot_keys(reduce(lambda a, b: a.unionByName(b), links), "source", "event_id", "student_id")
+    none: dict[str, list[int]] = {"event_id": [], "student_id": []}
+    return {g[0].source_key: found.get(i, none) for i, g in enumerate(groups)}
+
+
 def activity_pairs(catalog: Catalog, specs: Iterable[MetricSpec], start, end,
-                   prune_bridges: bool = False) -> DataFrame | None:
+                   prune_bridges: bool = False, hot: dict[tuple, dict[str, list[int]]] | None = None
+                   ) -> DataFrame | None:
     """The union of all student-keyed pair sources, or None if there are none.
     ``prune_bridges`` adds the activity-id range filter to every bridge scan
-    (one extra small job)."""
+    (one extra small job); ``hot`` is what ``hot_links`` has found, if it is known."""
     groups = grouped_sources(specs)
-    bounds = activity_id_bounds(catalog, groups, start, end) if prune_bridges else None
-    parts = [source_pairs(catalog, g, start, end, bounds) for g in groups]
-    if not parts:
+    if not groups:
         return None
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    bounds = activity_id_bounds(catalog, groups, start, end) if prune_bridges else None
+    hot = hot if hot is not None else hot_links(catalog, groups, start, end, bounds)
+    return reduce(lambda a, b: a.unionByName(b),
+                  [source_pairs(catalog, g, start, end, bounds, hot[g[0].source_key]["event_id"]) for g in groups])
 
 
-def of_students(pairs: DataFrame, students: DataFrame) -> DataFrame:
-    """The pairs whose student is among ``students`` (distinct student_id)."""
-    return (pairs.withColumn("salt", _salt("event_id", STUDENT_SALTS))
-            .join(students.select("student_id", _salts(STUDENT_SALTS)),
-                  ["student_id", "salt"], "left_semi").select(*PAIR_COLUMNS))
+def of_students(pairs: DataFrame, students: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
+    """The pairs whose student is among ``students`` (distinct student_id); those of
+    the ``hot`` students are dealt over several tasks."""
+    return dealt_join(pairs, students, "student_id", "event_id", "left_semi", hot).select(*PAIR_COLUMNS)
 
 
 def per_member_counts(pairs: DataFrame) -> DataFrame:

@@ -6,13 +6,15 @@ one union of pair sources, one distinct count, one member join, one shaping
 aggregation (pivot + zero rows).
 ``run`` writes the wide table first and derives summary, total row and
 diagnostics from the written table, so the counting plan runs once and the
-lineage of the small report tables starts at the shared folder.  No other method
-starts a job (but ``prune_bridges``, which is off by default).
+lineage of the small report tables starts at the shared folder.  Otherwise, building
+a plan starts one job at most: the sketch that finds hot activities and students
+(once a report and source; ``prune_bridges``, off by default, adds another, and a JDBC
+catalog counts the slices of a table when it is first read).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -27,7 +29,7 @@ from reachlens.specs import ACTIVE_COLLEGES, METRICS, MODULES, MetricSpec, metri
 
 class ReachReport:
     def __init__(self, catalog: Catalog, start, end=None,
-                 scope: Iterable[int] = ACTIVE_COLLEGES,
+                 scope: roster.Scope = ACTIVE_COLLEGES,
                  specs: Sequence[MetricSpec] = METRICS, prune_bridges: bool = False):
         self.catalog = catalog
         self.spark = catalog.spark
@@ -35,12 +37,14 @@ class ReachReport:
         self.end = as_date(end) if end is not None else self.start
         if self.end < self.start:
             raise ValueError(f"empty date range {self.start}..{self.end}")
-        self.scope = tuple(int(x) for x in scope)
+        # a list of college ids, or a table with a column college_id
+        self.scope = scope if isinstance(scope, DataFrame) else tuple(int(x) for x in scope)
         self.specs = tuple(specs)
         # the wide report's metrics, in column order
         self.report_specs = tuple(s for s in self.specs if s.in_report)
         # exact activity-id range filter on bridge scans (one small extra job)
         self.prune_bridges = prune_bridges
+        self._hot: dict[tuple, dict[str, list[int]]] = {}
 
     # -- building blocks -----------------------------------------------------
     def colleges(self) -> DataFrame:
@@ -49,6 +53,15 @@ class ReachReport:
     def members(self) -> DataFrame:
         return roster.members(self.catalog, self.scope)
 
+    def hot_links(self, specs: Sequence[MetricSpec]) -> dict[tuple, dict[str, list[int]]]:
+        """Hot activities and students of the specs' sources (one job for those not
+        yet known to this report)."""
+        groups = activity.grouped_sources(specs)
+        new = [g for g in groups if g[0].source_key not in self._hot]
+        if new:
+            self._hot |= activity.hot_links(self.catalog, new, self.start, self.end)
+        return {g[0].source_key: self._hot[g[0].source_key] for g in groups}
+
     def member_counts(self, specs: Sequence[MetricSpec] | None = None) -> DataFrame | None:
         """(metric, report_date, student_id, n): distinct activities per
         eligible member and day for the student-keyed ``specs``."""
@@ -56,10 +69,13 @@ class ReachReport:
                  if s.student_keyed]
         if not keyed:
             return None
+        hot = self.hot_links(keyed)
         pairs = activity.activity_pairs(self.catalog, keyed, self.start, self.end,
-                                        self.prune_bridges)
+                                        self.prune_bridges, hot)
         students = self.members().select("student_id").distinct()
-        return activity.per_member_counts(activity.of_students(pairs, students))
+        # a student with a share of all links has that share in one source at least
+        often = sorted({i for ids in hot.values() for i in ids["student_id"]})
+        return activity.per_member_counts(activity.of_students(pairs, students, often))
 
     def counts(self, specs: Sequence[MetricSpec]) -> DataFrame | None:
         """Long rows (report_date, college_id, metric, n) of ``specs`` whose sum

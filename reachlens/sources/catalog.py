@@ -105,8 +105,9 @@ class Catalog:
                   ) -> Catalog:
         """``tables`` maps report table name -> database table (default: same
         name); ``partitioning`` is keyed by report table name.  Tables with a
-        student_id (they grow with the students) are split on it where
-        ``partitioning`` does not say otherwise, never read by one task.
+        student_id (they grow with the students) are split on it, into slices
+        of about equally many rows that the database counts, where
+        ``partitioning`` does not say otherwise; never read by one task.
         Column names are matched case-insensitively (databases may upper-case
         them)."""
         from reachlens.sources.jdbc import read_table

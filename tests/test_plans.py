@@ -144,9 +144,25 @@ HOT = textwrap.dedent("""
         tasks = (pairs.where("event_id = 1").groupBy(F.spark_partition_id().alias("p")).count().collect())
         counts = rep.counts(specs)
         text = counts._jdf.queryExecution().executedPlan().toString()
+        eligible = activity.of_students(pairs, rep.members().select("student_id").distinct())
+        distinct = eligible.distinct().groupBy(F.spark_partition_id().alias("p")).count().collect()
         out[name] = [len(tasks), max(r["count"] for r in tasks), "SortMergeJoin" in text,
-                     len(re.findall(r"hashpartitioning\\([^)]*student_id[^)]*event_id", text)),
-                     text.count("LeftSemi")]
+                     max(r["count"] for r in distinct), text.count("LeftSemi")]
+    hot = activity.hot_links(cat, activity.grouped_sources([metric("total_live_assignment")]), rep.start, rep.end)
+    out["hot"] = [h["event_id"] for h in hot.values()]
+    one = make_catalog(spark, {{
+        "college": [(1, "A")], "student_college_details": [enrol(s, 1) for s in students],
+        "questionnaire_live": [(e, t) for e in range(1, 3001)],
+        "questionnaire_live_has_students": [(5, e) for e in range(1, 3001)] + [(s, s % 3000 + 1) for s in students]}})
+    rep1 = ReachReport(one, "2024-01-15", scope=[1])
+    spec = [metric("total_live_assignment")]
+    found = rep1.hot_links(spec)
+    often = [i for h in found.values() for i in h["student_id"]]
+    pairs = activity.of_students(activity.activity_pairs(one, spec, rep1.start, rep1.end, hot=found),
+                                 rep1.members().select("student_id").distinct(), often)
+    tasks = pairs.where("student_id = 5").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    out["student"] = [often, len(tasks), max(r["count"] for r in tasks),
+                      rep1.metric_frame("total_live_assignment").head().total_live_assignment]
     got = rep.metric_frame("total_live_assignment").collect()
     out["got"] = sorted((r.college_id, r.total_live_assignment) for r in got)
     print(json.dumps(out))
@@ -155,8 +171,9 @@ HOT = textwrap.dedent("""
 
 def test_hot_activity_is_spread_in_a_plain_session(scratch):
     """One activity linked to every student, sort-merge joins and no skew
-    settings: its links lie in many tasks after the join, the dedupe has a
-    shuffle of its own, and the eligible students come before it."""
+    settings: its links lie in many tasks after the join, so do the distinct
+    pairs, no other activity is repeated, and the eligible students come before the
+    dedupe.  The same for a student linked to a third of all activities."""
     script = os.path.join(scratch, "hot.py")
     with open(script, "w") as fh:
         fh.write(HOT.format(root=ROOT))
@@ -165,9 +182,12 @@ def test_hot_activity_is_spread_in_a_plain_session(scratch):
     assert proc.returncode == 0 and lines, proc.stderr[-3000:]
     out = json.loads(lines[-1])
     for name in ("single", "wide"):
-        tasks, most, merged, own_shuffles, semi = out[name]
+        tasks, most, merged, distinct, semi = out[name]
         assert tasks >= 8 and most <= 1200, (name, tasks, most)
-        assert merged and own_shuffles >= 1 and semi >= 1
+        assert merged and distinct <= 400 and semi >= 1
+    assert out["hot"] == [[1]]
+    often, tasks, most, reached = out["student"]
+    assert often == [5] and tasks >= 8 and most <= 400 and reached == 7000 - 1
     # even students are in college 1: 2000 on the hot activity + 285 multiples of 14
     assert out["got"] == [[1, 2285], [2, 2286]]
 
@@ -180,7 +200,7 @@ def test_eligible_students_come_before_the_dedupe(spark, stored):
     assert semi > dedupe  # deeper in the tree: it runs first
 
 
-def test_builders_start_no_job(spark, stored):
+def test_builders_start_one_sketch_job_at_most(spark, stored):
     rep = ReachReport(Catalog.from_parquet(spark, stored), FIXTURE_AS_OF, scope=FIXTURE_SCOPE)
     rep.catalog.table("college")
     spark.sparkContext.setJobGroup("builder", "builder")
@@ -189,8 +209,13 @@ def test_builders_start_no_job(spark, stored):
             rep.catalog.table(name)  # reads the schemas
         tracker = spark.sparkContext.statusTracker()
         before = len(tracker.getJobIdsForGroup("builder"))
-        rep.combined(), rep.summary_with_total(), rep.diagnostics(), rep.metric_frame("case_study_count")
+        rep.metric_frame("case_study_count"), rep.colleges(), rep.members()
         assert len(tracker.getJobIdsForGroup("builder")) == before
+        rep.combined()  # the sketch of every source (its stages are jobs of their own)
+        sketched = len(tracker.getJobIdsForGroup("builder"))
+        assert sketched <= before + 2
+        rep.combined(), rep.summary_with_total(), rep.diagnostics(), rep.metric_frame("total_attendance")
+        assert len(tracker.getJobIdsForGroup("builder")) == sketched
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 

@@ -90,6 +90,25 @@ def test_batch_hop_matches_brute_force(spark, enrolments, mappings, assignments)
     assert got == brute_force_case_study(enrolments, mappings, assignments, {1, 2, 3})
 
 
+def test_assignments_of_many_batches_are_counted_by_bitmaps(spark):
+    """Ids far apart and below zero, assignments of several batches, signatures of several
+    batches; and no join lists signatures with assignments."""
+    from reachlens.operators import batch_hop
+    import random
+    rng = random.Random(2)
+    ids = [-70_000, -1, 0, 1, 32_768, 32_769, 10**12, *rng.sample(range(10**6), 60)]
+    assigned = [("2024-01-15", rng.randrange(6), a) for a in ids for _ in range(rng.choice([1, 1, 1, 2, 5]))]
+    signatures = [sorted(rng.sample(range(8), rng.randint(1, 5))) for _ in range(30)]
+    frames = (spark.createDataFrame([(s,) for s in signatures], "signature array<bigint>").distinct(),
+              spark.createDataFrame(assigned, "report_date string, batch bigint, assignment_id bigint"))
+    out = batch_hop.assignments_of(*frames)
+    got = {tuple(r.signature): r.n_assignments for r in out.collect()}
+    want = {tuple(s): len({a for _, b, a in assigned if b in s}) for s in signatures}
+    assert got == {s: n for s, n in want.items() if n}
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("assignment_id" in line for line in joins)
+
+
 INSTANTS = [ts("2024-01-13 08:00:00"), ts("2024-01-13 23:30:00"), ts("2024-01-14 07:59:59.999999"),
             ts("2024-01-14 08:00:00"), ts("2024-01-14 08:00:00.000001"), ts("2024-01-15 02:00:00"),
             ts("2024-01-15 08:00:00"), ts("2024-01-16 08:00:00"), ts("2024-01-16 09:00:00"), None]

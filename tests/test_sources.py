@@ -53,9 +53,12 @@ def test_jdbc_catalog_partitioned_read(spark):
     b = ReachReport(cat, "2024-01-15", scope=[9, 21]).metric_frame(col).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert sum(r[col] for r in a) > 0
-    # without partitioning a table of students is split by one min/max query
+    # without partitioning a table of students is split where the database counts
+    # equally many rows, and its NULLs are a slice
     auto = Catalog.from_jdbc(spark, url, props, tables={n: n.upper() for n in names})
-    assert auto.table("questionnaire_live_has_students").rdd.getNumPartitions() == 32
+    sizes = (auto.table("questionnaire_live_has_students").groupBy(F.spark_partition_id().alias("p"))
+             .count().collect())
+    assert len(sizes) >= 16 and max(r["count"] for r in sizes) <= 4
     assert sorted(map(tuple, auto.table("questionnaire_live_has_students").collect())) == \
         sorted(map(tuple, cat.table("questionnaire_live_has_students").collect()))
     # the bridge id-range filter reaches the database query
@@ -73,6 +76,30 @@ def test_jdbc_catalog_partitioned_read(spark):
     assert scan and "*GreaterThanOrEqual(questionnaire_id," in scan[0]
 
 
+def test_jdbc_slices_of_a_skewed_column_with_nulls(spark):
+    """Nearly all ids in a narrow range, a far outlier, a hot id and NULLs."""
+    from reachlens.sources.jdbc import read_table
+    url = "jdbc:derby:memory:reachlens_slices;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    ids = [*range(-500, 2500), *range(10**15, 10**15 + 40), *[77] * 300, *[None] * 250]
+    rows = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "student_id bigint, event_id int")
+    rows.coalesce(1).write.jdbc(url, "LINKS", mode="overwrite", properties=props)
+    back = read_table(spark, url, "LINKS", props, split_on="student_id", slices=16).toDF("student_id", "event_id")
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, map(tuple, rows.collect())))
+    sizes = {r.p: (r.n, r.nulls, r.ids) for r in back.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("student_id").isNull()).alias("nulls"),
+        F.count_distinct("student_id").alias("ids")).collect()}
+    nulls = [x for x in sizes.values() if x[1]]
+    assert nulls == [(250, 250, 0)]  # a slice of their own, no row lost
+    most = -(-3340 // 16)
+    assert all(n <= most or ids == 1 for n, _, ids in sizes.values() if ids)
+    assert 16 <= len(sizes) <= 34
+    plain = read_table(spark, url, "LINKS", props)
+    assert plain.rdd.getNumPartitions() == 1
+    spark.createDataFrame([], "student_id bigint").write.jdbc(url, "NOTHING", mode="overwrite", properties=props)
+    assert read_table(spark, url, "NOTHING", props, split_on="student_id").count() == 0
+
+
 def test_run_writes_partitioned_tables_and_overwrites_per_date(spark, scratch):
     cat = bound_catalog(spark, SF)
     out = os.path.join(scratch, "report")

@@ -211,3 +211,27 @@ def test_custom_spec_list_drives_the_report(spark):
                                       LIVE, "swoc_count"]
     row = rep.summary().collect()[0]
     assert (row.engage, row.teach, row.total) == (1, 0, 1)
+
+
+def test_a_scope_table_equals_the_list(spark):
+    """A semi join against a table of ids (repeated, null and absent ones too) gives what
+    the literal list gives, in every output."""
+    t = ts("2024-01-15 01:00:00")
+    cat = make_catalog(spark, {
+        "college": [(1, "A"), (2, "B"), (3, "C"), (4, None)],
+        "student_college_details": [enrol(s, 1 + s % 4, batch=s % 3) for s in range(1, 60)] + [enrol(5, 3, batch=1)],
+        "questionnaire_live": [(e, t) for e in range(1, 6)],
+        "questionnaire_live_has_students": [(s, 1 + s % 5) for s in range(1, 60)],
+        "college_subject_mapping": [(1, 0), (2, 1), (3, 2)],
+        "case_study_assignments": [(a, t, 1 + a % 3) for a in range(10)]})
+    table = spark.createDataFrame([(1,), (3,), (3,), (None,), (99,), (4,)], "college_id int")
+    listed, joined = (ReachReport(cat, "2024-01-15", scope=s) for s in ([1, 3, 99, 4], table))
+    for make in (lambda r: r.combined(), lambda r: r.summary_with_total(), lambda r: r.diagnostics(),
+                 lambda r: r.metric_frame("case_study_count"), lambda r: r.metric_frame("total_live_assignment")):
+        a, b = make(listed), make(joined)
+        assert a.columns == b.columns and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    plan = joined.metric_frame("total_live_assignment")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and " IN (" not in plan
+    empty = ReachReport(cat, "2024-01-15", scope=table.limit(0))
+    assert empty.combined().collect() == []
+    assert [r.total for r in empty.summary_with_total().collect()] == [0]
