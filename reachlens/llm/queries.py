@@ -152,31 +152,23 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(F.col("item_ids").cast("array<string>"), ","), F.lit("")).alias("item_ids"))
 
 
-def _seed_sql(words: str, rows: str, position: str) -> str:
-    """The masked words of every window of ``words``, one SELECT a mask."""
-    return " UNION ALL ".join(
-        f"SELECT *, {m} AS mask, array_to_string([{', '.join(f'{words}[p + {i + 1}]' for i, c in enumerate(mask) if c == '1')}], ' ')"
-        f" AS seed, p AS {position} FROM (SELECT *, unnest(range(len({words}) - {len(mask) - 1})) AS p FROM {rows})"
-        for m, mask in enumerate(decontaminate.MASKS))
-
-
+# without seeds: all positions where a document's and an item's tokens are equal, by diagonal
 OP7_SQL = f"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS words FROM documents
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS words
+  FROM documents
 ), b AS (
   SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS item FROM benchmark
-), i AS (SELECT * FROM b WHERE len(item) >= {decontaminate.MIN_TOKENS}),
-s AS ({_seed_sql('item', 'i', 'item_at')}),
-p AS ({_seed_sql('words', 'd', 'doc_at')}),
-o AS (SELECT DISTINCT doc_id, item_id, doc_at - item_at AS diag FROM p JOIN s USING (mask, seed)),
-m AS (
-  SELECT doc_id, item_id, least(len(item), {decontaminate.WINDOW}) AS width,
-    list_transform(range(len(item)), lambda j: CASE WHEN diag + j >= 0 AND words[diag + j + 1] = item[j + 1]
-      THEN 1 ELSE 0 END) AS same
-  FROM o JOIN d USING (doc_id) JOIN i USING (item_id)
+), i AS (SELECT row_number() OVER () AS nr, item_id, len(item) AS n, least(len(item), {decontaminate.WINDOW}) AS width,
+  unnest(item) AS word, unnest(range(len(item))) AS at FROM b),
+w AS (SELECT row, doc_id, unnest(words) AS word, unnest(range(len(words))) AS p FROM d),
+x AS (
+  SELECT doc_id, item_id, width, list(i.at) AS same FROM w JOIN i USING (word)
+  GROUP BY row, doc_id, nr, item_id, width, p - i.at
+  HAVING count(*) >= CAST({decontaminate.SIMILARITY} AS DOUBLE) * width
 ), h AS (
-  SELECT DISTINCT doc_id, item_id FROM m WHERE list_bool_or(list_transform(range(len(same) - width + 1),
-    lambda a: list_sum(same[a + 1:a + width]) >= CAST({decontaminate.SIMILARITY} AS DOUBLE) * width))
+  SELECT DISTINCT doc_id, item_id FROM x WHERE list_bool_or(list_transform(same, lambda a:
+    len(list_filter(same, lambda j: j BETWEEN a AND a + width - 1)) >= CAST({decontaminate.SIMILARITY} AS DOUBLE) * width))
 ), g AS (SELECT doc_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids FROM h GROUP BY doc_id)
 SELECT doc_id, item_ids IS NOT NULL AS contaminated, coalesce(item_ids, '') AS item_ids
 FROM documents LEFT JOIN g USING (doc_id)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import corpus_pipeline
 import numpy as np
@@ -155,6 +156,54 @@ def test_decontamination_finds_substituted_passages(spark):
     assert {r.doc_id for r in clean.collect()} == {i for i, _, _ in rows} - {i for i, _ in want}
 
 
+def test_masks_leave_no_allowed_substitution_out():
+    """Every way to replace as many tokens as the rule lets pass leaves a mask whole."""
+    for n in range(1, decontaminate.WINDOW + 1):
+        allowed = next(k for k in range(n, -1, -1) if n - k >= decontaminate.SIMILARITY * n)
+        placed = [sum(1 << (at + i) for i, bit in enumerate(mask) if bit == "1")
+                  for mask, low, high in decontaminate.SEEDS if low <= n <= high for at in range(n - len(mask) + 1)]
+        for gone in combinations(range(n), allowed):
+            hole = sum(1 << i for i in gone)
+            assert any(not p & hole for p in placed), (n, gone)
+    for n in range(1, decontaminate.SEGMENT + 1):  # no item is without a mask
+        assert any(low <= n <= high and len(mask) <= n for mask, low, high in decontaminate.SEEDS)
+
+
+def brute_overlap(words, item):
+    width = min(len(item), decontaminate.WINDOW)
+    for shift in range(-len(item), len(words)):
+        same = [0 <= shift + j < len(words) and words[shift + j] == item[j] for j in range(len(item))]
+        if any(sum(same[a:a + width]) >= decontaminate.SIMILARITY * width for a in range(len(item) - width + 1)):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("max_seeds", [1 << 18, 10])
+def test_decontamination_equals_a_search_without_seeds(spark, max_seeds):
+    rng = random.Random(max_seeds)
+    items = [[rng.choice("abcdefghijklmnopqrstuvwxyz") + str(n) for _ in range(n)] for n in range(1, 31)]
+    items += [["w"] * 3, [rng.choice("xyz") for _ in range(70)]]
+    docs = []
+    for i in range(160):
+        words = [rng.choice("abcxyzw") for _ in range(rng.randrange(12))]
+        for _ in range(2):
+            item = [*items[rng.randrange(len(items))]]
+            part = item[rng.randrange(max(1, len(item) - 19)):][:rng.choice([len(item), 20, 25])]
+            for j in rng.sample(range(len(part)), min(len(part), rng.randint(0, 1 + len(part) // 5))):
+                part[j] = "other"
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = part
+        docs.append((i % 150, " ".join(words), "s"))
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)] + [(99, ""), (98, None)],
+                                      "item_id bigint, text string")
+    want = {(i, n) for i, text, _ in docs for n, item in enumerate(items) if brute_overlap(text.split(), item)}
+    got = {(r.doc_id, n) for r in decontaminate.contaminated(frame(spark, docs), benchmark, max_seeds=max_seeds).collect()
+           for n in r.item_ids}
+    assert got == want and len({n for _, n in want}) > 25
+    with pytest.raises(ValueError):
+        decontaminate.hits(frame(spark, docs), benchmark, similarity=0.7)
+
+
 def test_decontamination_of_odd_tables(spark):
     benchmark = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id bigint, text string")
     docs = frame(spark, [(4, "x A B C d e f g h i j k l y", "s"), (4, "clean", "s"), (None, "clean too", "s"),
