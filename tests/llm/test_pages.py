@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -229,3 +230,77 @@ def test_models_follow_the_ruled_urls(spark):
     got = {r.page_id: r.verdict for r in url_filter.judge_urls(
         spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
     assert all(got[1000 + i] == "allow" and got[2000 + i] == "block" for i in range(3))
+
+
+# -- parts that hold the text, neighbours, hidden elements, broken markup -----
+
+PROSE = "Long words of prose that fill a paragraph of the text here. " * 4
+NAV = "<nav><a href=a>One</a> <a href=b>Two</a></nav>"
+
+
+@pytest.mark.parametrize("html,want", [
+    # a part that holds the article, or most of the page, is not beside the text
+    (f'<body>{NAV}<form id="aspnetForm"><article><h1>Title</h1><p>{PROSE}</article></form>', ["Title", PROSE]),
+    (f'<body>{NAV}<form id="aspnetForm"><h1>Title of it</h1><p>{PROSE}<p>{PROSE}</form>', ["Title of it", PROSE, PROSE]),
+    (f'<div class="widget"><article><p>{PROSE}</article></div>', [PROSE]),
+    # but reader comments are, even as articles, and forms beside an article
+    (f'<div><p>{PROSE}<p>{PROSE}</div><div class="comments"><article class="comment"><p>I like this.</article></div>',
+     [PROSE, PROSE]),
+    (f'<article><p>{PROSE}</article><form><p>Write to us in some words here, please do.</form>', [PROSE]),
+    (f'<article><p>{PROSE}</p><div class="user-feedback"><p>Great piece, thanks a lot.</div></article>', [PROSE]),
+    # classes that may mean something else: the words and links of both sides decide
+    (f'<article><p>{PROSE}<section class="alert"><p>{PROSE}<p>Short note here.<p>{PROSE}</section></article>',
+     [PROSE, PROSE, "Short note here.", PROSE]),
+    (f'<article><div class="social-policy"><h2>The policy</h2><p>{PROSE}</div></article>', ["The policy", PROSE]),
+    (f'<article><p class="teaser">The lead says in a few words what it is about.</p><p>{PROSE}</article>',
+     ["The lead says in a few words what it is about.", PROSE]),
+    (f'<article><p>{PROSE}</p><div class="social"><a href=x>Tweet</a></div><div class="teaser"><a href=y>Another story</a>'
+     f'</div><p>{PROSE}</article>', [PROSE, PROSE]),
+    # not shown
+    (f'<article><p>{PROSE}<p hidden>No.<p style="color:red; Display : none">Nor this.<p>{PROSE}</article>', [PROSE, PROSE]),
+    # no article: short blocks among plain ones stay, those among links go
+    (f'<ul><li><a href=a>Home</a><li><a href=b>News</a></ul><h1>Cake</h1><p>{PROSE}<ul><li>Salt<li>Two eggs<li>Some flour'
+     f'</ul><p>{PROSE}<p>"Yes," said he.<p>"No," said she.<p>"Well."<div>© 2024 The Cake Company and its friends, all '
+     'rights reserved</div>', ["Cake", PROSE, "Salt", "Two eggs", "Some flour", PROSE, '"Yes," said he.', '"No," said she.',
+                               '"Well."']),
+])
+def test_text_is_kept_by_what_is_around_it(html, want):
+    got = html_text.main_text(html, html_text.grow(*html_text.labelled_rows()))
+    assert got == "\n".join(" ".join(w.split()) for w in want)
+
+
+def test_the_tree_decides_by_neighbours():
+    rows, labels = html_text.labelled_rows()
+    tree, used = html_text.grow(rows, labels), Counter()
+
+    def walk(node):
+        if isinstance(node, tuple):
+            used[html_text.FEATURES[node[0]]] += 1
+            walk(node[2])
+            walk(node[3])
+    walk(tree)
+    assert used["links_before"] and used["words_before"] + used["words_after"] and used["links"] and used["words"]
+    assert all((html_text.likely(tree, r) >= 0.5) == bool(v) for r, v in zip(rows, labels))
+    # one short block, alike but for its neighbours
+    base = dict.fromkeys(html_text.FEATURES, 0) | {"words": 3}
+    plain = base | {"words_before": 9, "words_after": 40}
+    linked = base | {"words_before": 2, "links_before": 1.0, "words_after": 2, "links_after": 1.0}
+    assert [html_text.likely(tree, [r[f] for f in html_text.FEATURES]) for r in (plain, linked)] == [1, 0]
+
+
+@pytest.mark.parametrize("bad", ["<b>x</i>", "<b><h1>x</h1>", "<nav>x", "<p><b>x", "<article>x", "<li><b>", "</p>x", "<a><div></a>"])
+def test_time_is_proportional_to_the_page(bad):
+    tree = html_text.grow(*html_text.labelled_rows())
+
+    def seconds(size):
+        page, start = bad * (size // len(bad)), time.process_time()
+        html_text.main_text(page, tree)
+        return time.process_time() - start
+    seconds(1000)
+    assert seconds(1 << 20) < 20 * seconds(1 << 17) + 1
+
+
+def test_unmatched_and_crossing_end_tags():
+    tree = html_text.grow(*html_text.labelled_rows())
+    page = f"<article></i><p><b>{PROSE}</p></b></em><i><p>{PROSE}</i> after</p></article></div><nav>menu</nav>"
+    assert html_text.main_text(page, tree) == f"{PROSE.strip()}\n{PROSE}after"
