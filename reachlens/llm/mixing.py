@@ -5,11 +5,14 @@ share.  Each document draws its number of copies from the Poisson distribution
 of that mean by inverting it at a number made from a hash of seed and doc_id,
 so a rerun gives the same copies.  Rates above ``PART`` are drawn as sums of
 several such numbers.  Copies are exploded and ordered by a hash of doc_id and
-copy: a global shuffle in which every range takes rows of all sources.
+copy: a global shuffle in which every range takes rows of all sources.  The hash is
+uniform, so its leading digits name the range, and no sample is drawn first.
 
 Defined results: a null source is a source of its own; null and empty texts add
 no characters to their source; a source without characters, and every source
-if no weight is positive, has the rate 1; rows repeating a doc_id draw the same number; sources missing from
+if no weight is positive, has the rate 1; rows repeating a doc_id draw the same number,
+rows without one a number of their own (by row number, so the table must give its
+rows in the same order to every attempt, as a stored one does); sources missing from
 ``weights`` get none; an empty table gives an empty result; columns of the input
 named ``copy`` or ``order_key`` are replaced.
 """
@@ -21,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachlens.llm.common import salted_join, written
+from reachlens.llm.common import partitions, salted_join, written
 
 SEED = "mix-1"
 PART = 16.0
@@ -77,7 +80,8 @@ def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, sc
     columns = [c for c in docs.columns if c not in ("copy", "order_key")]
     sources = written(with_distribution(rates(docs, weights, scale)), "rates")
     keyed = docs.select(*columns, F.coalesce("source", F.lit(NULL)).alias("_source"),
-                        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"))
+                        F.coalesce(F.col("doc_id").cast("string"), F.concat(
+                            F.lit("row "), F.monotonically_increasing_id().cast("string"))).alias("_id"))
     if sources.count() <= BROADCAST_SOURCES:  # a row has 80 numbers: 15 MB at most
         drawn = keyed.join(F.broadcast(sources), "_source")
     else:
@@ -92,4 +96,7 @@ def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, sc
         *columns, "_id", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
     key = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), "_id", F.col("copy").cast("string"))
                             .cast("binary")), 1, 16)
-    return many.select(*columns, "copy", key.alias("order_key")).orderBy("order_key", "doc_id", "copy")
+    ranges = partitions(docs.sparkSession)
+    place = (F.conv(F.substring("order_key", 1, 8), 16, 10).cast("double") * ranges / float(1 << 32)).cast("int")
+    return (many.select(*columns, "copy", key.alias("order_key")).repartitionById(ranges, place)
+            .sortWithinPartitions("order_key", "doc_id", "copy"))

@@ -155,9 +155,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(x: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
-    """Fit on about ``sample_rows`` of the labelled rows, those of the smallest hashes."""
+    """Fit on about ``sample_rows`` of the labelled documents, those of the smallest hashes
+    (of rows that repeat a doc_id the one with the smallest statistics)."""
     learnt = labels.where("quality is not null").where(~held_out(F.col("doc_id")))
-    labelled = x.join(learnt.groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id")
+    labelled = (x.join(learnt.groupBy("doc_id").agg(F.max("quality").alias("quality")), "doc_id")
+                .groupBy("doc_id").agg(F.min("x").alias("x"), F.max("quality").alias("quality")))
     total = labelled.count()
     steps = 1 << 20
     share = min(steps, int(steps * sample_rows / max(1, total)) + 1)

@@ -20,7 +20,7 @@ and is thrown out by the estimate beyond 5 standard deviations; nothing else is
 approximate.
 
 Defined results: null and empty texts have an empty set and are linked with
-nothing; a null doc_id is never a candidate and joins only an equal set; rows
+nothing; a null doc_id is never a candidate, joins only an equal set and is not kept; rows
 sharing a doc_id are judged one by one but count as one node; an empty table
 gives an empty result; other columns are ignored (``one_of_each`` keeps them).
 """
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reachlens.llm.common import (batches_by_size, components, groups, hash_words, mix, partitions,
@@ -216,11 +216,11 @@ def _inside(texts: DataFrame, size: int, percent: int) -> DataFrame:
             low[block.root(i)] = min(low.get(block.root(i), block.ids[i]), block.ids[i])
         envoys = set(np.lexsort((block.ids, -degree))[:AMBASSADORS].tolist())
         group, at, blocks = (table.column(c)[0].as_py() for c in ("group", "block", "blocks"))
-        return [{"doc_id": int(block.ids[i]), "group": group, "block": at, "blocks": blocks,
+        return [{"doc_id": int(block.ids[i]), "n": int(block.sizes[i]), "group": group, "block": at, "blocks": blocks,
                  "label": int(low[block.root(i)]), "envoy": blocks > 1 and int(i) in envoys} for i in every]
 
     return _blocks(texts.withColumn("label", F.col("doc_id")), ["group", "block"],
-                   "doc_id bigint, group bigint, block bigint, blocks bigint, label bigint, envoy boolean", answer)
+                   "doc_id bigint, n bigint, group bigint, block bigint, blocks bigint, label bigint, envoy boolean", answer)
 
 
 def _between(texts: DataFrame, keys: list[str], size: int, percent: int) -> DataFrame:
@@ -241,6 +241,11 @@ def _relabelled(members: DataFrame, edges: DataFrame) -> DataFrame:
         "label", F.coalesce("comp", "label")).drop("comp")
 
 
+def _parts() -> Column:
+    """The number of bounded blocks that a set of members (with n shingles) needs."""
+    return F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+
+
 def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, label): the component of each class member (doc_id, n, bands)
     that shares a band with another; the others are alone."""
@@ -250,8 +255,7 @@ def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: in
                                     "node", "hub").withColumnRenamed("comp", "group"), "groups")
 
     sized = group.join(classes.select(F.col("doc_id").alias("node"), "n"), "node")
-    blocks = sized.groupBy("group").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    blocks = sized.groupBy("group").agg(_parts().alias("blocks"))
     members = written(
         salted_join(group, blocks, "group", "node").select(
             F.col("node").alias("doc_id"), "group", "blocks",
@@ -265,9 +269,10 @@ def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: in
     texts = members.where("blocks > 1").select("doc_id", "text")
 
     # the best linked members of each block meet
-    envoys = (inside.where("envoy").drop("envoy").distinct().join(texts, "doc_id")
-              .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("envoy")),
-                                          F.ceil(F.col("blocks") * AMBASSADORS / BLOCK_SETS)))
+    sent = inside.where("envoy").drop("envoy").distinct()
+    meetings = sent.groupBy("group").agg(_parts().alias("meetings"))
+    envoys = (salted_join(sent, meetings, "group", "doc_id", "inner").join(texts, "doc_id")
+              .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("envoy")), F.col("meetings")))
               .withColumn("asked", F.lit(True)))
     labelled = written(_relabelled(wide, _between(envoys, ["group", "block"], size, percent)), "labelled")
 
@@ -276,7 +281,7 @@ def class_components(docs: DataFrame, classes: DataFrame, size: int, percent: in
     major = counts.groupBy("group").agg(F.max(F.struct("c", "label")).alias("m")).select(
         "group", F.col("m.label").alias("major"))
     outside = salted_join(labelled, major, "group", "doc_id").where("label <> major")
-    parts = written(outside.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts")), "parts")
+    parts = written(outside.groupBy("group").agg(_parts().alias("parts")), "parts")
     askers = salted_join(outside, parts, "group", "doc_id").select(
         "group", "doc_id", "label", F.lit(True).alias("asked"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
@@ -305,7 +310,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     out = salted_join(placed, comps, "rep", "doc_id")
     component = F.coalesce("comp", "rep", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

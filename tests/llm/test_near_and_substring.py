@@ -82,7 +82,7 @@ def test_near_duplicates_keep_every_column_and_row_count(spark):
 def test_near_duplicates_odd_ids_and_empty_table(spark):
     docs = frame(spark, ["a b c d", "a b c d", "x y z u", "x y z u"], [None, 4, 6, 6])
     got = sorted((r.doc_id or -1, r.component_id, r.kept) for r in setsketch.near_duplicates(docs).collect())
-    assert got == [(-1, 4, None), (4, 4, True), (6, 6, True), (6, 6, True)]
+    assert got == [(-1, 4, False), (4, 4, True), (6, 6, True), (6, 6, True)]
     assert setsketch.near_duplicates(docs.limit(0)).collect() == []
 
 
@@ -254,3 +254,22 @@ def test_a_third_of_all_rows_is_one_row(spark):
     assert size == sum(map(len, texts)) and most < 60  # of 900 in 39 chunks
     got = Counter((r._n_words, r._n_removed) for r in substring.without_repeats(docs, chunk_bytes=20_000).collect())
     assert got == {(50, 50): 900, (45, 0): 1800}
+
+
+def test_blocks_are_bounded_by_shingles_too(spark, monkeypatch):
+    """Long documents of one template: few documents a block, and the same components."""
+    monkeypatch.setattr(setsketch, "BLOCK_SHINGLES", 900)
+    rng = random.Random(6)
+    base = [f"t{i}" for i in range(300)]
+    texts = []
+    for k in range(24):
+        w = [*base]
+        for j in rng.sample(range(300), 3 if k % 3 else 25):
+            w[j] = f"own{k}x{j}"
+        texts.append(" ".join(w))
+    _, comp = brute_components(texts, 3, 85)
+    sizes = []
+    monkeypatch.setattr(setsketch, "_blocks", lambda rows, keys, *rest, real=setsketch._blocks: (
+        sizes.append(rows.groupBy(*keys).count().agg(F.max("count")).head()[0]), real(rows, keys, *rest))[1])
+    got = {r.doc_id: r.component_id for r in setsketch.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(24)] == comp and max(sizes) < 24

@@ -263,6 +263,18 @@ def test_mixing_of_odd_tables(spark, monkeypatch):
     assert mixing.mixed(docs.limit(0)).collect() == []
 
 
+def test_rows_without_an_id_draw_numbers_of_their_own(spark):
+    """2000 rows without a doc_id: the copies are Poisson distributed, whatever the seed."""
+    docs = frame(spark, [(None, f"some text {i % 7}", "a") for i in range(2000)] + [(1, "x" * 9, "b")])
+    for seed in ("s1", "s2"):
+        counts = Counter(r.copy for r in mixing.mixed(docs, {"a": 1.0, "b": 1.0}, 2.0, seed).where("source = 'a'").collect())
+        assert 1700 < sum(counts.values()) < 2300 and counts[1] < 1500 and counts[2] > 300
+    out = mixing.mixed(docs, {"a": 1.0, "b": 1.0}, 2.0)
+    keys = [r.order_key for r in out.collect()]
+    assert keys == sorted(keys)  # a global order, range after range
+
+
+
 # -- chat -------------------------------------------------------------------
 
 def conversations(spark, rows):
