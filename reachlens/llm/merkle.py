@@ -1,16 +1,17 @@
 """Document fingerprints: Merkle trees over sections, paragraphs and word runs.
 
-A paragraph is a line of the text; a section ends after a paragraph whose hash
-begins with 0-3, so sections find their bounds again after an insertion.  Each
-paragraph is also cut into runs of eight words, the leaves by which two texts
-are likened.  A fingerprint is one string::
+A paragraph is a line of the text, cut into runs of words: a run ends after a word whose
+hash begins with 0 or 1 (one in eight), so runs find their bounds again after an
+insertion.  The runs are the leaves, and together they are the paragraph, white
+space included; a paragraph is hashed from its leaves' hashes.  A section ends
+after a paragraph whose hash begins with 0-3 and is hashed from its paragraphs, the
+root from the sections.  A fingerprint is one string::
 
     root ':' sections joined by ',' ':' paragraphs joined by ',' ':' leaves joined by ','
 
-root, sections and paragraphs are SHA-256 (a section of its paragraphs' hashes,
-the root of its sections' hashes; below the root cut to 12 hex digits), leaves 8
-hex digits of MD5.  Roots test equality, differing sections and paragraphs
-locate edits, ``likeness`` is Dice's coefficient of the distinct leaves.
+All hashes are SHA-256; below the root they are cut to 12 hex digits, leaves to 8.
+Roots test equality, differing sections and paragraphs locate edits, ``likeness``
+is Dice's coefficient of the distinct leaves.
 
 Everything is DataFrame functions, row by row; only finding the next document
 shuffles.  Defined results: a null text counts as empty and has one empty
@@ -28,10 +29,12 @@ from pyspark.sql import functions as F
 
 from reachlens.llm.common import written
 
-RUN_WORDS = 8
-CUT = 12
-_GAP, _WORD = r"[ \t\r\f\x0B]+", r"[^ \t\r\f\x0B]+"
-RUN = f"{_WORD}(?:{_GAP}{_WORD}){{0,{RUN_WORDS - 1}}}"
+CUT, LEAF = 12, 8
+GAPS = " \t\r\f\x0b"
+#: a word with the white space before it (or what there is at the end of a line)
+WORD = r"[ \t\r\f\x0B]*[^ \t\r\f\x0B]+|[ \t\r\f\x0B]+"
+#: first hex digits of the words that end a run, and of the paragraphs that end a section
+LAST_WORDS, LAST_PARAGRAPHS = "01", "0123"
 BOUNDS = 256
 
 
@@ -39,22 +42,30 @@ def _short(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.substring(h, 1, CUT)), ",")
 
 
+def _runs(paragraph: Column) -> Column:
+    """The hashes of the runs of a line."""
+    def ended(word: Column) -> Column:
+        last = F.substring(F.md5(F.ltrim(word, F.lit(GAPS)).cast("binary")), 1, 1).isin(*LAST_WORDS)
+        return F.when(last, F.concat(word, F.lit("\n"))).otherwise(word)
+
+    marked = F.array_join(F.transform(F.regexp_extract_all(paragraph, F.lit(WORD), F.lit(0)), ended), "")
+    return F.transform(F.filter(F.split(marked, "\n", -1), lambda r: r != ""), lambda r: F.sha2(r.cast("binary"), 256))
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with the fingerprint of its column ``text`` (never null) as ``name``."""
-    pieces = df.withColumn("_paragraphs", F.split(text, "\n", -1))
-    hashed = pieces.withColumns({
-        "_hashes": F.transform("_paragraphs", lambda p: F.sha2(p.cast("binary"), 256)),
-        "_leaves": F.array_join(F.transform(F.flatten(F.transform("_paragraphs", lambda p: F.regexp_extract_all(
-            p, F.lit(RUN), F.lit(0)))),
-            lambda run: F.substring(F.md5(run.cast("binary")), 1, 8)), ",")})
+    cut = df.withColumn("_runs", F.transform(F.split(text, "\n", -1), _runs))
+    hashed = cut.withColumns({
+        "_hashes": F.transform("_runs", lambda p: F.sha2(F.array_join(p, "").cast("binary"), 256)),
+        "_leaves": F.array_join(F.transform(F.flatten("_runs"), lambda h: F.substring(h, 1, LEAF)), ",")})
     marked = F.array_join(F.transform("_hashes", lambda h: F.when(
-        F.substring(h, 1, 1).isin("0", "1", "2", "3"), F.concat(h, F.lit(";"))).otherwise(h)), "")
+        F.substring(h, 1, 1).isin(*LAST_PARAGRAPHS), F.concat(h, F.lit(";"))).otherwise(h)), "")
     sections = F.transform(F.split(F.rtrim(marked, F.lit(";")), ";", -1), lambda s: F.sha2(s.cast("binary"), 256))
     built = hashed.withColumn("_sections", sections)
     root = F.sha2(F.array_join("_sections", "").cast("binary"), 256)
     return built.withColumn(name, F.concat_ws(":", root, _short(F.col("_sections")),
                                               _short(F.col("_hashes")), "_leaves")).drop(
-        "_paragraphs", "_hashes", "_leaves", "_sections")
+        "_runs", "_hashes", "_leaves", "_sections")
 
 
 def level(fingerprint: Column, i: int) -> Column:

@@ -63,10 +63,14 @@ WITH d AS (
     || CASE WHEN length(text) < 3 THEN '' ELSE left(next, length(text) // 3) END AS edited FROM d
 ), t AS (
   SELECT doc_id, 0 AS kind, text FROM e UNION ALL SELECT doc_id, 1, edited FROM e
+), n AS (
+  SELECT doc_id, kind, text, list_transform(string_split(text, chr(10)), lambda p: list_transform(list_filter(
+    string_split(array_to_string(list_transform(regexp_extract_all(p, '{merkle.WORD}'), lambda w:
+      w || CASE WHEN md5(ltrim(w, ' ' || chr(9) || chr(13) || chr(12) || chr(11)))[1] IN ('0', '1') THEN chr(10)
+        ELSE '' END), ''), chr(10)), lambda r: r <> ''), lambda r: sha256(r))) AS runs FROM t
 ), h AS (
-  SELECT doc_id, kind, text, list_transform(string_split(text, chr(10)), lambda p: sha256(p)) AS hashes,
-    list_transform(flatten(list_transform(string_split(text, chr(10)),
-      lambda p: regexp_extract_all(p, '{merkle.RUN}'))), lambda r: substr(md5(r), 1, 8)) AS leaves FROM t
+  SELECT doc_id, kind, text, list_transform(runs, lambda p: sha256(coalesce(array_to_string(p, ''), ''))) AS hashes,
+    list_transform(flatten(runs), lambda x: substr(x, 1, {merkle.LEAF})) AS leaves FROM n
 ), s AS (
   SELECT *, list_transform(string_split(rtrim(array_to_string(list_transform(hashes,
     lambda x: CASE WHEN x[1] IN ('0', '1', '2', '3') THEN x || ';' ELSE x END), ''), ';'), ';'),

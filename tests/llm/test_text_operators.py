@@ -42,6 +42,32 @@ def test_roots_test_equality_and_branches_locate_edits(spark):
     assert 1 <= changed <= 2
 
 
+def test_runs_are_cut_by_content_and_hashed_into_the_tree(spark):
+    rng = random.Random(7)
+    words = [f"word{rng.randrange(10_000)}" for _ in range(200)]
+    text = " ".join(words)  # one paragraph
+    middle = " ".join([*words[:90], "one", "more", *words[90:]])
+    first, front, inner, spaced, other = fingerprint_of(
+        spark, text, "Yet " + text, middle, text.replace(" ", "  ", 1), " ".join(reversed(words)))
+    near = spark.createDataFrame([(first, x) for x in (front, inner, spaced, other)], "a string, b string").select(
+        merkle.likeness(F.col("a"), F.col("b")).alias("near")).collect()
+    assert all(r.near > 0.8 for r in near[:3]) and near[3].near < 0.2
+    assert len({x.split(":")[0] for x in (first, front, inner, spaced, other)}) == 5
+    # the paragraph's node comes from its leaves alone
+    runs, run = [], ""
+    for i, w in enumerate(words):
+        run += (" " if i else "") + w
+        if hashlib.md5(w.encode()).hexdigest()[0] in "01":
+            runs.append(run)
+            run = ""
+    hashes = [hashlib.sha256(r.encode()).hexdigest() for r in [*runs, *([run] if run else [])]]
+    root, sections, paragraphs, leaves = first.split(":")
+    assert leaves.split(",") == [h[:8] for h in hashes]
+    assert paragraphs == hashlib.sha256("".join(hashes).encode()).hexdigest()[:12]
+    section = hashlib.sha256(hashlib.sha256("".join(hashes).encode()).hexdigest().encode()).hexdigest()
+    assert sections == section[:12] and root == hashlib.sha256(section.encode()).hexdigest()
+
+
 def test_edited_texts_follow_the_next_document(spark):
     rows = [(9, "abcdefghi", "s"), (5, None, "s"), (4, "é" * 7, "s"), (2, "xy", "s"), (1, "one two three four", "s")]
     docs = frame(spark, rows)
