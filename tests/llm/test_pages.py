@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import time
 from collections import Counter, defaultdict
 
@@ -232,6 +233,43 @@ def test_models_follow_the_ruled_urls(spark):
     assert all(got[1000 + i] == "allow" and got[2000 + i] == "block" for i in range(3))
 
 
+def test_calibrated_verdicts_of_given_pages(spark):
+    """Rules, models, threshold and verdicts of a whole table in plain Python."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url").limit(60)
+    rows, texts, ruled = [(r.page_id, r.url) for r in pages.collect()], {}, {}
+    for _, url in rows:
+        rest = (url or "").partition("://")[2] if "://" in (url or "") else ""
+        host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+        s = "".join(c.lower() if c.isascii() else c for c in host) + re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+        host, path = s[:len(host)], s[len(host):]
+        fits = [(len(h + p), v) for v, h, p in url_filter.RULES
+                if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        texts[url], ruled[s] = s, max(fits)[1] if fits else None
+    pages_of = Counter(texts[u] for _, u in rows)
+    held = {s: hashlib.md5(s.encode()).hexdigest()[0] in url_filter.HELD_OUT for s in ruled}
+    ratio = brute_ratio([(s, v) for s, v in ruled.items() if v and not held[s] for _ in range(pages_of[s])], url_filter.ORDER)
+    score = {}
+    for s in ruled:
+        padded = url_filter.START * url_filter.ORDER + s + url_filter.END
+        score[s] = sum(ratio(padded[i:i + url_filter.ORDER + 1]) for i in range(len(s) + 1)) / 1e6 / (len(s) + 1)
+    known = [(score[s], v, pages_of[s]) for s, v in ruled.items() if v and held[s]]
+    share = {v: sum(n for _, w, n in known if w == v) for v in ("allow", "block")}
+
+    def balanced(at):
+        return sum(n / share[v] for x, v, n in known if (math.floor(x * 100) / 100 >= at) == (v == "allow"))
+    limit = max((round(balanced(k / 100), 9), -abs(k)) for k in range(-1000, 1001))[1] if all(share.values()) else 0
+    limits = {limit / 100, -limit / 100}
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
+    assert len(got) == len(rows)
+    for page_id, url in rows:
+        s = texts[url]
+        if ruled[s]:
+            assert got[page_id].verdict == ruled[s]
+        else:
+            assert abs(got[page_id].score - score[s]) < 1e-5
+            assert got[page_id].verdict in {"allow" if score[s] >= x else "block" for x in limits}
+
+
 # -- parts that hold the text, neighbours, hidden elements, broken markup -----
 
 PROSE = "Long words of prose that fill a paragraph of the text here. " * 4
