@@ -34,6 +34,14 @@ def hot_keys(rows: DataFrame, by: str, *columns: str) -> dict:
     return {r[by]: {c: sorted(r[c]) for c in columns} for r in sketches.select(by, *kept).collect()}
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark plans a join with ``df`` as a broadcast, by its estimated size: no
+    key of the other side then meets in a task."""
+    session = df.sparkSession._jsparkSession.sessionState()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= session.conf().autoBroadcastJoinThreshold()
+
+
 def dealt_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner",
                hot: Sequence[int] | None = None) -> DataFrame:
     """``left`` join ``right`` on ``key`` where one key may hold a third of ``left``: the

@@ -7,7 +7,7 @@ Plan per report (all metrics at once):
    metrics that read the same bridge and activity table share one scan and get
    their label from the activity flags.  Hot activities are found first, by a
    bounded frequency sketch over the bridges (``hot_links``, one small job a
-   report): their links are dealt over many tasks by a hash of the student and only
+   report for the joins that Spark does not broadcast): their links are dealt over many tasks by a hash of the student and only
    their rows are repeated, so one activity linked to a third of all students is
    spread in any session, without skew settings, and every other activity is
    joined once, by its id alone;
@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachlens.functions.skew import dealt_join, hot_keys
+from reachlens.functions.skew import dealt_join, hot_keys, is_broadcast
 from reachlens.functions.timewin import in_date_range, in_window, report_dates
 from reachlens.sources.catalog import Catalog
 from reachlens.specs import MetricSpec
@@ -114,6 +114,28 @@ def source_links(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
     return _with_report_date(windowed, head.time_col, ttype, start, end).select(*columns, "report_date")
 
 
+def source_activities(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
+                      id_bounds: dict[tuple, tuple[int, int] | None] | None = None) -> DataFrame:
+    """The activities (event_id, and what the links lack: report date, metric) that specs
+    sharing one source join to their links."""
+    head = specs[0]
+    event = filtered_events(catalog, specs)
+    if head.time_side != "event":
+        if len(specs) == 1:
+            return event.select(F.col("id").alias("event_id"))
+        return with_metric_labels(event, specs).select(F.col("id").alias("event_id"), "metric")
+    ttype = event.schema[head.time_col].dataType
+    activities = event.where(in_window(head.time_col, ttype, start, end))
+    activities = _with_report_date(activities, head.time_col, ttype, start, end)
+    activities = with_metric_labels(activities, specs).select(
+        F.col("id").alias("event_id"), "report_date", "metric")
+    if id_bounds is not None and head.source_key in id_bounds:
+        # on both sides: an activity added since the bounds were read is left out whole
+        low, high = id_bounds[head.source_key] or (1, 0)
+        activities = activities.where(F.col("event_id").between(low, high))
+    return activities
+
+
 def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
                  id_bounds: dict[tuple, tuple[int, int] | None] | None = None,
                  hot: Sequence[int] = ()) -> DataFrame:
@@ -121,29 +143,13 @@ def source_pairs(catalog: Catalog, specs: Sequence[MetricSpec], start, end,
 
     ``id_bounds`` (from ``activity_id_bounds``) adds the exact activity-id range
     filter to the bridge scan; ``hot`` lists the source's hot activities."""
-    head = specs[0]
-    event = filtered_events(catalog, specs)
     links = source_links(catalog, specs, start, end, id_bounds)
-
-    if head.time_side == "event":
-        ttype = event.schema[head.time_col].dataType
-        activities = event.where(in_window(head.time_col, ttype, start, end))
-        activities = _with_report_date(activities, head.time_col, ttype, start, end)
-        activities = with_metric_labels(activities, specs).select(
-            F.col("id").alias("event_id"), "report_date", "metric")
-        if id_bounds is not None and head.source_key in id_bounds:
-            # on both sides: an activity added since the bounds were read is
-            # left out whole
-            low, high = id_bounds[head.source_key] or (1, 0)
-            activities = activities.where(F.col("event_id").between(low, high))
+    activities = source_activities(catalog, specs, start, end, id_bounds)
+    if "metric" in activities.columns:
         pairs = dealt_join(links, activities, "event_id", "student_id", "inner", hot)
-    elif len(specs) == 1:
-        ids = event.select(F.col("id").alias("event_id"))
-        pairs = (dealt_join(links, ids, "event_id", "student_id", "left_semi", hot)
-                 .withColumn("metric", F.lit(head.column)))
     else:
-        labelled = with_metric_labels(event, specs).select(F.col("id").alias("event_id"), "metric")
-        pairs = dealt_join(links, labelled, "event_id", "student_id", "inner", hot)
+        pairs = (dealt_join(links, activities, "event_id", "student_id", "left_semi", hot)
+                 .withColumn("metric", F.lit(specs[0].column)))
     return pairs.select(*PAIR_COLUMNS)
 
 
@@ -157,14 +163,15 @@ def grouped_sources(specs: Iterable[MetricSpec]) -> list[list[MetricSpec]]:
 
 
 def hot_links(catalog: Catalog, groups: Sequence[Sequence[MetricSpec]], start, end,
-              id_bounds: dict[tuple, tuple[int, int] | None] | None = None) -> dict[tuple, dict[str, list[int]]]:
+              students: DataFrame | None = None) -> dict[tuple, dict[str, list[int]]]:
     """The hot activities (``event_id``) and students (``student_id``) of each source, from
-    one small job over the links of all sources."""
-    if not groups:
-        return {}
-    links = [source_links(catalog, g, start, end, id_bounds).select(F.lit(i).alias("source"), "event_id", "student_id")
-             for i, g in enumerate(groups)]
-    found = hot_keys(reduce(lambda a, b: a.unionByName(b), links), "source", "event_id", "student_id")
+    one small job over the links of the sources that need it: where Spark
+    broadcasts the activities and the ``students``, no key's links meet in a task."""
+    few = students is None or is_broadcast(students)
+    sought = [i for i, g in enumerate(groups) if not (few and is_broadcast(source_activities(catalog, g, start, end)))]
+    links = [source_links(catalog, groups[i], start, end).select(F.lit(i).alias("source"), "event_id", "student_id")
+             for i in sought]
+    found = hot_keys(reduce(lambda a, b: a.unionByName(b), links), "source", "event_id", "student_id") if links else {}
     none: dict[str, list[int]] = {"event_id": [], "student_id": []}
     return {g[0].source_key: found.get(i, none) for i, g in enumerate(groups)}
 
@@ -179,7 +186,7 @@ def activity_pairs(catalog: Catalog, specs: Iterable[MetricSpec], start, end,
     if not groups:
         return None
     bounds = activity_id_bounds(catalog, groups, start, end) if prune_bridges else None
-    hot = hot if hot is not None else hot_links(catalog, groups, start, end, bounds)
+    hot = hot if hot is not None else hot_links(catalog, groups, start, end)
     return reduce(lambda a, b: a.unionByName(b),
                   [source_pairs(catalog, g, start, end, bounds, hot[g[0].source_key]["event_id"]) for g in groups])
 

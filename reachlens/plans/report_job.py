@@ -8,7 +8,7 @@ aggregation (pivot + zero rows).
 diagnostics from the written table, so the counting plan runs once and the
 lineage of the small report tables starts at the shared folder.  Otherwise, building
 a plan starts one job at most: the sketch that finds hot activities and students
-(once a report and source; ``prune_bridges``, off by default, adds another, and a JDBC
+(once a report and source, where Spark would not broadcast the other side; ``prune_bridges``, off by default, adds another, and a JDBC
 catalog counts the slices of a table when it is first read).
 """
 
@@ -53,13 +53,16 @@ class ReachReport:
     def members(self) -> DataFrame:
         return roster.members(self.catalog, self.scope)
 
+    def students(self) -> DataFrame:
+        return self.members().select("student_id").distinct()
+
     def hot_links(self, specs: Sequence[MetricSpec]) -> dict[tuple, dict[str, list[int]]]:
         """Hot activities and students of the specs' sources (one job for those not
         yet known to this report)."""
         groups = activity.grouped_sources(specs)
         new = [g for g in groups if g[0].source_key not in self._hot]
         if new:
-            self._hot |= activity.hot_links(self.catalog, new, self.start, self.end)
+            self._hot |= activity.hot_links(self.catalog, new, self.start, self.end, self.students())
         return {g[0].source_key: self._hot[g[0].source_key] for g in groups}
 
     def member_counts(self, specs: Sequence[MetricSpec] | None = None) -> DataFrame | None:
@@ -72,10 +75,9 @@ class ReachReport:
         hot = self.hot_links(keyed)
         pairs = activity.activity_pairs(self.catalog, keyed, self.start, self.end,
                                         self.prune_bridges, hot)
-        students = self.members().select("student_id").distinct()
         # a student with a share of all links has that share in one source at least
         often = sorted({i for ids in hot.values() for i in ids["student_id"]})
-        return activity.per_member_counts(activity.of_students(pairs, students, often))
+        return activity.per_member_counts(activity.of_students(pairs, self.students(), often))
 
     def counts(self, specs: Sequence[MetricSpec]) -> DataFrame | None:
         """Long rows (report_date, college_id, metric, n) of ``specs`` whose sum
