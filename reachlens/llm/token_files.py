@@ -23,9 +23,10 @@ prefix space) always cuts between a visible character and white space, and betwe
 Latin letter or digit and ASCII punctuation.  So texts are cut there into words,
 the library encodes each distinct word, and a bounded memory of words (kept by
 the Python worker over its tasks) gives the ids of those that come again; a text's
-ids are those of the whole text.  Texts with control characters that the libraries
-class differently or with an added token's own string, and texts for any other
-tokenizer, are encoded whole.
+ids are those of the whole text.  Cutting, finding and putting together are numpy
+over a batch of texts; words are told apart by 128 bits.  Texts with white space
+beyond ASCII, control characters that the libraries class differently or an added
+token's own string, and texts for any other tokenizer, are encoded whole.
 
 Memory: long texts are taken in pieces of ``PIECE`` characters, cut between a word
 character and a following space or line feed; a task holds one piece's ids and
@@ -41,7 +42,6 @@ to every attempt of a task (a stored table does).  A damaged frame raises.
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import re
@@ -56,20 +56,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reachlens.llm.common import batches_by_size
+from reachlens.llm.common import batches_by_size, mix, seeds
 
 BLOCK = 1 << 16
 PIECE = 1 << 18
 LEVEL = 3
 END_ID = 2
-#: words whose ids a worker remembers, and their longest length
-KNOWN, LONG = 1 << 19, 64
+#: words whose ids a worker remembers
+KNOWN = 1 << 20
 MAGIC = b"IDPL"
 _HEADER = "<4sBBII"  # magic, bits a plane row (8: bytes), planes, ids, CRC-32
 _PLACE = re.compile(r"(?<=[\w!-~])[ \n]")
-_LATIN, _MARK = "0-9A-Za-zÀ-ÖØ-öø-ɏ", r"[!-/:-@\[-`{-~]"
-_WORD = re.compile(rf"(?=[\s\S])\s*(?:[{_LATIN}]++(?!{_MARK})|[^\s{_LATIN}]++)*+[{_LATIN}]*")
-_CONTROL = "\x1c\x1d\x1e\x1f"
+#: white space beyond ASCII, and control characters that only Python calls white space
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SPACE, _DIGIT_OR_LETTER, _MARK, _TAIL, _LATIN = 1, 2, 4, 8, 16
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _DIGIT_OR_LETTER
+_CLASS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = _MARK
+_CLASS[0x80:0xC0] = _TAIL       # of a character of several bytes
+_CLASS[0xC3:0xCA] = _LATIN      # first of the two bytes of U+00C0 to U+027F
 CHUNKS = ("shard int, chunk int, first bigint, n int, "
           "documents array<struct<doc_id: bigint, ordinal: bigint, start: bigint>>, frame binary")
 _DOCUMENTS = pa.list_(pa.struct([("doc_id", pa.int64()), ("ordinal", pa.int64()), ("start", pa.int64())]))
@@ -169,18 +175,30 @@ def encodes_by_word(definition: str) -> bool:
             and not first.get("add_prefix_space") and first.get("use_regex", True))
 
 
+def word_starts(buf: np.ndarray) -> np.ndarray:
+    """Whether a word begins at each byte of UTF-8 text."""
+    kind = _CLASS[buf]
+    out = np.zeros(len(buf), bool)
+    out[:1] = True
+    before = kind[:-1]
+    out[1:] = (kind[1:] == _SPACE) & (before != _SPACE)
+    letter = before == _DIGIT_OR_LETTER
+    letter[1:] |= (before[1:] == _TAIL) & (kind[:-2] == _LATIN) & ~(  # but the signs for times and divided by
+        (buf[:-2] == 0xC3) & ((buf[1:-1] == 0x97) | (buf[1:-1] == 0xB7)))
+    out[1:] |= (kind[1:] == _MARK) & letter
+    return out
+
+
 class _Encoder:
-    """Ids (as little-endian 32-bit bytes) of texts by a tokenizer of the library."""
+    """Ids of texts by a tokenizer of the library."""
 
     def __init__(self, definition: str, specials_as_text: bool) -> None:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(definition)
         self.library.encode_special_tokens = specials_as_text
         self.by_word = encodes_by_word(definition)
-        self.apart = [*_CONTROL, *(t["content"] for t in json.loads(definition).get("added_tokens", []))]
-        # two generations: words that come again move to the young one
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.added = [t["content"] for t in json.loads(definition).get("added_tokens", [])]
+        self.forget()
 
     @classmethod
     def of_worker(cls, definition: str, specials_as_text: bool) -> _Encoder:
@@ -193,43 +211,107 @@ class _Encoder:
             kept[key] = cls(*key)
         return kept[key]
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> list[str]:
-        """The ids of ``words`` become known; returns those too long to be kept."""
-        again = words & self.old.keys()
-        self.known.update((w, self.old[w]) for w in again)
-        new = list(words - again)
-        if new:
-            found = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(new) + 1))).tolist()
-            self.known.update((w, ids[lo:hi]) for w, lo, hi in zip(new, cuts, cuts[1:]))
-        return [w for w in new if len(w) > LONG]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return [self.whole(t) for t in texts]
-        gc.disable()  # many new strings, no cycles
-        try:
-            return self.joined(texts)
-        finally:
-            gc.enable()
-
-    def joined(self, texts: list[str]) -> list[bytes]:
-        words = [[] if any(x in t for x in self.apart) else _WORD.findall(t) for t in texts]
-        long = self.learn(set().union(*words).difference(self.known))
-        out = [b"".join(map(self.known.__getitem__, w)) if w or not t else self.whole(t)
-               for t, w in zip(texts, words)]
-        for w in long:
-            del self.known[w]
-        if len(self.known) > KNOWN:
-            self.old.clear()
-            self.old.update(self.known)
-            self.known.clear()
+    def forget(self) -> None:
+        """No word is known.  A word has a number, by which its ids' place in the
+        pool and the second half of its hash are found; numbers are found by the
+        first half in a table of open slots."""
+        self.size = 0
+        self.slot_key, self.slot_number = np.zeros(4 * KNOWN, np.uint64), np.full(4 * KNOWN, -1, np.int32)
+        self.begin, self.check = np.zeros(KNOWN + 1, np.int64), np.zeros(KNOWN, np.uint64)
+        self.pool = np.zeros(1 << 16, np.uint32)
+
+    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 if it is not known."""
+        out, slot, left = np.full(len(keys), -1, np.int64), keys & np.uint64(4 * KNOWN - 1), np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            number = self.slot_number[at]
+            same = (number >= 0) & (self.slot_key[at] == keys[left])
+            out[left[same]] = number[same]
+            left = left[(number >= 0) & ~same]
+            slot[left] = (slot[left] + np.uint64(1)) & np.uint64(4 * KNOWN - 1)
         return out
 
+    def number(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Puts distinct new keys into the table."""
+        slot, left = keys & np.uint64(4 * KNOWN - 1), np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            free = self.slot_number[at] < 0
+            self.slot_number[at[free]] = numbers[left[free]]
+            self.slot_key[at[free]] = keys[left[free]]
+            left = left[self.slot_number[at] != numbers[left]]  # the last one that took a slot has it
+            slot[left] = (slot[left] + np.uint64(1)) & np.uint64(4 * KNOWN - 1)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, words: list[str], keys: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The numbers of new words."""
+        found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(words) + 1))
+        first, last, used = self.size, self.size + len(words), int(self.begin[self.size])
+        if used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool[:used], np.zeros(used + 2 * len(ids), np.uint32)))
+        self.pool[used:used + len(ids)] = ids
+        self.begin[first:last + 1] = cuts + used
+        self.check[first:last] = check
+        self.size = last
+        out = np.arange(first, last)
+        self.number(keys, out)
+        return out
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [self.by_word and (t.isascii() and not any(c in t for c in "\x1c\x1d\x1e\x1f") or not _ODD_SPACE.search(t))
+                 and not any(a in t for a in self.added) for t in texts]
+        found = iter(self.by_words([t.encode() for t, p in zip(texts, plain) if p]))
+        return [next(found) if p else self.whole(t) for t, p in zip(texts, plain)]
+
+    def by_words(self, texts: list[bytes]) -> list[np.ndarray]:
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        joined = b"".join(texts)
+        if not joined:
+            return [np.zeros(0, np.uint32)] * len(texts)
+        buf = np.frombuffer(joined, np.uint8)
+        cut = word_starts(buf)
+        cut[(ends - sizes)[sizes > 0]] = True
+        starts = np.flatnonzero(cut)
+        lens = np.diff(np.append(starts, len(buf)))
+        one, two = _hashes(buf, starts, lens)
+        distinct, first, of = np.unique(one, return_index=True, return_inverse=True)
+        if (two != two[first][of]).any():  # two words of a batch share one half of their hashes
+            return [self.whole(t.decode()) for t in texts]
+        if self.size + len(distinct) > KNOWN:
+            self.forget()
+        number = self.numbers(distinct)
+        new = np.flatnonzero(number < 0)
+        if len(distinct) > KNOWN or (self.check[number] != two[first])[number >= 0].any():
+            return [self.whole(t.decode()) for t in texts]
+        if len(new):
+            at = first[new]
+            words = [joined[a:b].decode() for a, b in zip(starts[at].tolist(), (starts + lens)[at].tolist())]
+            number[new] = self.learn(words, distinct[new], two[at])
+        number = number[of]
+        begin = self.begin[number]
+        count = self.begin[number + 1] - begin
+        total = np.cumsum(count)
+        ids = self.pool[np.repeat(begin - (total - count), count) + np.arange(int(total[-1]))]
+        bounds = np.concatenate(([0], total))[np.searchsorted(starts, np.concatenate(([0], ends)))]
+        return [ids[lo:hi] for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+def _hashes(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each word."""
+    at = np.arange(len(buf)) - np.repeat(starts, lens)
+    longest, wide, out = int(lens.max()), buf.astype(np.uint64) + np.uint64(1), []
+    with np.errstate(over="ignore"):
+        for key in (21, 22):
+            h = np.add.reduceat(wide * seeds(longest, key)[at], starts)
+            out.append(mix(h + lens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return out[0], out[1]
+
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, block: int = BLOCK,
                  bits: bool = False, level: int = LEVEL, specials_as_text: bool = False) -> None:
@@ -243,7 +325,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _Encoder.of_worker(definition, specials_as_text)
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], np.uint32)
         number = TaskContext.get().partitionId()
         stream: list[np.ndarray] = []  # ids not yet in a chunk
         waiting, first, chunk, ordinal = 0, 0, 0, 0
@@ -271,7 +353,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     for doc_id, (piece, last) in some:
                         if not inside or inside[-1]["ordinal"] != ordinal:
                             inside.append({"doc_id": doc_id, "ordinal": ordinal, "start": first + waiting})
-                        stream.append(end if last else np.frombuffer(next(found), "<u4"))
+                        stream.append(end if last else next(found))
                         waiting += len(stream[-1])
                         ordinal += last
                         while waiting > block:  # a full block goes once an id follows it

@@ -62,6 +62,26 @@ def test_pieces_of_a_text_encode_like_the_text():
             == encoder.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_put_together_from_words_are_the_librarys(monkeypatch):
+    rng = random.Random(4)
+    signs = ["a", "é", "日", "→", "²", "१", "ﬁ", ".", ",", "'", "'s", "'ll", '"', "(", "-", "_", "+", " ", "  ", "\n", "\t",
+             "\r\n", "\u2028", "\u3000", "\x85", "\xa0", "\u200b", "\u180e", "\x1c", "1", "<|endoftext|>", "🙂", "ß", "Ω",
+             "ж", "\u0301", "x", "Z", "{", "~", "×", "÷", "ɏ", "ɐ", "\x00"]
+    plain = [c for c in signs if not c.isspace() or c.isascii()]
+    with open(BPE, encoding="utf-8") as f:
+        definition = f.read()
+    for known in (token_files.KNOWN, 256):  # and where words are forgotten again and again
+        monkeypatch.setattr(token_files, "KNOWN", known)
+        for specials_as_text in (False, True):
+            encoder = token_files._Encoder(definition, specials_as_text)
+            for i in range(120):
+                texts = ["".join(rng.choice(signs if i % 2 else plain) for _ in range(rng.randrange(14)))
+                         for _ in range(20)]
+                assert [g.tolist() for g in encoder(texts)] == [encoder.whole(t).tolist() for t in texts]
+    assert token_files.encodes_by_word(definition)
+    assert not token_files.encodes_by_word(definition.replace('"add_prefix_space":false', '"add_prefix_space":true', 1))
+
+
 def brute_tokens(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
     encoder, out, start = Tokenizer.from_file(BPE), [], 0
     for doc_id, text in sorted(rows, key=key):
