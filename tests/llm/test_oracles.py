@@ -14,4 +14,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_queries_without_sql_are_those_that_sql_cannot_say():
     assert set(queries.queries()) - set(queries.oracle_sql()) == {
-        "op1_html_text", "op6_quality", "op8_url_filter"}
+        "op1_html_text", "op6_quality", "op8_url_filter", "op11_token_files"}
