@@ -7,7 +7,9 @@ in chunked transfer framing; a block longer than ``segment_bytes`` is split
 into a first record and ``continuation`` records.  The archive is written by
 Spark's text sink with CRLF CRLF as the line separator, which is exactly the
 end of a WARC record, so task retries and commits are Spark's own.  (Chunks
-and segments end between characters, as the sink takes text.)
+and segments end between characters, as the sink takes text.)  No record holds
+more than a segment, so a file holds at most ``RECORDS_PER_FILE`` segments (16 MiB),
+however large a page is, and can be read whole.
 
 Reading.  Files are parsed by Content-Length.  Whole records are decoded where
 they are read; only segments are shuffled: grouped by origin identifier,

@@ -139,6 +139,21 @@ def test_a_lost_segment_is_an_error(spark, scratch):
         warc.read_archive(spark, f"{scratch}/warc").collect()
 
 
+def test_large_pages_make_no_large_files(spark, scratch):
+    import gzip
+    rng = random.Random(3)
+    html = "".join(rng.choice("abcdefgé \n") for _ in range(400_000)) * 60  # 24 MB and a bit
+    path = f"{scratch}/in"
+    spark.createDataFrame([(1, "u", html), (2, "v", "small")], "page_id bigint, url string, html string").write.parquet(path)
+    warc.write_archive(spark.read.parquet(path), f"{scratch}/warc")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{scratch}/warc")
+             .select("content").collect())
+    sizes = [len(gzip.decompress(r.content)) for r in files]
+    assert sum(sizes) > len(html) and max(sizes) <= warc.RECORDS_PER_FILE * (warc.SEGMENT_BYTES + 1024)
+    got = {r.page_id: r.payload for r in warc.read_archive(spark, f"{scratch}/warc").collect()}
+    assert got == {1: html.encode(), 2: b"small"}
+
+
 def brute_ratio(texts, order):
     """texts: [(s, verdict or None)] -> ratio(gram) by direct recursion."""
     counts = {v: defaultdict(Counter) for v in ("allow", "block")}
