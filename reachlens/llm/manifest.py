@@ -24,8 +24,9 @@ it.
 Defined results: null columns count as ``-``; a null doc_id or source comes first
 (rows without a doc_id are not tampered with); rows that repeat a doc_id are leaves
 of their own, ordered by their digest; equal rows are interchangeable; an empty
-table gives no rows; columns beyond the five are ignored.  Leaves are written
-once to the shared folder, with a row number that tells equal rows apart.
+table gives no rows; columns beyond the five are ignored.  Leaves are made once and
+shuffled by a row number that tells equal rows apart; the first table written to the
+shared folder is the placed one.
 """
 
 from __future__ import annotations
@@ -57,28 +58,33 @@ _VERSION_DDL = ("doc_id bigint, leaf string, subroot string, root string, proof_
 
 def leaf_digest(columns: dict[str, Column]) -> Column:
     """SHA-256 (32 bytes) over the columns, each ``-`` or its byte count, ``:`` and value."""
-    def said(value: Column) -> Column:
-        text = value.cast("string")
-        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-    return F.unhex(F.sha2(F.concat(*(said(c) for c in columns.values())).cast("binary"), 256))
+    said = []
+    for column in columns.values():
+        text = column.cast("string")
+        said += [F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":")), F.lit("-")),
+                 F.coalesce(text, F.lit(""))]
+    return F.unhex(F.sha2(F.concat(*said).cast("binary"), 256))
 
 
 def leaves(docs: DataFrame) -> DataFrame:
     """tree, doc_id, digest and changed: the digest after tampering (the text
     without line feeds, for even CRC-32 of the doc_id), null where it is not
-    tampered with.  ``tree`` orders like the source, null first."""
-    own = {c: F.col(c) for c in FIELDS}
-    changed = leaf_digest(own | {"text": F.translate("text", "\n", "")})
+    tampered with.  ``tree`` orders like the source, null first.  Only texts that
+    tampering alters are copied and hashed a second time."""
+    own, feed = {c: F.col(c) for c in FIELDS}, F.lit("\n")
     even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
-    return docs.select(
+    rows = docs.select(*FIELDS, leaf_digest(own).alias("digest"), even.alias("even"), F.when(
+        even & F.contains("text", feed), F.replace("text", feed, F.lit(""))).alias("cut"))
+    other = F.when(F.col("cut").isNotNull(), leaf_digest(own | {"text": F.col("cut")})).otherwise(F.col("digest"))
+    return rows.select(
         F.coalesce(F.concat(F.lit(":"), "source"), F.lit("-")).alias("tree"), F.col("doc_id").cast("bigint"),
-        leaf_digest(own).alias("digest"), F.when(even, changed).alias("changed"))
+        "digest", F.when(F.col("even"), other).alias("changed"))
 
 
 # -- positions --------------------------------------------------------------
 
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """``rows`` (a written table with a column ``tree``) with pos, the place in its tree by
+    """``rows`` (written or just shuffled, with a column ``tree``) with pos, the place in its tree by
     ``order``, and n, the tree's number of rows."""
     kept = [*rows.columns, "part", "at"]
 
@@ -231,7 +237,7 @@ def versions(docs: DataFrame) -> DataFrame:
     """One row a document: its leaf, subroot, root and proof in the base version, the
     root folded from its tampered leaf (else its own) along the base's siblings,
     whether that is still the root, and the ancestors its version copies."""
-    rows = written(leaves(docs).withColumn("row", F.monotonically_increasing_id()), "leaves")
+    rows = leaves(docs).withColumn("row", F.monotonically_increasing_id()).repartition("row")
     base = numbered(rows, [F.asc_nulls_first("doc_id"), F.col("digest"), F.col("row")], "placed").drop("row")
     up = stages(base, "tops")
     roots = reduce(DataFrame.unionByName, [s.where("n = 1").select("tree", "digest") for s in up[1:]])

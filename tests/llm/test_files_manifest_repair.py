@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from reachlens.llm import manifest, repair, token_files
-from reachlens.llm.common import scratch
+from reachlens.llm.common import scratch, written
 from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -214,6 +214,32 @@ def test_versions_of_small_tables(spark):
         assert got == brute_versions(some)
 
 
+def test_rows_are_read_once_and_their_leaves_not_written(spark, monkeypatch):
+    rows, schema = manifest_rows(spark)
+    names, seen = [], spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(manifest, "written", lambda df, name: names.append(name) or written(df, name))
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(rows, schema).mapInArrow(counted, schema)
+    assert sorted(map(shape, manifest.versions(docs).collect()), key=repr) == brute_versions(rows)
+    assert seen.value == len(rows) and "placed" in names and "leaves" not in names
+
+
+def test_only_line_feeds_change_a_leaf(spark):
+    texts = [None, "", "plain", "a\r\n\n日本\n", "\n", "\u2028 \x0b\\n"]
+    rows = [(i, "s", None, 1, t) for i in range(12) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    got = [(r.digest.hex(), r.changed and r.changed.hex()) for r in manifest.leaves(docs).collect()]
+    assert got == [(brute_leaf(r), None if zlib.crc32(str(r[0]).encode()) % 2 else brute_leaf(tampered(r)))
+                   for r in rows]
+    plan = manifest.leaves(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan and plan.count("replace(") == 1
+
+
 def test_many_sources_are_one_tree(spark, monkeypatch):
     monkeypatch.setattr(manifest, "LEVELS", 1)
     monkeypatch.setattr(manifest, "BLOCK", 3)
