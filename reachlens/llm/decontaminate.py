@@ -21,6 +21,12 @@ larger one the seeds of the documents are shuffled to those of the benchmark (by
 parts, as a phrase may stand in a third of all documents), once for the
 whole benchmark, and only hits meet the texts again, by a row number.
 
+A document's tokens are cut into chunks of ``CHUNK``, which share ``WINDOW`` - 1, so
+every window lies in a chunk.  Generated code keeps all rows that one input row
+becomes, each with the tokens it is compared with: a chunk bounds both, and a
+broadcast seed has one row with all its places in the benchmark, so a long document
+that quotes the benchmark all along takes no more memory than its tokens and a chunk's hits.
+
 Defined results: null and empty texts have no tokens: such documents are clean, such
 items never found; rows sharing a doc_id are one document, contaminated if any row is;
 an empty table on either side gives no hits; other columns are ignored or kept as they are.
@@ -37,6 +43,8 @@ WINDOW = 20
 SIMILARITY = 0.8
 MAX_SEEDS = 1 << 18
 SEGMENT, STEP = 64, 40  # long items are cut so that every window lies in a segment
+CHUNK = 512  # tokens of a document that are looked at together
+CHUNK_STEP = CHUNK - (WINDOW - 1)
 #: masks and the lengths of the items (or segments) they are for
 SEEDS = (("1", 1, 1), ("11", 2, 2), ("111", 3, 3), ("1111", 4, 4), ("111", 5, 7), ("1101", 5, 7),
          ("11111", 8, SEGMENT), ("111101", 8, SEGMENT), ("1101011", 8, SEGMENT), ("11001101", 8, SEGMENT))
@@ -77,6 +85,15 @@ def benchmark_seeds(segments: DataFrame) -> DataFrame:
             .select("segment", "s.mask", F.posexplode("s.hashes").alias("item_at", "seed")))
 
 
+def _chunks(docs: DataFrame) -> DataFrame:
+    """doc_id, chunk (its number in the document) and words, its token hashes."""
+    last = F.greatest(F.lit(0), F.ceil((F.size("all") - CHUNK) / CHUNK_STEP).cast("int"))
+    chunks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("all", i * CHUNK_STEP + 1, CHUNK))
+    # the outer form: as in _probes
+    return (docs.select("doc_id", tokens(F.col("text")).alias("all")).select("doc_id", chunks.alias("chunks"))
+            .select("doc_id", F.posexplode_outer("chunks").alias("chunk", "words")))
+
+
 def _probes(read: DataFrame, masks: list[int], kept: list[str]) -> DataFrame:
     """``kept`` with seed and place, for every window of ``words`` under the masks."""
     probes = read.select(*kept, "words", F.concat(*[
@@ -85,11 +102,11 @@ def _probes(read: DataFrame, masks: list[int], kept: list[str]) -> DataFrame:
     return probes.select(*kept, "words", F.posexplode_outer("probes").alias("place", "seed"))
 
 
-def _doc_at(masks: list[int], size: Column) -> Column:
+def _doc_at(masks: list[int], size: Column, mask: Column) -> Column:
     """The first word of the window of a probe, from its place among all masks' windows."""
     begin, at = F.lit(0), F.lit(None).cast("int")
     for m in masks:
-        at = F.when(F.col("mask") == m, F.col("place") - begin).otherwise(at)
+        at = F.when(mask == m, F.col("place") - begin).otherwise(at)
         begin = begin + _starts(size, len(SEEDS[m][0]))
     return at
 
@@ -113,8 +130,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity
     seeds = written(benchmark_seeds(segments), "benchmark-seeds")
     counts = {r["mask"]: r["count"] for r in seeds.groupBy("mask").count().collect()}
     masks = sorted(counts) or [len(SEEDS) - 1]
-    read = docs.select("doc_id", tokens(F.col("text")).alias("words"))
-    offset = (F.col("doc_at") - F.col("item_at")).alias("offset")
+    read = _chunks(docs)
+    offset = (F.col("chunk") * CHUNK_STEP + F.col("doc_at") - F.col("item_at")).alias("offset")
     if sum(counts.values()) > max_seeds:
         return _shuffled_hits(read, segments, seeds, masks, window, similarity).select("doc_id", "item_id", offset)
 
@@ -126,9 +143,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity
     again = equal(-1)
     for i in range(4):
         again = again & equal(i)
-    found = (_probes(read, masks, ["doc_id"]).join(F.broadcast(seeds), "seed")
-             .join(F.broadcast(segments), "segment").withColumn("doc_at", _doc_at(masks, F.size("words")))
-             .where(F.coalesce(~again, F.lit(True))))
+    places = seeds.groupBy("seed").agg(F.collect_list(F.struct("segment", "mask", "item_at")).alias("places"))
+    met = (_probes(read, masks, ["doc_id", "chunk"]).join(F.broadcast(places), "seed")
+           .select("doc_id", "chunk", "words", F.transform("places", lambda s: F.struct(
+               s["segment"].alias("segment"), s["item_at"].alias("item_at"),
+               _doc_at(masks, F.size("words"), s["mask"]).alias("doc_at"))).alias("places"))
+           .select("doc_id", "chunk", "words", F.explode_outer("places").alias("s"))
+           .select("doc_id", "chunk", "words", "s.segment", "s.item_at", "s.doc_at"))
+    found = met.join(F.broadcast(segments), "segment").where(F.coalesce(~again, F.lit(True)))
     return _verified(found, window, similarity).select("doc_id", "item_id", offset)
 
 
@@ -139,7 +161,8 @@ def _shuffled_hits(read: DataFrame, segments: DataFrame, seeds: DataFrame, masks
     rows = written(read.withColumn("row", F.monotonically_increasing_id()), "tokens")
     probes = (_probes(rows, masks, ["row"]).where("seed IS NOT NULL")
               .select("row", "place", "seed", F.size("words").alias("size")))
-    met = (salted_join(probes, seeds, "seed", "row", "inner").withColumn("doc_at", _doc_at(masks, F.col("size")))
+    met = (salted_join(probes, seeds, "seed", "row", "inner")
+           .withColumn("doc_at", _doc_at(masks, F.col("size"), F.col("mask")))
            .select("row", "segment", (F.col("doc_at") - F.col("item_at")).alias("doc_at"), F.lit(0).alias("item_at"))
            .distinct())
     return _verified(salted_join(met, segments, "segment", "row", "inner").join(rows, "row"), window, similarity)

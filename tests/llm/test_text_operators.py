@@ -2,13 +2,17 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import corpus_pipeline
 import numpy as np
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 from reachlens.llm import chat, decontaminate, merkle, mixing, quality, queries
 from reachlens.llm.common import written
@@ -309,6 +313,55 @@ def test_decontamination_equals_a_search_without_seeds(spark, max_seeds):
         decontaminate.hits(frame(spark, docs), benchmark, similarity=0.7)
 
 
+@pytest.mark.parametrize("max_seeds", [1 << 18, 10])
+def test_decontamination_of_documents_of_many_chunks(spark, max_seeds):
+    """Passages across every border between chunks, over the ends, and in documents as long as a chunk."""
+    rng, step = random.Random(5), decontaminate.CHUNK_STEP
+    items = [[rng.choice("abcdefghijklmnopqrstuvwxyz") + str(n) for _ in range(n)] for n in (1, 3, 5, 8, 20, 33, 90)]
+    docs, want = [], set()
+    for i in range(60):
+        words = ["u"] * rng.choice([decontaminate.CHUNK - 1, decontaminate.CHUNK, decontaminate.CHUNK + 1, 3 * step + i])
+        n = rng.randrange(len(items))
+        part = items[n][-25:]
+        for j in rng.sample(range(len(part)), rng.randint(0, 1 + len(part) // 5)):
+            part[j] = "other"
+        at = rng.choice([0, step, 2 * step, decontaminate.CHUNK, len(words)]) - rng.randrange(26)
+        if i % 10 == 0:
+            part, at = part[4:], 0  # what is before the document differs
+        at = min(max(at, 0), len(words))
+        words[at:at] = part
+        docs.append((i, " ".join(words), "s"))
+        want |= {(i, k) for k, item in enumerate(items) if brute_overlap(words, item)}
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id bigint, text string")
+    got = {(r.doc_id, n) for r in decontaminate.contaminated(frame(spark, docs), benchmark, max_seeds=max_seeds).collect()
+           for n in r.item_ids}
+    assert got == want and len(want) > 20
+    exact = frame(spark, [(0, "u " * 1000 + " ".join(items[4]), "s")])
+    assert {r.offset for r in decontaminate.hits(exact, benchmark, max_seeds=max_seeds).collect() if r.item_id == 4} == {1000}
+
+
+#: a document as long as the longest in the test tables that quotes the benchmark all along
+QUOTES = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from reachlens.llm import decontaminate
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", sys.argv[1]).config("spark.sql.shuffle.partitions", "2").getOrCreate())
+passage = " ".join(f"word{i}" for i in range(40))
+docs = spark.range(2).select(F.col("id").alias("doc_id"), F.repeat(F.lit(passage + " "), 500).alias("text"))
+benchmark = spark.createDataFrame([(n, passage) for n in range(3)], "item_id bigint, text string")
+found = decontaminate.contaminated(docs, benchmark).collect()
+assert sorted((r.doc_id, r.item_ids) for r in found) == [(0, [0, 1, 2]), (1, [0, 1, 2])], found
+print("FOUND")
+"""
+
+
+def test_hits_of_a_document_need_no_memory_for_each(scratch):
+    env = os.environ | {"PYTHONPATH": ROOT, "PYSPARK_SUBMIT_ARGS": "--driver-memory 900m pyspark-shell"}
+    run = subprocess.run([sys.executable, "-c", QUOTES, scratch], env=env, capture_output=True, text=True, timeout=300)
+    assert "FOUND" in run.stdout, run.stderr[-2000:]
+
+
 def test_decontamination_of_odd_tables(spark):
     benchmark = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id bigint, text string")
     docs = frame(spark, [(4, "x A B C d e f g h i j k l y", "s"), (4, "clean", "s"), (None, "clean too", "s"),
